@@ -225,13 +225,14 @@ def dependencies(mart: Mart, known: Sequence[str] = SOURCES) -> list[str]:
 
 
 def mart_runner(spark: SparkSession, catalogue: Sequence[Mart] = CATALOGUE, select: str | Sequence[str] = "all",
-                out: str | None = None, known: Sequence[str] = SOURCES) -> DataFrame:
+                out: str | None = None, known: Sequence[str] = SOURCES, cache: Sequence[str] = ()) -> DataFrame:
     """Build the chosen marts from the registered views.
 
     A mart whose view or column is missing is skipped, an optional mart may
     fail, any other failure stops the run. Rows are counted by an observation
-    on the write, so no mart is computed twice. Returns one row per mart:
-    mart, status, linhas, segundos, detalhe.
+    on the write, so no mart is computed twice. Views named in ``cache`` are
+    persisted for the run. Returns one row per mart: mart, status, linhas,
+    segundos, detalhe.
     """
     names = None if select in ("all", "todas") else (
         [s.strip() for s in select.split(",")] if isinstance(select, str) else list(select))
@@ -239,7 +240,7 @@ def mart_runner(spark: SparkSession, catalogue: Sequence[Mart] = CATALOGUE, sele
     unknown = set(names or ()) - {m.name for m in chosen}
     if unknown:
         raise KeyError(f"not in the catalogue: {sorted(unknown)}")
-    done = []
+    done, kept = [], {v: spark.table(v).persist() for v in cache if spark.catalog.tableExists(v)}
     for mart in chosen:
         needed = dependencies(mart, known)
         missing = [v for v in needed if not spark.catalog.tableExists(v)]
@@ -262,4 +263,6 @@ def mart_runner(spark: SparkSession, catalogue: Sequence[Mart] = CATALOGUE, sele
             if not mart.optional:
                 raise
             done.append((mart.name, "FALHOU", None, round(time.perf_counter() - start, 2), str(error)[:500]))
+    for df in kept.values():
+        df.unpersist()
     return spark.createDataFrame(done, "mart string, status string, linhas bigint, segundos double, detalhe string")
