@@ -186,6 +186,6 @@ def key_bucket(c: Column | str, n: int) -> Column:
 def fn_bytes_label(c: Column | str) -> Column:
     """Bytes as text: B, KB, MB or GB with one decimal."""
     c = as_col(c).cast("double")
-    text = lambda power, unit: F.concat(F.format_string("%.1f", c / 1024**power), F.lit(f" {unit}"))
+    text = lambda power, unit: F.concat(F.format_string("%.1f", F.bround(c / 1024**power, 1)), F.lit(f" {unit}"))
     return (F.when(c < 1024, text(0, "B")).when(c < 1024**2, text(1, "KB"))
             .when(c < 1024**3, text(2, "MB")).when(c.isNotNull(), text(3, "GB")))

@@ -103,9 +103,15 @@ def with_group_quantile(df: DataFrame, by: Sequence[str], col: str, p: float, ou
     return join_same(df, quantiles(df, by, col, {out: p}), by, "left")
 
 
-def median_of(df: DataFrame, cols: Sequence[str]) -> Mapping[str, Column]:
-    """Exact whole-table medians as scalar columns."""
-    return {c: quantiles(df, [], c, {"m": 0.5}).scalar() for c in cols}
+def medians(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Exact whole-table medians as one scalar struct with a field per column.
+
+    The columns are stacked and share one pass, whatever their number.
+    """
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_name", "_value")
+    mids = quantiles(long, ["_name"], "_value", {"m": 0.5})
+    fields = [F.max(F.when(F.col("_name") == c, F.col("m"))).alias(c) for c in cols]
+    return mids.agg(F.struct(*fields)).scalar()
 
 
 def rounded(df: DataFrame, cols: Sequence[str], scale: int = 2) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Inequality, series breaks, feature preparation and the priority index."""
+"""Inequality, series breaks, feature preparation and the priority index.
+
+Several functions read their input more than once (a statistic of the whole
+table, then the rows). Give them a stored table, not a long plan.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brisalake.functions import band_right_closed, exact_avg, round_half_away, safe_ratio
-from brisalake.operators.aggregates import histogram, median_of
+from brisalake.operators.aggregates import histogram, medians
 from brisalake.operators.ladder import join_same, quantiles, _before
 from brisalake.operators.windows import percentile_rank_avg
 
@@ -61,7 +65,7 @@ def series_break(evolution: DataFrame, by: str, col: str, limit: float = 15.0) -
     move too differently.
     """
     have = evolution.filter(F.col(col).isNotNull())
-    national = median_of(have, [col])[col]
+    national = medians(have, [col]).getField(col)
     means = have.groupBy(by).agg(F.count(F.lit(1)).alias("municipios"), exact_avg(col).alias("_m"))
     mids = quantiles(have, [by], col, {"_q": 0.5})
     diff = F.col("_m") - F.col("_n")
@@ -90,14 +94,14 @@ def series_break_evidence(evolution: DataFrame, breaks: DataFrame, value: float
 def adjusted_change(evolution: DataFrame, breaks: DataFrame, by: str = "sigla_uf",
                     col: str = "variacao_pp") -> DataFrame:
     """``variacao_pp_ajustada``: the national median where the group is flagged."""
-    national = median_of(evolution.filter(F.col(col).isNotNull()), [col])[col]
+    national = medians(evolution.filter(F.col(col).isNotNull()), [col]).getField(col)
     return _flag(evolution, breaks, by).withColumn(
         "variacao_pp_ajustada", F.when(F.col("alerta_serie_historica"), national).otherwise(F.col(col)))
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    mids = median_of(df, cols)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), mids[c]) for c in cols})
+    return (df.withColumn("_m", medians(df, cols))
+            .withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_m.{c}")) for c in cols}).drop("_m"))
 
 
 def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:

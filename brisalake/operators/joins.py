@@ -107,16 +107,17 @@ def integrated_fact(fact: DataFrame, dims: DataFrame, targets: DataFrame, partic
     parent          ano, sigla_uf, rede, taxa_uf          country   ano, taxa_brasil_publica
 
     Parent, country and participation are made unique on the join key first, so
-    no join can multiply the fact. The joins on (unit, network) follow each
-    other to share one partitioning where the planner can.
+    no join can multiply the fact. The targets of a unit, one per target year,
+    travel as a small map: one join serves the year's and the final target.
     """
     unit = ["id_municipio", "rede"]
-    final = (targets.filter(F.col("ano_meta") == final_year)
-             .groupBy(*unit).agg(F.max("meta_taxa").alias("meta_taxa_2030")))
-    of_year = (targets.groupBy(*unit, F.col("ano_meta").alias("ano"))
-               .agg(F.max("meta_taxa").alias("meta_taxa_ano")))
-    wide = (fact.join(final, unit, "left")
-            .join(of_year, [*unit, "ano"], "left")
+    goal = F.struct("ano_meta", "meta_taxa")
+    goals = (targets.groupBy(*unit, "ano_meta").agg(F.max("meta_taxa").alias("meta_taxa"))
+             .groupBy(*unit).agg(F.map_from_entries(F.collect_list(goal)).alias("_goals")))
+    wide = (fact.join(goals, unit, "left")
+            .withColumn("meta_taxa_ano", F.try_element_at("_goals", F.col("ano").cast("int")))
+            .withColumn("meta_taxa_2030", F.try_element_at("_goals", F.lit(final_year)))
+            .drop("_goals")
             .join(dedup_any(participation, ["ano", *unit]), ["ano", *unit], "left"))
     wide = dim_join_broadcast(wide, dims, ["id_municipio"],
                               ["nome_municipio", "sigla_uf", "nome_uf", "nome_regiao", "nome_mesorregiao"])

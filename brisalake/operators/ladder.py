@@ -127,5 +127,6 @@ def quantiles(df: DataFrame, by: Sequence[str], col: str, ps: Mapping[str, float
         lo, hi = F.floor(pos), F.ceil(pos)
         low = F.max(F.when(holds(lo), F.col(col).cast("double")))
         high = F.max(F.when(holds(hi), F.col(col).cast("double")))
-        aggs.append((low + (high - low) * F.max(pos - lo)).alias(name))
+        part = F.max(pos - lo)
+        aggs.append((low * (1 - part) + high * part).alias(name))
     return ladder.groupBy(*by).agg(*aggs)

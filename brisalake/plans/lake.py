@@ -37,9 +37,13 @@ def dec(c: Column | str) -> Column:
 class Lake:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        key = f"table {name}"
+        if key not in self._frames:
+            self._frames[key] = self.spark.read.parquet(self.path(name))
+        return self._frames[key]
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -48,6 +52,18 @@ class Lake:
     def work(self) -> str:
         return shared_folder(self.spark)
 
+    def stored(self, name: str, build) -> DataFrame:
+        """Silver table: written once to the shared folder, then read.
+
+        Frames that later plans read several times are stored, so their joins
+        run once and lineage stays short.
+        """
+        path = f"{self.work}/silver/{name}"
+        if name not in self._frames:
+            build().write.parquet(path)
+            self._frames[name] = self.spark.read.parquet(path)
+        return self._frames[name]
+
     @property
     def states(self) -> DataFrame:
         n, r = self.table("nation"), self.table("region")
@@ -85,11 +101,12 @@ class Lake:
 
     @property
     def sums(self) -> DataFrame:
-        """Exact sums per year and unit, reduced before the unit's attributes are joined.
+        """Rate, participation, state and country context all come from these
+        sums, so lineitem is read and shuffled once."""
+        return self.stored("sums", self._sums)
 
-        Rate, participation, state and country context all come from these
-        sums, so lineitem is read and shuffled once.
-        """
+    def _sums(self) -> DataFrame:
+        """Exact sums per year and unit, reduced before the unit's attributes are joined."""
         w, seen, ok = dec("peso_aluno"), F.col("avaliado"), F.col("alfabetizado")
         total = lambda c: F.sum(c)
         agg = self.pupils.groupBy("ano", "id_municipio").agg(
@@ -162,6 +179,10 @@ class Lake:
 
     @property
     def integrated(self) -> DataFrame:
+        return self.stored("integrated", lambda: self.integrated_plan)
+
+    @property
+    def integrated_plan(self) -> DataFrame:
         return integrated_fact(self.fact.drop("participacao", "id_uf"), self.units, self.targets, self.participation,
                                self.state_rate, self.country_rate, LAST_YEAR, 80.0)
 
@@ -208,11 +229,12 @@ class Lake:
 
     @property
     def valid(self) -> DataFrame:
-        return enrich_event(self.classify(self.events), CUT, self.processed_at())
+        return self.stored("valid", lambda: enrich_event(self.classify(self.events), CUT, self.processed_at()))
 
     @property
     def dead(self) -> DataFrame:
-        return route_dead_letters(self.classify(self.events), F.lit("2024-02-01T00:00:00"))
+        return self.stored("dead", lambda: route_dead_letters(
+            self.classify(self.events), F.lit("2024-02-01T00:00:00")))
 
     @property
     def state(self) -> DataFrame:

@@ -13,8 +13,13 @@ from brisalake.plans.marts import mart_indicator, mart_target_vs_actual
 from brisalake.plans.oracle import MEAN, RATE, r, xavg, xsum
 from brisalake.plans.registry import query
 
-N = F.count(F.lit(1)).alias("n")
-SEEN = F.col("avaliado")
+def n_rows():
+    return F.count(F.lit(1)).alias("n")
+
+
+def seen():
+    return F.col("avaliado")
+
 
 
 # --- aggregations -----------------------------------------------------------------
@@ -58,20 +63,20 @@ def _(k: Lake):
 
 @query("weighted_mean", f"SELECT ano, rede, {r(MEAN)} AS media FROM micro GROUP BY ALL")
 def _(k: Lake):
-    mean = fx.weighted_mean("proficiencia_portugues", "peso_aluno", SEEN)
+    mean = fx.weighted_mean("proficiencia_portugues", "peso_aluno", seen())
     return k.micro.groupBy("ano", "rede").agg(fx.round_half_away(mean).alias("media"))
 
 
 @query("weighted_rate", f"SELECT ano, id_municipio, {r(RATE)} AS taxa FROM micro GROUP BY ALL")
 def _(k: Lake):
-    rate = fx.weighted_rate("alfabetizado", "peso_aluno", SEEN)
+    rate = fx.weighted_rate("alfabetizado", "peso_aluno", seen())
     return k.pupils.groupBy("ano", "id_municipio").agg(fx.round_half_away(rate).alias("taxa"))
 
 
 @query("conditional_stddev", f"""SELECT ano, rede, {r("stddev_samp(CASE WHEN avaliado THEN proficiencia_portugues END)")} AS desvio
        FROM micro GROUP BY ALL""")
 def _(k: Lake):
-    dev = fx.conditional_stddev("proficiencia_portugues", SEEN)
+    dev = fx.conditional_stddev("proficiencia_portugues", seen())
     return k.micro.groupBy("ano", "rede").agg(fx.round_half_away(dev).alias("desvio"))
 
 
@@ -79,7 +84,7 @@ def _(k: Lake):
        {r(xavg("l_discount"), 4)} AS mean_discount FROM lineitem""")
 def _(k: Lake):
     return ag.global_aggregate(k.table("lineitem"), [
-        N, fx.exact_sum("l_extendedprice").alias("total"), F.max("l_quantity").alias("top"),
+        n_rows(), fx.exact_sum("l_extendedprice").alias("total"), F.max("l_quantity").alias("top"),
         fx.round_half_away(fx.exact_avg("l_discount"), 4).alias("mean_discount")])
 
 
@@ -213,7 +218,10 @@ def _(k: Lake):
 
 
 # --- reports ---------------------------------------------------------------------------
-FOCUS = (F.col("ano") == 2001) & (F.col("rede_nome") == "BUILDING")
+def in_focus():
+    return (F.col("ano") == 2001) & (F.col("rede_nome") == "BUILDING")
+
+
 _focus = "ano = 2001 AND rede_nome = 'BUILDING'"
 
 
@@ -221,7 +229,7 @@ _focus = "ano = 2001 AND rede_nome = 'BUILDING'"
        FROM indicator WHERE {_focus} AND risco_alfabetizacao = 'Critico'
        ORDER BY taxa_alfabetizacao, id_municipio LIMIT 100""")
 def _(k: Lake):
-    out = od.topk_worst_units(mart_indicator(k.integrated), FOCUS & (F.col("risco_alfabetizacao") == "Critico"),
+    out = od.topk_worst_units(mart_indicator(k.integrated), in_focus() & (F.col("risco_alfabetizacao") == "Critico"),
                               ["taxa_alfabetizacao", "id_municipio"], 100)
     return out.select("sigla_uf", "nome_municipio", "taxa_alfabetizacao", "meta_taxa_ano", "gap_meta_2030")
 
@@ -231,7 +239,7 @@ _states = "sigla_uf, nome_regiao, municipios, taxa_media, pct_municipios_na_meta
 
 @query("rank_states_by_share", f"SELECT {_states} FROM panel WHERE {_focus}")
 def _(k: Lake):
-    return od.rank_states_by_share(mart_target_vs_actual(k.integrated), FOCUS, "pct_municipios_na_meta").select(
+    return od.rank_states_by_share(mart_target_vs_actual(k.integrated), in_focus(), "pct_municipios_na_meta").select(
         *_states.split(", "))
 
 
@@ -239,14 +247,14 @@ def _(k: Lake):
        {r(xavg("ritmo_anual_necessario_pp"))} AS media_ritmo_anual_necessario_pp,
        {r(xavg("taxa_alfabetizacao"))} AS media_taxa_alfabetizacao FROM indicator WHERE {_focus} GROUP BY 1""")
 def _(k: Lake):
-    return od.effort_by_region(mart_indicator(k.integrated), FOCUS, ["nome_regiao"],
+    return od.effort_by_region(mart_indicator(k.integrated), in_focus(), ["nome_regiao"],
                                ["ritmo_anual_necessario_pp", "taxa_alfabetizacao"])
 
 
 @query("good_abs_bad_rel", f"""SELECT sigla_uf, nome_municipio, taxa_alfabetizacao, taxa_uf, dif_vs_uf FROM indicator
        WHERE {_focus} AND situacao_meta = 'Meta atingida' AND dif_vs_uf < 0 ORDER BY dif_vs_uf, id_municipio LIMIT 50""")
 def _(k: Lake):
-    out = od.good_abs_bad_rel(mart_indicator(k.integrated), FOCUS & (F.col("situacao_meta") == "Meta atingida"),
+    out = od.good_abs_bad_rel(mart_indicator(k.integrated), in_focus() & (F.col("situacao_meta") == "Meta atingida"),
                               "dif_vs_uf", 50, "id_municipio")
     return out.select("sigla_uf", "nome_municipio", "taxa_alfabetizacao", "taxa_uf", "dif_vs_uf")
 
@@ -276,5 +284,5 @@ def _(k: Lake):
 
 @query("mixed_sort", "SELECT event_type, user_id, COUNT(*) AS n FROM events GROUP BY ALL")
 def _(k: Lake):
-    return od.mixed_sort(k.table("events").groupBy("event_type", "user_id").agg(N),
+    return od.mixed_sort(k.table("events").groupBy("event_type", "user_id").agg(n_rows()),
                          [("event_type", True), ("n", False), ("user_id", True)])

@@ -22,7 +22,7 @@ TARGET = "alvo_taxa_alfabetizacao"
 
 
 def evolution(k: Lake):
-    return mt.mart_evolution(k.integrated)
+    return k.stored("evolution", lambda: mt.mart_evolution(k.integrated))
 
 
 def breaks(evo):
@@ -35,8 +35,8 @@ def focus(k: Lake):
     adjusted = an.adjusted_change(evo, breaks(evo)).select(
         "id_municipio", "variacao_pp", "variacao_pp_ajustada", "alerta_serie_historica")
     base = k.integrated.filter("ano = 2001 AND rede = 3")
-    return (base.join(adjusted, "id_municipio", "left")
-            .withColumn("alerta_serie_historica", F.coalesce("alerta_serie_historica", F.lit(False))))
+    return k.stored("focus", lambda: base.join(adjusted, "id_municipio", "left").withColumn(
+        "alerta_serie_historica", F.coalesce("alerta_serie_historica", F.lit(False))))
 
 
 def clustered(k: Lake):
@@ -45,7 +45,7 @@ def clustered(k: Lake):
 
 
 def priority(k: Lake):
-    return an.priority_index(clustered(k))
+    return an.priority_index(k.stored("clustered", lambda: clustered(k)))
 
 
 # DuckDB text for the same frames.
@@ -127,8 +127,10 @@ def _(k: Lake):
 
 def prepared(k: Lake):
     regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-    features = mt.mart_features(k.integrated, k.micro)
-    return an.feature_prep(features, NUMERIC, "nome_regiao", TARGET, regions), NUMERIC + [f"regiao_{x}" for x in regions]
+    features = k.stored("features", lambda: mt.mart_features(k.integrated, k.micro))
+    data = an.feature_prep(features, NUMERIC, "nome_regiao", TARGET, regions)
+    names = {f"regiao_{x}": f"regiao_{x.replace(' ', '_')}" for x in regions}
+    return data.withColumnsRenamed(names), NUMERIC + list(names.values())
 
 
 _fsql = """SELECT a.id_municipio, a.nome_regiao, p.taxa_alfabetizacao AS taxa_ciclo_anterior,
@@ -141,15 +143,18 @@ _fsql = """SELECT a.id_municipio, a.nome_regiao, p.taxa_alfabetizacao AS taxa_ci
 
 @query("feature_prep", f"""WITH b AS ({_fsql}) SELECT id_municipio, nome_regiao,
        {', '.join(r(f"coalesce({c}, (SELECT median({c}) FROM b))", 4) + f" AS {c}" for c in NUMERIC)},
-       {', '.join(f"CASE WHEN nome_regiao = '{g}' THEN 1.0 ELSE 0.0 END AS " + f'"regiao_{g}"' for g in
+       {', '.join(f"CASE WHEN nome_regiao = '{g}' THEN 1.0 ELSE 0.0 END AS regiao_{g.replace(' ', '_')}" for g in
                   ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"))}, alvo_taxa_alfabetizacao FROM b""")
 def _(k: Lake):
-    return rounded(prepared(k)[0], NUMERIC, 4)
+    data, _ = prepared(k)
+    return rounded(data, NUMERIC, 4)
 
 
 def split(k: Lake):
     data, names = prepared(k)
-    return (*an.stratified_split(data, "nome_regiao", "id_municipio"), names)
+    base = k.stored("model_base", lambda: data)
+    train, test = an.stratified_split(base, "nome_regiao", "id_municipio")
+    return k.stored("train", lambda: train), k.stored("test", lambda: test), names
 
 
 @query("stratified_split")
@@ -227,9 +232,7 @@ def kmeans(k: Lake):
 
     The input is written once: k-means reads it on every iteration.
     """
-    path = f"{k.work}/cluster_base"
-    clustered(k).write.parquet(path)
-    base = k.spark.read.parquet(path)
+    base = k.stored("clustered", lambda: clustered(k))
     return *md.kmeans_select(an.standardise(base, CLUSTER), CLUSTER, seeds=3), base
 
 

@@ -13,7 +13,9 @@ from brisalake.plans.marts import RISK_CUTS, RISK_LABELS, TARGET_LABELS
 from brisalake.plans.oracle import MEAN, RATE, big, r, xavg, xsum
 from brisalake.plans.registry import query
 
-N = F.count(F.lit(1)).alias("n")
+def n_rows():
+    return F.count(F.lit(1)).alias("n")
+
 CODES = {v: name.title() for name, v in SEGMENTS.items()}
 
 
@@ -37,21 +39,21 @@ def _(k: Lake):
 def _(k: Lake):
     test = (F.col("l_discount") <= 0.05) & (F.nullif("l_tax", F.lit(0.0)) > 0.02)
     good, bad = cf.valid_split(k.table("lineitem"), test)
-    return good.agg(N).select(F.lit("valid").alias("outcome"), "n").unionByName(
-        bad.agg(N).select(F.lit("rejected").alias("outcome"), "n"))
+    return good.agg(n_rows()).select(F.lit("valid").alias("outcome"), "n").unionByName(
+        bad.agg(n_rows()).select(F.lit("rejected").alias("outcome"), "n"))
 
 
 @query("nullable_range", """SELECT (proficiencia_portugues IS NULL OR proficiencia_portugues BETWEEN 1000 AND 50000)
        AS ok, COUNT(*) AS n FROM micro GROUP BY 1""")
 def _(k: Lake):
-    return k.micro.groupBy(fx.nullable_range("proficiencia_portugues", 1000, 50000).alias("ok")).agg(N)
+    return k.micro.groupBy(fx.nullable_range("proficiencia_portugues", 1000, 50000).alias("ok")).agg(n_rows())
 
 
 @query("decode_domain", """SELECT ano, CASE rede WHEN 0 THEN 'Furniture' WHEN 1 THEN 'Automobile' WHEN 2 THEN 'Machinery'
        WHEN 3 THEN 'Building' ELSE 'Desconhecida' END AS label, COUNT(*) AS n FROM fact GROUP BY ALL""")
 def _(k: Lake):
     known = {c: name for c, name in CODES.items() if c != 5}
-    return k.fact.groupBy("ano", fx.decode_domain("rede", known, "Desconhecida").alias("label")).agg(N)
+    return k.fact.groupBy("ano", fx.decode_domain("rede", known, "Desconhecida").alias("label")).agg(n_rows())
 
 
 @query("domain_from_dictionary", """SELECT coalesce(CASE WHEN n_nationkey % 2 = 0 THEN n_name END,
@@ -61,7 +63,7 @@ def _(k: Lake):
     official = k.table("nation").filter("n_nationkey % 2 = 0").select(
         F.col("n_nationkey").alias("chave"), F.col("n_name").alias("valor"))
     return cf.domain_from_dictionary(k.table("customer"), "c_nationkey", official, {1: "One", 3: "Three"}
-                                     ).groupBy("label").agg(N)
+                                     ).groupBy("label").agg(n_rows())
 
 
 @query("encode_text_domain", """SELECT c_custkey, CASE c_mktsegment WHEN 'FURNITURE' THEN 0 WHEN 'AUTOMOBILE' THEN 1
@@ -77,7 +79,7 @@ def _(k: Lake):
 def _(k: Lake):
     text = fx.decode_domain("l_returnflag", {"R": " Não", "A": "SIM", "N": "?"})
     return k.table("lineitem").groupBy(
-        fx.normalize_bool(text, fx.cutoff_flag("l_quantity", 25)).alias("flag")).agg(N)
+        fx.normalize_bool(text, fx.cutoff_flag("l_quantity", 25)).alias("flag")).agg(n_rows())
 
 
 @query("cutoff_flag", f"""SELECT COUNT(*) AS n,
@@ -85,7 +87,7 @@ def _(k: Lake):
        FROM micro WHERE avaliado""")
 def _(k: Lake):
     differs = fx.cutoff_flag("proficiencia_portugues", 50000) != F.col("alfabetizado")
-    return k.micro.filter("avaliado").agg(N, fx.exact_avg(differs.cast("int")).alias("disagreement"))
+    return k.micro.filter("avaliado").agg(n_rows(), fx.exact_avg(differs.cast("int")).alias("disagreement"))
 
 
 _risk = """CASE WHEN taxa_alfabetizacao IS NULL THEN NULL WHEN taxa_alfabetizacao < 40 THEN 'Critico'
@@ -94,7 +96,7 @@ _risk = """CASE WHEN taxa_alfabetizacao IS NULL THEN NULL WHEN taxa_alfabetizaca
 
 @query("band_left_closed", f"SELECT {_risk} AS band, COUNT(*) AS n FROM fact GROUP BY 1")
 def _(k: Lake):
-    return k.fact.groupBy(fx.band_left_closed("taxa_alfabetizacao", RISK_CUTS, RISK_LABELS).alias("band")).agg(N)
+    return k.fact.groupBy(fx.band_left_closed("taxa_alfabetizacao", RISK_CUTS, RISK_LABELS).alias("band")).agg(n_rows())
 
 
 @query("band_right_closed", """SELECT CASE WHEN taxa_alfabetizacao <= 50 THEN 'Monitoramento'
@@ -102,14 +104,14 @@ def _(k: Lake):
        WHEN taxa_alfabetizacao <= 100 THEN 'Crítica' END AS band, COUNT(*) AS n FROM fact GROUP BY 1""")
 def _(k: Lake):
     band = fx.band_right_closed("taxa_alfabetizacao", (0, 50, 70, 85, 100), ("Monitoramento", "Média", "Alta", "Crítica"))
-    return k.fact.groupBy(band.alias("band")).agg(N)
+    return k.fact.groupBy(band.alias("band")).agg(n_rows())
 
 
 @query("tri_state_status", """SELECT CASE WHEN meta_taxa_ano IS NULL THEN 'Sem meta definida' WHEN atingiu_meta_ano
        THEN 'Meta atingida' ELSE 'Abaixo da meta' END AS status, COUNT(*) AS n FROM integ GROUP BY 1""")
 def _(k: Lake):
     return k.integrated.groupBy(
-        fx.tri_state_status("meta_taxa_ano", "atingiu_meta_ano", TARGET_LABELS).alias("status")).agg(N)
+        fx.tri_state_status("meta_taxa_ano", "atingiu_meta_ano", TARGET_LABELS).alias("status")).agg(n_rows())
 
 
 @query("safe_ratio", f"""SELECT l_linenumber, COUNT(q) AS n, MIN(q) AS lo, MAX(q) AS hi FROM
@@ -121,12 +123,12 @@ def _(k: Lake):
 
 @query("derive_parent_key", "SELECT c_custkey // 100 AS parent, COUNT(*) AS n FROM customer GROUP BY 1")
 def _(k: Lake):
-    return k.table("customer").groupBy(fx.derive_parent_key("c_custkey", 100).alias("parent")).agg(N)
+    return k.table("customer").groupBy(fx.derive_parent_key("c_custkey", 100).alias("parent")).agg(n_rows())
 
 
 @query("dedup_any", "SELECT COUNT(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)")
 def _(k: Lake):
-    return cf.dedup_any(k.table("lineitem"), ["l_orderkey", "l_linenumber"]).agg(N)
+    return cf.dedup_any(k.table("lineitem"), ["l_orderkey", "l_linenumber"]).agg(n_rows())
 
 
 @query("dedup_latest", """SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS shipped, l_partkey
@@ -150,14 +152,14 @@ def _(k: Lake):
 def _(k: Lake):
     o, li = k.table("orders"), k.table("lineitem").select("l_orderkey")
     return cf.drop_null_keys(o.join(li, o.o_orderkey == li.l_orderkey, "left"), ["l_orderkey"]).groupBy(
-        "o_orderkey", "o_orderstatus").agg(N)
+        "o_orderkey", "o_orderstatus").agg(n_rows())
 
 
 @query("filter_in_keys", """SELECT event_type, COUNT(*) AS n FROM events WHERE user_id IN
        (SELECT c_custkey FROM customer WHERE c_acctbal > 3000) GROUP BY 1""")
 def _(k: Lake):
     rich = k.table("customer").filter("c_acctbal > 3000").select(F.col("c_custkey").alias("user_id"))
-    return cf.filter_in_keys(k.table("events"), rich, ["user_id"]).groupBy("event_type").agg(N)
+    return cf.filter_in_keys(k.table("events"), rich, ["user_id"]).groupBy("event_type").agg(n_rows())
 
 
 @query("distinct_keys", "SELECT DISTINCT user_id, event_type FROM events")
@@ -190,7 +192,7 @@ def _(k: Lake):
     parent = k.table("nation").filter("n_nationkey % 6 <> 0").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     found, lost = jn.dim_parent_resolve(k.table("supplier"), parent, ["s_nationkey"], "n_name")
     both = found.withColumn("outcome", F.lit("resolved")).unionByName(lost.withColumn("outcome", F.lit("rejected")))
-    return both.groupBy("outcome").agg(N)
+    return both.groupBy("outcome").agg(n_rows())
 
 
 _year_target = "ano, id_municipio, rede, taxa_alfabetizacao, meta_taxa"
@@ -214,7 +216,7 @@ def _(k: Lake):
        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def _(k: Lake):
     return jn.inner_join_agg(k.table("lineitem"), k.table("part"), {"l_partkey": "p_partkey"}, ["p_brand"],
-                             [N, fx.exact_sum("l_extendedprice").alias("price")])
+                             [n_rows(), fx.exact_sum("l_extendedprice").alias("price")])
 
 
 @query("self_join_bounds", """SELECT ano, id_municipio, rede, min(ano) OVER w AS first_ano, max(ano) OVER w AS last_ano
@@ -261,7 +263,7 @@ _wide = ("ano, id_municipio, serie, rede, rede_nome, taxa_alfabetizacao, media_p
 
 @query("integrated_fact", f"SELECT {_wide} FROM integ")
 def _(k: Lake):
-    return k.integrated.select(*_wide.split(", "))
+    return k.integrated_plan.select(*_wide.split(", "))
 
 
 @query("orphan_rows", f"""WITH o AS (SELECT o_custkey FROM orders WHERE o_custkey NOT IN
@@ -301,7 +303,7 @@ def _(k: Lake):
     right = k.table("nation").select(F.col("n_nationkey").cast("string").alias("c_nationkey"))
     key = ["c_nationkey"]
     return jn.join_key_harmonise(left, key).join(jn.join_key_harmonise(right, key), key).groupBy(
-        F.col("c_nationkey").cast("int").alias("c_nationkey")).agg(N)
+        F.col("c_nationkey").cast("int").alias("c_nationkey")).agg(n_rows())
 
 
 @query("join_coverage", f"""SELECT 'territorio' AS "join", COUNT(nome_municipio) AS filled,
@@ -318,7 +320,7 @@ def _(k: Lake):
        LEFT JOIN unit u USING (id_municipio), (VALUES ('merge'), ('broadcast')) s(strategy) GROUP BY ALL""")
 def _(k: Lake):
     plans = jn.join_strategy_compare(k.fact.select("ano", "id_municipio"), k.event_units, ["id_municipio"])
-    rows = [df.groupBy("ano", "sigla_uf").agg(N).withColumn("strategy", F.lit(s)) for s, df in plans.items()]
+    rows = [df.groupBy("ano", "sigla_uf").agg(n_rows()).withColumn("strategy", F.lit(s)) for s, df in plans.items()]
     return rs.union_by_name(*rows)
 
 
@@ -340,7 +342,7 @@ _measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     + f") SELECT l_returnflag, nivel, COUNT(*) AS n, {xsum('proporcao')} AS total FROM x GROUP BY ALL")
 def _(k: Lake):
     long = rs.unpivot_levels(k.table("lineitem"), ["l_returnflag"], _measures, "nivel", "proporcao")
-    return long.groupBy("l_returnflag", "nivel").agg(N, fx.exact_sum("proporcao").alias("total"))
+    return long.groupBy("l_returnflag", "nivel").agg(n_rows(), fx.exact_sum("proporcao").alias("total"))
 
 
 @query("unpivot_year_suffix", """SELECT id_municipio, CAST(ano AS INT) AS ano, ano_meta, meta_taxa FROM longt""")
@@ -373,7 +375,7 @@ def _(k: Lake):
                                       fx.trailing_digits("c_name", 4).alias("last4"))
 
 
-@query("fn_timestamp", """SELECT id_evento, CASE WHEN event_id % 20 <> 3 THEN epoch_ms(ts) END AS ms FROM ev0""")
+@query("fn_timestamp", """SELECT id_evento, CASE WHEN event_id % 20 <> 3 THEN epoch_us(ts) // 1000 END AS ms FROM ev0""")
 def _(k: Lake):
     return k.events.select("id_evento", F.unix_millis(fx.parse_timestamp("ts_evento")).alias("ms"))
 

@@ -11,7 +11,9 @@ from brisalake.plans.registry import query
 from brisalake.streaming import events as ev
 from brisalake.streaming import pipeline as pl
 
-N = F.count(F.lit(1)).alias("n")
+def n_rows():
+    return F.count(F.lit(1)).alias("n")
+
 
 
 def raw_stream(k: Lake):
@@ -29,7 +31,7 @@ def _(k: Lake):
     sink = f"{k.work}/source"
     pl.stream_available_now(raw_stream(k), sink, f"{k.work}/cp_source")
     return k.spark.read.parquet(sink).groupBy("event_type").agg(
-        N, F.sum(F.col("value").cast("decimal(28,4)")).cast("double").alias("total"))
+        n_rows(), F.sum(F.col("value").cast("decimal(28,4)")).cast("double").alias("total"))
 
 
 @query("stream_available_now", "SELECT event_id, user_id, event_type FROM events")
@@ -44,7 +46,7 @@ def _(k: Lake):
     sink, checkpoint = f"{k.work}/again", f"{k.work}/cp_again"
     pl.stream_available_now(raw_stream(k), sink, checkpoint)
     pl.stream_restart(raw_stream(k), sink, checkpoint)
-    return k.spark.read.parquet(sink).agg(N)
+    return k.spark.read.parquet(sink).agg(n_rows())
 
 
 def messages(k: Lake):
@@ -205,7 +207,7 @@ def _(k: Lake):
 def _(k: Lake):
     path = f"{k.work}/micro"
     pl.microbatch_sink(typed_stream(k), path, f"{k.work}/cp_micro", "run-1")
-    return k.spark.read.parquet(path).groupBy(F.col("data_evento").cast("string").alias("data_evento")).agg(N)
+    return k.spark.read.parquet(path).groupBy(F.col("data_evento").cast("string").alias("data_evento")).agg(n_rows())
 
 
 @query("dlq_audit", """SELECT _defeito_injetado AS defeito, split_part(motivo_rejeicao, ':', 1) AS motivo,

@@ -17,7 +17,7 @@ from brisalake.functions import (
     as_col, cutoff_flag, decode_domain, exact_sum, fn_latency, head_before, key_bucket,
     parse_timestamp, round_half_away, safe_ratio, weighted_rate)
 from brisalake.operators.joins import broadcast_if_small
-from brisalake.operators.ladder import quantiles
+from brisalake.operators.ladder import join_same, quantiles
 from brisalake.operators.windows import upsert_keep_last
 
 EVENT_SCHEMA = ("id_evento string, tipo_evento string, ts_evento string, id_municipio bigint, id_escola string, "
@@ -112,8 +112,8 @@ def tumbling_window_agg(events: DataFrame, duration: str, by: str, watermark: st
     keys = ["janela_inicio", by]
     cuts = quantiles(keyed, keys, "latencia_ms", {"p50": 0.5, "p95": 0.95})
     sums = keyed.groupBy(*keys).agg(*base)
-    return sums.join(cuts, [sums.janela_inicio == cuts.janela_inicio, sums[by].eqNullSafe(cuts[by])]).select(
-        sums.janela_inicio, sums[by], "eventos", round_half_away("r").alias("taxa_pct"),
+    return join_same(sums, cuts, keys).select(
+        *keys, "eventos", round_half_away("r").alias("taxa_pct"),
         round_half_away("p50", 1).alias("latencia_p50_ms"), round_half_away("p95", 1).alias("latencia_p95_ms"))
 
 
