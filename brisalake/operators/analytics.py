@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from brisalake.functions import band_right_closed, exact_avg, round_half_away, safe_ratio
 from brisalake.operators.aggregates import histogram, medians
-from brisalake.operators.ladder import join_same, quantiles, _before
+from brisalake.operators.ladder import join_same, quantiles, with_hash_order
 from brisalake.operators.windows import percentile_rank_avg
 
 # Fixed values.
@@ -136,20 +136,11 @@ def stratified_split(df: DataFrame, strata: str, id_col: str, frac: float = 0.8,
                      ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with the same share of every stratum, the same rows on every run.
 
-    Rows are numbered by hash. Hash ranges are counted first, so a large
-    stratum is numbered range by range and not in one task.
+    Rows are numbered by hash within the stratum, see ``with_hash_order``.
     """
-    hashed = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
-    hashed = hashed.withColumn("_hb", F.shiftright("_h", 52))
-    per = Window.partitionBy(strata)
-    cells = hashed.groupBy(strata, "_hb").agg(F.count(F.lit(1)).alias("_c"))
-    starts = cells.select(strata, "_hb", _before(per.orderBy("_hb"), "_c").alias("_start"),
-                          F.sum("_c").over(per).alias("_size"))
-    numbered = hashed.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(strata, "_hb").orderBy("_h", id_col)))
-    placed = join_same(numbered, starts, [strata, "_hb"]).withColumn(
-        "_train", F.col("_rn") + F.col("_start") <= F.floor(F.col("_size") * frac + 0.5))
-    drop = ["_h", "_hb", "_rn", "_start", "_size", "_train"]
+    placed = with_hash_order(df, [strata], id_col, seed).withColumn(
+        "_train", F.col("_rn") <= F.floor(F.col("_size") * frac + 0.5))
+    drop = ["_rn", "_size", "_train"]
     return placed.filter("_train").drop(*drop), placed.filter(~F.col("_train")).drop(*drop)
 
 

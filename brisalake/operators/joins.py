@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brisalake.functions import as_col, exact_sum, round_half_away
 from brisalake.operators.conform import derived_gaps, dedup_any
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_LIMIT = 16 * 1024 * 1024  # planned bytes; rows in memory are a few times larger
 
 
 def planned_bytes(df: DataFrame) -> int | None:

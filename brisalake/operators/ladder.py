@@ -130,3 +130,25 @@ def quantiles(df: DataFrame, by: Sequence[str], col: str, ps: Mapping[str, float
         part = F.max(pos - lo)
         aggs.append((low * (1 - part) + high * part).alias(name))
     return ladder.groupBy(*by).agg(*aggs)
+
+
+def with_hash_order(df: DataFrame, by: Sequence[str], id_col: str, seed: int,
+                    first: int | None = None) -> DataFrame:
+    """``_rn`` numbers the rows of a group in a fixed pseudo-random order; ``_size`` is the group.
+
+    Rows are ordered by hash. Counts per hash range say where each range
+    starts, so a large group is numbered range by range. With ``first`` the
+    ranges beyond the first n rows are dropped before anything is sorted.
+    """
+    by = list(by)
+    hashed = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    hashed = hashed.withColumn("_hb", F.shiftright("_h", 50))
+    per = Window.partitionBy(*by)
+    cells = hashed.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_c"))
+    starts = cells.select(*by, "_hb", _before(per.orderBy("_hb"), "_c").alias("_start"),
+                          F.sum("_c").over(per).alias("_size"))
+    if first is not None:
+        starts = starts.filter(F.col("_start") < first)
+    local = F.row_number().over(Window.partitionBy(*by, "_hb").orderBy("_h", id_col))
+    return (join_same(hashed, starts, [*by, "_hb"])
+            .withColumn("_rn", F.col("_start") + local).drop("_h", "_hb", "_start"))

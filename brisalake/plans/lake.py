@@ -17,7 +17,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.functions import decode_domain, encode_text_domain, round_half_away, safe_ratio
+from brisalake.functions import decode_domain, encode_text_domain, exact_sum, round_half_away, safe_ratio
 from brisalake.operators.joins import integrated_fact
 from brisalake.operators.reshape import target_trajectory
 from brisalake.session import shared_folder
@@ -30,10 +30,6 @@ FOCUS, LAST_YEAR = 3, 2001
 SCORE_RANGE, CUT = (0.0, 1000.0), 50.0
 
 
-def dec(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,4)")
-
-
 class Lake:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -107,18 +103,17 @@ class Lake:
 
     def _sums(self) -> DataFrame:
         """Exact sums per year and unit, reduced before the unit's attributes are joined."""
-        w, seen, ok = dec("peso_aluno"), F.col("avaliado"), F.col("alfabetizado")
-        total = lambda c: F.sum(c)
+        w, seen, ok = F.col("peso_aluno"), F.col("avaliado"), F.col("alfabetizado")
         agg = self.pupils.groupBy("ano", "id_municipio").agg(
             F.count(F.lit(1)).alias("alunos"), F.count_if(seen).alias("avaliados"),
-            total(F.when(seen, w)).alias("w"), total(F.when(seen & ok, w)).alias("wp"),
-            total(F.when(seen, dec(F.col("proficiencia_portugues") * F.col("peso_aluno")))).alias("wx"))
+            exact_sum(F.when(seen, w)).alias("w"), exact_sum(F.when(seen & ok, w)).alias("wp"),
+            exact_sum(F.when(seen, F.col("proficiencia_portugues") * w)).alias("wx"))
         return agg.join(self.units, "id_municipio")
 
     @staticmethod
     def _rate() -> Column:
-        passed = F.coalesce(F.sum("wp"), F.lit(0)).cast("double")
-        return round_half_away(safe_ratio(100.0 * passed, F.sum("w")))
+        passed = F.coalesce(exact_sum("wp"), F.lit(0.0))
+        return round_half_away(safe_ratio(100.0 * passed, exact_sum("w")))
 
     @property
     def fact(self) -> DataFrame:
@@ -167,7 +162,7 @@ class Lake:
     def state_fact(self) -> DataFrame:
         return self.sums.groupBy("ano", "sigla_uf", "nome_uf", "nome_regiao", "rede", "rede_nome").agg(
             self._rate().alias("taxa_alfabetizacao"),
-            safe_ratio(F.sum("wx"), F.sum("w"), 2).alias("media_portugues"))
+            safe_ratio(exact_sum("wx"), exact_sum("w"), 2).alias("media_portugues"))
 
     @property
     def state_targets(self) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brisalake.functions import (
-    band_left_closed, conditional_share, conditional_stddev, exact_avg, round_half_away,
+    band_left_closed, conditional_share, conditional_stddev, exact_avg, exact_sum, round_half_away,
     safe_ratio, tri_state_status, weighted_mean, weighted_rate)
 from brisalake.operators.joins import (
     fact_join_multikey, join_renamed_keys, multi_left_assembly, prior_cycle_join, scalar_subquery_filter)
@@ -86,9 +86,9 @@ def mart_level_distribution(levels: DataFrame, dim_unit: DataFrame) -> DataFrame
     """
     keys = ["ano", "rede", "rede_nome", "nivel"]
     per_unit = levels.groupBy(*keys, "id_municipio").agg(
-        F.sum(F.col("proporcao_alunos").cast("decimal(28,4)")).alias("s"), F.count("proporcao_alunos").alias("n"))
+        exact_sum("proporcao_alunos").alias("s"), F.count("proporcao_alunos").alias("n"))
     joined = per_unit.join(dim_unit.select("id_municipio", "sigla_uf", "nome_regiao"), "id_municipio")
-    mean = F.try_divide(F.sum("s").cast("double"), F.sum("n").cast("double"))
+    mean = F.try_divide(exact_sum("s"), F.sum("n").cast("double"))
     return joined.groupBy("ano", "sigla_uf", "nome_regiao", "rede", "rede_nome", "nivel").agg(
         round_half_away(mean).alias("proporcao_media"), F.count_distinct("id_municipio").alias("municipios"))
 

@@ -121,8 +121,8 @@ def _(k: Lake):
 @query("write_compact", f"SELECT {big('1')} AS files, COUNT(*) AS n FROM region")
 def _(k: Lake):
     path = write_compact(k.table("region"), f"{k.work}/compact")
-    return scan_parquet(k.spark, path).agg(
-        F.count_distinct(F.input_file_name()).alias("files"), F.count(F.lit(1)).alias("n"))
+    return scan_parquet(k.spark, path).select(F.input_file_name().alias("file")).agg(
+        F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"))
 
 
 @query("write_json_events", """SELECT id_evento, tipo_evento, ts_evento, CAST(id_municipio AS BIGINT) AS id_municipio,

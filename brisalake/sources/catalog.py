@@ -71,7 +71,7 @@ def table_profile(df: DataFrame) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         aggs += [F.count(c).alias(f"n{i}"),
-                 F.any_value(c.cast("string"), F.lit(True)).alias(f"e{i}")]
+                 F.any_value(c, F.lit(True)).alias(f"e{i}")]
         if isinstance(f.dataType, number):
             d = c.cast("double")
             aggs += [F.min(d).alias(f"lo{i}"), F.max(d).alias(f"hi{i}"),
@@ -85,7 +85,7 @@ def table_profile(df: DataFrame) -> DataFrame:
         rows.append(F.struct(
             F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
             round_half_away(F.try_divide(100.0 * (F.col("_all") - F.col(f"n{i}")), F.col("_all"))).alias("null_pct"),
-            F.col(f"e{i}").alias("example"), stat("lo").alias("min"), stat("hi").alias("max"),
+            F.col(f"e{i}").cast("string").alias("example"), stat("lo").alias("min"), stat("hi").alias("max"),
             stat("av").alias("mean"), stat("sd").alias("stddev")))
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 

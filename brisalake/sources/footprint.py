@@ -13,29 +13,26 @@ from brisalake.functions import fn_bytes_label, round_half_away, safe_ratio
 from brisalake.sources.catalog import file_sizes
 
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Compressed bytes per column of each parquet file, from its footer."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            store, inner = fs.FileSystem.from_uri(path)
-            with store.open_input_file(inner) as handle:
-                meta = pq.ParquetFile(handle).metadata
-                for g in range(meta.num_row_groups):
-                    group = meta.row_group(g)
-                    for i in range(group.num_columns):
-                        part = group.column(i)
-                        rows.append((path, part.path_in_schema.split(".")[0], part.total_compressed_size))
-        yield pd.DataFrame(rows, columns=["path", "column", "bytes"])
-
-
 def column_bytes(spark: SparkSession, path: str) -> DataFrame:
     """path, column, bytes over all row groups; footers are read on the executors."""
-    files = file_sizes(spark, path, "*.parquet").select(F.regexp_replace("path", r"^file:/+", "file:///").alias("path"))
-    return (files.mapInPandas(_footers, "path string, column string, bytes bigint")
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for file in batch["path"]:
+                store, inner = fs.FileSystem.from_uri(file)
+                with store.open_input_file(inner) as handle:
+                    meta = pq.ParquetFile(handle).metadata
+                    groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+                    parts = [g.column(i) for g in groups for i in range(g.num_columns)]
+                    rows += [(file, p.path_in_schema.split(".")[0], p.total_compressed_size) for p in parts]
+            yield pd.DataFrame(rows, columns=["path", "column", "bytes"])
+
+    files = file_sizes(spark, path, "*.parquet").select(
+        F.regexp_replace("path", r"^file:/+", "file:///").alias("path"))
+    return (files.mapInPandas(footers, "path string, column string, bytes bigint")
             .groupBy("path", "column").agg(F.sum("bytes").alias("bytes")))
 
 
