@@ -54,6 +54,12 @@ def safe_ratio(num: Column | str, den: Column | str, scale: int | None = None) -
     return ratio if scale is None else round_half_away(ratio, scale)
 
 
+def round_settled(c: Column | str, scale: int = 2) -> Column:
+    """Round an interpolated value: first drop the digits in which binary noise
+    would decide a decimal tie either way."""
+    return round_half_away(round_half_away(c, 6), scale)
+
+
 # --- conditional and weighted aggregates ------------------------------------
 def conditional_count(cond: Column) -> Column:
     return F.count_if(cond)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brisalake.operators.reshape import union_by_name
 from brisalake.plans.lake import CUT, Lake
-from brisalake.plans.oracle import r, xsum
+from brisalake.plans.oracle import r, rq, xsum
 from brisalake.plans.registry import query
 from brisalake.streaming import events as ev
 from brisalake.streaming import pipeline as pl
@@ -240,7 +240,7 @@ def _(k: Lake):
     return lag(k)
 
 
-_cuts = ", ".join(r(f"quantile_cont(latencia_ms, {p})", 1) + f" AS latencia_{n}_ms" for p, n in (
+_cuts = ", ".join(rq(f"quantile_cont(latencia_ms, {p})", 1) + f" AS latencia_{n}_ms" for p, n in (
     (0.5, "p50"), (0.9, "p90"), (0.95, "p95"), (0.99, "p99")))
 _metrics = f"""(SELECT (SELECT COUNT(*) FROM ev) AS eventos_processados, COUNT(*) AS eventos_validos,
     (SELECT COUNT(*) FROM dead) AS eventos_dlq, {r("100.0 * (SELECT COUNT(*) FROM dead) / (SELECT COUNT(*) FROM ev)")} AS taxa_dlq_pct,

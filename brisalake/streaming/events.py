@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from brisalake.functions import (
     as_col, cutoff_flag, decode_domain, exact_sum, fn_latency, head_before, key_bucket,
-    parse_timestamp, round_half_away, safe_ratio, weighted_rate)
+    parse_timestamp, round_half_away, round_settled, safe_ratio, weighted_rate)
 from brisalake.operators.joins import broadcast_if_small
 from brisalake.operators.ladder import join_same, quantiles
 from brisalake.operators.windows import upsert_keep_last
@@ -114,7 +114,7 @@ def tumbling_window_agg(events: DataFrame, duration: str, by: str, watermark: st
     sums = keyed.groupBy(*keys).agg(*base)
     return join_same(sums, cuts, keys).select(
         *keys, "eventos", round_half_away("r").alias("taxa_pct"),
-        round_half_away("p50", 1).alias("latencia_p50_ms"), round_half_away("p95", 1).alias("latencia_p95_ms"))
+        round_settled("p50", 1).alias("latencia_p50_ms"), round_settled("p95", 1).alias("latencia_p95_ms"))
 
 
 def keyed_running_state(events: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -215,7 +215,7 @@ def stream_metrics(valid: DataFrame, dlq: DataFrame, windows: DataFrame, alerts:
     out = one.select(
         total.alias("eventos_processados"), "eventos_validos", "eventos_dlq",
         F.coalesce(safe_ratio(100.0 * F.col("eventos_dlq"), total, 2), F.lit(0.0)).alias("taxa_dlq_pct"),
-        *[round_half_away(F.coalesce(F.col(f"q.{p}"), F.lit(0.0)), 1).alias(f"latencia_{p}_ms")
+        *[round_settled(F.coalesce(F.col(f"q.{p}"), F.lit(0.0)), 1).alias(f"latencia_{p}_ms")
           for p in ("p50", "p90", "p95", "p99")],
         "lag_total", "janelas_processadas", "alertas_gerados")
     if seconds is None:
