@@ -12,10 +12,14 @@ events    assessment events with known defects
 
 from __future__ import annotations
 
+import threading
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from brisalake.functions import decode_domain, encode_text_domain, exact_sum, round_half_away, safe_ratio
 from brisalake.operators.joins import integrated_fact
@@ -30,16 +34,34 @@ FOCUS, LAST_YEAR = 3, 2001
 SCORE_RANGE, CUT = (0.0, 1000.0), 50.0
 
 
+@dataclass
+class Silver:
+    """Where the silver tables of one input folder are, and what is known of them."""
+
+    root: str
+    schemas: dict[str, StructType] = field(default_factory=dict)
+    inputs: dict[str, DataFrame] = field(default_factory=dict)
+
+
+_SILVER: dict[tuple[str, str], Silver] = {}
+_LOCK = threading.RLock()
+
+
 class Lake:
+    """View of one input folder; the input tables must not change during the session."""
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        self._frames: dict[str, DataFrame] = {}
+        key = (spark.sparkContext.applicationId, folder)
+        with _LOCK:
+            if key not in _SILVER:
+                _SILVER[key] = Silver(shared_folder(spark))
+            self._silver = _SILVER[key]
 
     def table(self, name: str) -> DataFrame:
-        key = f"table {name}"
-        if key not in self._frames:
-            self._frames[key] = self.spark.read.parquet(self.path(name))
-        return self._frames[key]
+        if name not in self._silver.inputs:
+            self._silver.inputs[name] = self.spark.read.parquet(self.path(name))
+        return self._silver.inputs[name]
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -49,16 +71,22 @@ class Lake:
         return shared_folder(self.spark)
 
     def stored(self, name: str, build) -> DataFrame:
-        """Silver table: written once to the shared folder, then read.
+        """Silver table: written once per session and folder to shared storage, then read.
 
-        Frames that later plans read several times are stored, so their joins
-        run once and lineage stays short.
+        Marts and reports read the same silver tables, so the joins below them
+        run once and lineage stays short. A table that is gone is built again.
         """
-        path = f"{self.work}/silver/{name}"
-        if name not in self._frames:
-            build().write.parquet(path)
-            self._frames[name] = self.spark.read.parquet(path)
-        return self._frames[name]
+        path = f"{self._silver.root}/{name}"
+        with _LOCK:
+            if name in self._silver.schemas:
+                try:
+                    return self.spark.read.schema(self._silver.schemas[name]).parquet(path)
+                except AnalysisException:
+                    del self._silver.schemas[name]
+            build().write.mode("overwrite").parquet(path)
+            df = self.spark.read.parquet(path)
+            self._silver.schemas[name] = df.schema
+            return df
 
     @property
     def states(self) -> DataFrame:
