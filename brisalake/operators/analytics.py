@@ -197,9 +197,9 @@ def cluster_profile(df: DataFrame, cluster: str, cols: Sequence[str], order: str
 def priority_index(df: DataFrame, weights: Mapping[str, float] = PRIORITY_WEIGHTS) -> DataFrame:
     """Weighted percentile of gap (large is urgent), change and state distance (small is urgent)."""
     gap, change, relative = weights
-    out = percentile_rank_avg(df, gap, out="p_gap")
-    out = percentile_rank_avg(out, change, desc=True, out="p_trajetoria")
-    out = percentile_rank_avg(out, relative, desc=True, out="p_relativa")
+    out = percentile_rank_avg(df, gap, out="p_gap", source=df)
+    out = percentile_rank_avg(out, change, desc=True, out="p_trajetoria", source=df)
+    out = percentile_rank_avg(out, relative, desc=True, out="p_relativa", source=df)
     total = (F.col("p_gap") * weights[gap] + F.col("p_trajetoria") * weights[change]
              + F.col("p_relativa") * weights[relative])
     return out.withColumn("indice_prioridade", round_half_away(total, 1)).withColumn(

@@ -70,9 +70,12 @@ def value_ladder(df: DataFrame, by: Sequence[str], col: str, weight: str | None
             .select(*by, col, "n", (F.col("_off") + F.col("_in")).alias("below"), "total", "rows"))
 
 
-def with_position(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
-    """Every row with ``_n, _below, _total, _rows`` of its value."""
-    ladder = value_ladder(df, by, col)
+def with_position(df: DataFrame, by: Sequence[str], col: str, source: DataFrame | None = None) -> DataFrame:
+    """Every row with ``_n, _below, _total, _rows`` of its value.
+
+    ``source`` holds the same rows more cheaply, when ``df`` is a long plan.
+    """
+    ladder = value_ladder(df if source is None else source, by, col)
     for c in ("n", "below", "total", "rows"):
         ladder = ladder.withColumnRenamed(c, f"_{c}")
     return join_same(df, ladder, [*by, col], "left")

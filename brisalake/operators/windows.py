@@ -15,9 +15,10 @@ GROUP_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold
 HELPERS = ("_n", "_below", "_total", "_rows")
 
 
-def rank_within(df: DataFrame, by: Sequence[str], col: str, desc: bool = True, out: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, by: Sequence[str], col: str, desc: bool = True, out: str = "rank",
+                source: DataFrame | None = None) -> DataFrame:
     """RANK() per group: ties share a rank and leave a gap; nulls last."""
-    return (lad.with_position(df, by, col)
+    return (lad.with_position(df, by, col, source)
             .withColumn(out, lad.rank_column(desc)).drop(*HELPERS))
 
 
@@ -52,9 +53,9 @@ def stratified_sample(df: DataFrame, by: Sequence[str], n: int, seed: int, id_co
 
 
 def percentile_rank_avg(df: DataFrame, col: str, by: Sequence[str] | None = None, desc: bool = False,
-                        out: str = "pct_rank") -> DataFrame:
+                        out: str = "pct_rank", source: DataFrame | None = None) -> DataFrame:
     """Average rank of ties over the non-null count, times 100; null stays null."""
-    placed = lad.with_position(df, by or [], col)
+    placed = lad.with_position(df, by or [], col, source)
     below = F.col("_total") - F.col("_below") - F.col("_n") if desc else F.col("_below")
     pct = 100.0 * (below + (F.col("_n") + 1) / 2.0) / F.col("_total")
     return placed.withColumn(out, F.when(F.col(col).isNotNull(), pct)).drop(*HELPERS)

@@ -39,8 +39,8 @@ def mart_indicator(integrated: DataFrame, final_year: int = 2030) -> DataFrame:
         band_left_closed("taxa_alfabetizacao", RISK_CUTS, RISK_LABELS).alias("risco_alfabetizacao"),
         tri_state_status("meta_taxa_ano", "atingiu_meta_ano", TARGET_LABELS).alias("situacao_meta"),
         safe_ratio("gap_meta_2030", years, 2).alias("ritmo_anual_necessario_pp"))
-    ranked = rank_within(base, ["ano", "rede", "sigla_uf"], "taxa_alfabetizacao", True, "posicao_na_uf")
-    return quartile_ntile(ranked, ["ano", "rede"], "taxa_alfabetizacao", 4, "id_municipio", "quartil_nacional")
+    tiled = quartile_ntile(base, ["ano", "rede"], "taxa_alfabetizacao", 4, "id_municipio", "quartil_nacional")
+    return rank_within(tiled, ["ano", "rede", "sigla_uf"], "taxa_alfabetizacao", True, "posicao_na_uf", source=integrated)
 
 
 def mart_target_vs_actual(integrated: DataFrame) -> DataFrame:
