@@ -290,7 +290,10 @@ def dq_silver_gate(df: DataFrame, grain: Sequence[str], required: Sequence[str])
 
 
 def dq_gold_gate(marts: Mapping[str, DataFrame], minimum: int = 10_000) -> DataFrame:
-    """Row count, key, territory, risk domain and rate range of the marts that are given."""
+    """Row count, key, territory, risk domain and rate range of the marts that are given.
+
+    Give the marts as stored tables: rules with a shuffle of their own read them again.
+    """
     book = {
         "gold_indicador_municipio": [
             dq_row_count(minimum), dq_composite_key(["ano", "id_municipio", "rede", "serie"]),

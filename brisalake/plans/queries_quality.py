@@ -219,7 +219,8 @@ def _(k: Lake):
     t(entidade, verificacao, dimensao, status, severidade)""")
 def _(k: Lake):
     fact = k.integrated
-    return dq.dq_gold_gate({"gold_indicador_municipio": mart_indicator(fact),
+    stored = k.stored("gold_indicador_municipio", lambda: mart_indicator(fact))
+    return dq.dq_gold_gate({"gold_indicador_municipio": stored,
                             "gold_meta_vs_realizado": mart_target_vs_actual(fact),
                             "gold_evolucao_temporal": mart_evolution(fact)}, minimum=100).select(*_book)
 
