@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm import packing
+from brisalake.llm import exact_dedup, mixing, packing
 from brisalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,21 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), ranks_file())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
+
+
+@query("op5_splitting_tree_mixing")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    documents, drawn = mixing.mix(spark, table(spark, folder, "documents"))
+    return mixing.taken_words(documents, drawn).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op7_stateful_exact_dedup", """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+         g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
+    SELECT d.doc_id, keep_id, group_size, d.doc_id = keep_id AS kept, sha256(d.body) AS text_sha256
+    FROM d JOIN g USING (body)""")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    rows = exact_dedup.exact_dedup(spark, f"{folder}/documents.parquet")
+    return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+                       F.lower(F.hex("digest")).alias("text_sha256"))
