@@ -73,3 +73,19 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
+
+
+def byte_chunks(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, starts) of runs of rows with about ``limit`` bytes, so that arrays over bytes stay small."""
+    flat, starts = bytes_of(column)
+    row, n = 0, len(starts) - 1
+    while row < n:
+        end = max(row + 1, int(np.searchsorted(starts, starts[row] + limit, side="right")) - 1)
+        yield row, end, flat[starts[row]:starts[end]], starts[row:end + 1] - starts[row]
+        row = end
+
+
+def sum_by_row(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of values over each row's range; 0 for an empty one."""
+    sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return sums[starts[1:]] - sums[starts[:-1]]

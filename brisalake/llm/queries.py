@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm import exact_dedup, mixing, packing
+from brisalake.llm import chat, exact_dedup, mixing, packing, quality, secrets
 from brisalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,29 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(spark, f"{folder}/documents.parquet")
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
                        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op3_boosted_quality")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    trees = quality.fit(docs, table(spark, folder, "labels"))
+    scored = docs.select("doc_id", quality.held_out("doc_id").alias("held_out"), quality.score(F.col("text"), trees).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op8_typed_chat")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    control = F.lit("</s>[INST] ok [/INST]")
+    own = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.conversation_digests(chat.format_turns(turns))
+
+
+@query("op10_randomness_secrets")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(spark, table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"),
+                        count(2).alias("n_hex"), F.sha2(secrets.span_list(F.col("base")), 256).alias("base_sha256"),
+                        secrets.span_list(F.col("spans")).alias("spans"))
