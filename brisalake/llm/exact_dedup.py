@@ -22,7 +22,9 @@ from brisalake.llm.common import Stage, text_or_empty
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
               "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-              "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
+              "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+              # Without this each of many small stores sets aside megabytes of disk for its logs.
+              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def located(df: DataFrame, id_column: str, text_column: str, digest) -> DataFrame:
