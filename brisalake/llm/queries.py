@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm import chat, exact_dedup, mixing, packing, quality, secrets
+from brisalake.llm import chat, exact_dedup, mixing, packing, quality, secrets, topk
 from brisalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"),
                         count(2).alias("n_hex"), F.sha2(secrets.span_list(F.col("base")), 256).alias("base_sha256"),
                         secrets.span_list(F.col("spans")).alias("spans"))
+
+
+@query("op9_dual_tree_topk")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(spark, table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
