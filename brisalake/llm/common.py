@@ -89,3 +89,43 @@ def sum_by_row(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of values over each row's range; 0 for an empty one."""
     sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return sums[starts[1:]] - sums[starts[:-1]]
+
+
+def byte_table(chars: bytes) -> np.ndarray:
+    t = np.zeros(256, bool)
+    t[np.frombuffer(chars, np.uint8)] = True
+    return t
+
+
+BLANK = byte_table(b" \t\n\v\f\r")
+RANDOM = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 64, 256, dtype=np.uint64)
+
+
+def spans(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end places of runs of True that do not cross rows."""
+    cut = np.zeros(len(inside) + 1, bool)
+    cut[starts] = True
+    first = inside & np.concatenate([[True], ~inside[:-1]]) | inside & cut[:-1]
+    last = inside & np.concatenate([~inside[1:], [True]]) | inside & cut[1:]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def span_hashes(flat: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span (polynomial over a random value per byte, from the span's first byte on)."""
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    base = np.uint64(0x9E3779B97F4A7C15)
+    length = end - first
+    owner = np.repeat(np.arange(len(first)), length)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
+    place = np.repeat(first, length) + at
+    powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(int(length.max()), base, np.uint64))])
+    values = RANDOM[flat[place]] * powers[at]
+    return np.add.reduceat(values, np.cumsum(length) - length)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of the result depends on every bit of x; one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

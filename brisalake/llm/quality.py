@@ -16,49 +16,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisalake.llm.common import byte_chunks, sum_by_row, text_or_empty
+from brisalake.llm.common import BLANK, byte_chunks, byte_table, span_hashes, spans, sum_by_row, text_or_empty
 
 STATISTICS = ("log_bytes", "log_words", "word_bytes", "word_bytes_sd", "upper", "digit", "punctuation", "symbol", "blank",
               "newline", "wide", "line_bytes", "distinct_words", "top_word", "repeats_previous", "distinct_lines",
               "entropy", "sentence_ends", "capitals_at_start", "upper_words", "symbol_words", "control")
 
 
-def _table(chars: bytes) -> np.ndarray:
-    t = np.zeros(256, bool)
-    t[np.frombuffer(chars, np.uint8)] = True
-    return t
-
-
-BLANK = _table(b" \t\n\v\f\r")
-UPPER, DIGIT = _table(bytes(range(65, 91))), _table(bytes(range(48, 58)))
-PUNCTUATION, SYMBOL = _table(b".,;:!?'\"()-"), _table(b"#$%&*+/<=>@[\\]^_`{|}~")
-CONTROL = _table(bytes(x for x in range(32) if x not in b"\t\n\r"))
-ODD = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-
-
-def _spans(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and end places of runs of True that do not cross rows."""
-    cut = np.zeros(len(inside) + 1, bool)
-    cut[starts] = True
-    first = inside & np.concatenate([[True], ~inside[:-1]]) | inside & cut[:-1]
-    last = inside & np.concatenate([~inside[1:], [True]]) | inside & cut[1:]
-    return np.flatnonzero(first), np.flatnonzero(last) + 1
-
-
-def _hashes(flat: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span (polynomial over a random value per byte, from the span's first byte on)."""
-    if not len(first):
-        return np.zeros(0, np.uint64)
-    base = np.uint64(0x9E3779B97F4A7C15)
-    length = end - first
-    place = np.zeros(len(flat), np.int64)
-    owner = np.repeat(np.arange(len(first)), length)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
-    place = np.repeat(first, length) + at
-    powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(int(length.max()), base, np.uint64))])
-    values = ODD[flat[place]] * powers[at]
-    del owner, place
-    return np.add.reduceat(values, np.cumsum(length) - length)
+UPPER, DIGIT = byte_table(bytes(range(65, 91))), byte_table(bytes(range(48, 58)))
+PUNCTUATION, SYMBOL = byte_table(b".,;:!?'\"()-"), byte_table(b"#$%&*+/<=>@[\\]^_`{|}~")
+CONTROL = byte_table(bytes(x for x in range(32) if x not in b"\t\n\r"))
 
 
 def _distinct(row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,21 +49,21 @@ def statistics(column: pa.Array) -> np.ndarray:
         some = np.maximum(size, 1)
         share = lambda mask: sum_by_row(mask, starts) / some
         blank, upper, symbol = BLANK[flat], UPPER[flat], SYMBOL[flat]
-        first, end = _spans(~blank, starts)
+        first, end = spans(~blank, starts)
         row = np.searchsorted(starts, first, side="right") - 1
         length = (end - first).astype(float)
         words = np.bincount(row, minlength=n).astype(float)
         per = lambda x: np.bincount(row, weights=x, minlength=n) / np.maximum(words, 1)
         mean = per(length)
-        h = _hashes(flat, first, end)
+        h = span_hashes(flat, first, end)
         distinct, top = _distinct(row, h, n)
         again = np.concatenate([[False], (h[1:] == h[:-1]) & (row[1:] == row[:-1])]) if len(h) else np.zeros(0, bool)
         last = flat[end - 1] if len(end) else flat[:0]
         within = lambda mask: (lambda s: (s[end] - s[first]) / np.maximum(length, 1))(np.concatenate([[0], np.cumsum(mask)]))
-        lines_first, lines_end = _spans(flat != 10, starts)
+        lines_first, lines_end = spans(flat != 10, starts)
         line_row = np.searchsorted(starts, lines_first, side="right") - 1
         lines = np.bincount(line_row, minlength=n).astype(float)
-        line_distinct, _ = _distinct(line_row, _hashes(flat, lines_first, lines_end), n)
+        line_distinct, _ = _distinct(line_row, span_hashes(flat, lines_first, lines_end), n)
         owner = np.repeat(np.arange(n), np.diff(starts))
         counts = np.bincount(owner * 256 + flat, minlength=n * 256).reshape(n, 256) / some[:, None]
         entropy = -(counts * np.log2(np.where(counts > 0, counts, 1))).sum(1)

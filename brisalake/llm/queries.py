@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm import chat, exact_dedup, mixing, packing, quality, secrets, topk
+from brisalake.llm import chat, exact_dedup, jaccard, mixing, packing, quality, secrets, topk
 from brisalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_dual_tree_topk")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(spark, table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op1_token_group_jaccard")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.jaccard_components(spark, table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
