@@ -58,46 +58,55 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], share: float, m
                     F.when(at_limit, F.col("limit")).otherwise(F.col("weight") * F.col("free.level")).alias("target"))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
     """Good ones among ``draws`` of ``total`` without replacement, by inversion of u from the mode outwards.
 
     Twelve standard deviations either side hold all that a double can tell from 0.
     """
-    n, k, c = total.cast("double"), good.cast("double"), draws.cast("double")
-    low, high = F.greatest(F.lit(0.0), c - (n - k)), F.least(k, c)
-    mode = F.greatest(low, F.least(high, F.floor((c + 1) * (k + 1) / (n + 2)).cast("double")))
-    variance = c * (k / n) * (1 - k / n) * (n - c) / F.greatest(n - 1, F.lit(1.0))
-    reach = F.ceil(12 * F.sqrt(F.greatest(variance, F.lit(0.0))) + 12)
-    ups = F.least(high - mode, reach.cast("double")).cast("bigint")
-    downs = F.least(mode - low, reach.cast("double")).cast("bigint")
-    steps = lambda m: F.when(m > 0, F.sequence(F.lit(1).cast("bigint"), m)).otherwise(F.array().cast("array<bigint>"))
-    up = lambda p, x: p * (k - x + 1) * (c - x + 1) / (x * (n - k - c + x))  # noqa: E731  weight of x from that of x - 1
-    down = lambda p, x: p * (x + 1) * (n - k - c + x + 1) / ((k - x) * (c - x))  # noqa: E731  of x from that of x + 1
-
-    def walk(m: Column, step, sign: int, start: Column) -> Column:
-        """(weights summed from start, the first place where the sum passes the mark or null)."""
-        zero = F.struct(F.lit(1.0).alias("p"), start.alias("sum"), F.lit(None).cast("double").alias("at"))
+    def range_of(v: Column) -> Column:
+        n, k, c = v["n"], v["k"], v["c"]
+        low, high = F.greatest(F.lit(0.0), c - (n - k)), F.least(k, c)
+        mode = F.greatest(low, F.least(high, F.floor((c + 1) * (k + 1) / (n + 2)).cast("double")))
+        variance = c * (k / n) * (1 - k / n) * (n - c) / F.greatest(n - 1, F.lit(1.0))
+        reach = F.ceil(12 * F.sqrt(F.greatest(variance, F.lit(0.0))) + 12).cast("double")
+        return F.struct(n.alias("n"), k.alias("k"), c.alias("c"), v["u"].alias("u"), mode.alias("mode"),
+                        F.least(high - mode, reach).cast("bigint").alias("ups"), F.least(mode - low, reach).cast("bigint").alias("downs"))
+
+    def walk(w: Column, sign: int, start: Column, mark: Column) -> Column:
+        """(sum of the weights from start on, the first place where it reaches the mark or null)."""
+        m = w["ups"] if sign > 0 else w["downs"]
+        steps = F.when(m > 0, F.sequence(F.lit(1).cast("bigint"), m)).otherwise(F.array().cast("array<bigint>"))
+        n, k, c = w["n"], w["k"], w["c"]
 
         def go(acc: Column, i: Column) -> Column:
-            x = mode + sign * i
-            p = step(acc["p"], x)
-            total_ = acc["sum"] + p
-            return F.struct(p.alias("p"), total_.alias("sum"),
-                            F.coalesce(acc["at"], F.when(total_ >= mark[0], x)).alias("at"))
+            x = w["mode"] + sign * i
+            if sign > 0:  # the weight of x from that of x - 1, or of x + 1
+                p = acc["p"] * (k - x + 1) * (c - x + 1) / (x * (n - k - c + x))
+            else:
+                p = acc["p"] * (x + 1) * (n - k - c + x + 1) / ((k - x) * (c - x))
+            return F.struct(p.alias("p"), (acc["sum"] + p).alias("sum"),
+                            F.coalesce(acc["at"], F.when(acc["sum"] + p >= mark, x)).alias("at"))
+
+        return F.aggregate(steps, F.struct(F.lit(1.0).alias("p"), start.alias("sum"), F.lit(None).cast("double").alias("at")), go)
 
-        return F.aggregate(steps(m), zero, go)
+    def found(w: Column, mark: Column) -> Column:
+        right = walk(w, 1, F.lit(1.0), mark)
+        either = let(right, lambda r: F.coalesce(r["at"], walk(w, -1, r["sum"], mark)["at"], w["mode"]))
+        return F.when(mark <= 1.0, w["mode"]).otherwise(either)
 
-    mark = [F.lit(float("inf"))]
-    right = walk(ups, up, 1, F.lit(1.0))["sum"]
-    whole = walk(downs, down, -1, right)["sum"]
-    mark[0] = u * whole
-    to_right = walk(ups, up, 1, F.lit(1.0))
-    found = F.when(mark[0] <= 1.0, mode).otherwise(
-        F.coalesce(to_right["at"], walk(downs, down, -1, to_right["sum"])["at"], mode))
-    return F.when(n <= 0, F.lit(0)).when(low >= high, low).otherwise(found).cast("bigint")
+    never = F.lit(float("inf"))
+    inverted = let(F.struct(total.cast("double").alias("n"), good.cast("double").alias("k"), draws.cast("double").alias("c"), u.alias("u")),
+                   lambda v: let(range_of(v), lambda w: let(walk(w, 1, F.lit(1.0), never)["sum"], lambda r: let(
+                       w["u"] * walk(w, -1, r, never)["sum"], lambda mark: found(w, mark)))))
+    return F.when((total <= 0) | (good <= 0) | (draws <= 0), F.lit(0)).when(draws >= total, good).otherwise(inverted).cast("bigint")
 
 
-def splitting_tree(spark: SparkSession, quotas: DataFrame, shards: int, seed: int) -> DataFrame:
+def splitting_tree(stage: Stage, quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     """shard, quota array: blocks of each source (in the order of ``quotas``) for every shard.
 
     A node holds the shards [lo, hi) and its quota vector; its left child draws the
@@ -109,8 +118,8 @@ def splitting_tree(spark: SparkSession, quotas: DataFrame, shards: int, seed: in
         F.lit(0).cast("bigint").alias("lo"), F.lit(shards).cast("bigint").alias("hi"), F.col("v.blocks").alias("q"))
     levels = max(0, (shards - 1).bit_length())
     for level in range(levels):
-        if level == 6:
-            nodes = nodes.repartition("lo")
+        if level:
+            nodes = stage.store(nodes.repartition("lo") if level >= 6 else nodes, f"level-{level}")
         mid = F.shiftright(F.col("lo") + F.col("hi"), 1)
         capacity = F.floor(total * (mid - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("bigint")
 
@@ -193,7 +202,7 @@ def mix(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_co
     if not n_blocks:
         return joined, drawn.select("row", "id", "source", "pass", "start", "words", F.lit(0).cast("bigint").alias("shard"),
                                     F.lit(0).alias("place"))
-    leaves = splitting_tree(spark, quotas, max(1, -(-n_blocks // shard_blocks)), seed)
+    leaves = splitting_tree(stage, quotas, max(1, -(-n_blocks // shard_blocks)), seed)
     number = F.row_number().over(Window.orderBy("turn", "pass")) - 1
     leaves = leaves.select("shard", F.posexplode("quota").alias("number", "n")).join(
         F.broadcast(quotas.withColumn("number", number)), "number")
