@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm import chat, exact_dedup, jaccard, mixing, packing, quality, secrets, topk
+from brisalake.llm import chat, exact_dedup, jaccard, mixing, packing, quality, secrets, suffix_dedup, topk
 from brisalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard.jaccard_components(spark, table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op6_bwt_repeats")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(spark, table(spark, folder, "documents"))
+    kept = F.coalesce(F.sha2("kept", 256), F.lower(F.hex("sha")))
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256"))
