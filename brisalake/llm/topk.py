@@ -21,19 +21,21 @@ from pyspark.sql import functions as F
 
 from brisalake.llm.common import Stage
 
-LEAF = 64
+LEAF, FAN = 256, 8
+MERGE = 50_000  # candidates gathered before they are merged into the best
 SLACK = 1e-6  # against rounding of the bound, relative to its parts
 
 
 class CoverTree:
     """Nodes over a reordered matrix: a centre, its covering radius, a range of rows, and children or none.
 
-    A node's children are centred on a greedy net of its rows: no two centres lie
-    within half of the node's radius, and every row belongs to a centre that near.
+    The children's centres are taken farthest first, the node's own to begin with: any
+    two of them are at least as far apart as any row is from the nearest, to which it
+    belongs.
     """
 
     def __init__(self, x: np.ndarray, leaf: int = LEAF):
-        self.x, self.order = x, np.arange(len(x))
+        self.order = np.arange(len(x))
         self.nodes: list[tuple[np.ndarray, float, float, int, int, list[int]]] = []
         todo = [(0, len(x), None)]
         while todo:
@@ -47,13 +49,22 @@ class CoverTree:
                 self.nodes[parent][5].append(number)
             if hi - lo <= leaf or far.max() == 0:
                 continue
-            half, at, rest = far.max() / 2, lo, rows
-            while len(rest):
-                near = np.sqrt(((x[rest] - x[rest[0]]) ** 2).sum(1)) <= half
-                group = rest[near]
+            nearest, heads = np.zeros(len(rows), np.int64), [0]
+            for j in range(1, FAN):
+                head = int(far.argmax())
+                if far[head] == 0:
+                    break
+                heads.append(head)
+                other = np.sqrt(((x[rows] - x[rows[head]]) ** 2).sum(1))
+                nearest[other < far] = j
+                far = np.minimum(far, other)
+            at = lo
+            for j, head in enumerate(heads):
+                group = np.flatnonzero(nearest == j)
+                group = rows[np.concatenate([[head], group[group != head]])]  # the head comes first: it is the child's centre
                 self.order[at:at + len(group)] = group
                 todo.append((at, at + len(group), number))
-                at, rest = at + len(group), rest[~near]
+                at += len(group)
         self.sorted = x[self.order]
 
 
@@ -68,7 +79,20 @@ def dual_search(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, floor: n
     d_rows = dt.sorted if exact_in_double else rows[dt.order]
     d_ids = ids[dt.order]
     worst = floor[qt.order].astype(np.int64)
-    score, best = np.full((len(queries), k), np.iinfo(np.int64).min), np.full((len(queries), k), np.iinfo(np.int64).max)
+    best = [np.zeros(0, np.int64) for _ in range(3)]  # query, score, id; by query, then best first
+    fresh: list[tuple[np.ndarray, ...]] = []
+
+    def merge() -> None:
+        """Keep each query's k best; its k-th raises what later pairs must reach."""
+        q, s, i = (np.concatenate([b, *(f[j] for f in fresh)]) for j, b in enumerate(best))
+        by = np.lexsort((i, ~s, q))  # ~s sorts like -s and cannot overflow
+        q, s, i = q[by], s[by], i[by]
+        first = np.searchsorted(q, q, side="left")
+        rank = np.arange(len(q)) - first
+        np.maximum.at(worst, q[rank == k - 1], s[rank == k - 1])
+        for j, x in enumerate((q, s, i)):
+            best[j] = x[rank < k]
+        fresh.clear()
 
     def bound(a: int, b: int) -> float:
         qc, rq, nq, *_ = qt.nodes[a]
@@ -85,22 +109,19 @@ def dual_search(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, floor: n
             continue
         if not q_children and not d_children:
             got = np.asarray(q_rows[qlo:qhi] @ d_rows[dlo:dhi].T).astype(np.int64)
-            hit = np.flatnonzero((got >= worst[qlo:qhi, None]).any(1))
-            if len(hit):
-                at = qlo + hit
-                s = np.concatenate([score[at], got[hit]], axis=1)
-                i = np.concatenate([best[at], np.broadcast_to(d_ids[dlo:dhi], (len(hit), dhi - dlo))], axis=1)
-                pick = np.lexsort((i, ~s), axis=1)[:, :k]  # ~s sorts like -s and cannot overflow
-                score[at], best[at] = np.take_along_axis(s, pick, 1), np.take_along_axis(i, pick, 1)
-                worst[at] = np.maximum(worst[at], score[at, k - 1])
+            q, d = np.nonzero(got >= worst[qlo:qhi, None])
+            if len(q):
+                fresh.append((q + qlo, got[q, d], d_ids[dlo + d]))
+                if sum(len(f[0]) for f in fresh) > MERGE:
+                    merge()
             continue
         if d_children and (rd >= rq or not q_children):
             pairs = [(a, c) for c in d_children]
         else:
             pairs = [(c, b) for c in q_children]
         todo.extend(sorted((bound(x, y), x, y) for x, y in pairs))  # the most promising pair is walked first
-    q, rank = np.nonzero((best != np.iinfo(np.int64).max) & (score >= floor[qt.order][:, None]))
-    return qt.order[q], best[q, rank], score[q, rank]
+    merge()
+    return qt.order[best[0]], best[2], best[1]
 
 
 def matrix(lists) -> np.ndarray:
