@@ -129,3 +129,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+SMALL_ROWS = 200_000  # of a few narrow columns: some megabytes
+
+
+def small_side(stored: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A stored narrow table, to be broadcast if its rows have been counted and are few; else it shuffles."""
+    return F.broadcast(stored) if stored.count() <= rows else stored

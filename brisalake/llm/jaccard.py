@@ -7,7 +7,7 @@ are rarely looked at. (The sample steers cost only: any order gives the same lin
 
 1. Equal sets are one class, kept as one representative.
 2. Similar documents are partitioned into groups: representatives with the same
-   smallest token whose similarity to the group's leader has been verified.
+   first token whose similarity to the group's leader has been verified.
 3. The matrix holds, per leading token, the groups whose union has it. Tokens of a
    single group say nothing about links between groups and are dropped, so a family
    of near copies, however large, adds one row per token.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm.common import BLANK, Stage, byte_chunks, mixed, span_hashes, spans, text_or_empty
+from brisalake.llm.common import BLANK, Stage, byte_chunks, mixed, small_side, span_hashes, spans, text_or_empty
 from brisalake.llm.components import components
 
 COMMON = np.int64(1) << np.int64(62)  # set in the place of a common token, so that it sorts last
@@ -82,11 +82,22 @@ def common_tokens(docs: DataFrame, width: int, one_in: int, least: int, most: in
 PACKED = "bucket int, tokens binary, rows binary"
 
 
-def packed(tokens: np.ndarray, rows: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """(token, row) pairs as one row per bucket, in arrays."""
+def short(tokens: np.ndarray) -> bytes:
+    """The low 48 bits of each token; enough to find candidates, which are verified on whole tokens."""
+    return tokens.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def from_short(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.view(np.int64).ravel()
+
+
+def packed(tokens: np.ndarray, rows: np.ndarray, buckets: int, rest: np.ndarray | None = None) -> pa.RecordBatch:
+    """(token, row) pairs as one row per bucket, in arrays; ``rest`` stands for a token within its bucket."""
     bucket = tokens % buckets
     order = np.argsort(bucket, kind="stable")
-    tokens, rows, bucket = tokens[order], rows[order], bucket[order]
+    tokens, rows, bucket = (tokens if rest is None else rest)[order], rows[order], bucket[order]
     cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]]) if len(bucket) else [0]
     parts = list(zip(cut[:-1], cut[1:]))
     return pa.RecordBatch.from_arrays([
@@ -94,13 +105,13 @@ def packed(tokens: np.ndarray, rows: np.ndarray, buckets: int) -> pa.RecordBatch
         pa.array([rows[a:b].tobytes() for a, b in parts], pa.binary())], names=["bucket", "tokens", "rows"])
 
 
-def gathered(df: DataFrame, fn, schema: str) -> DataFrame:
+def gathered(df: DataFrame, fn, schema: str, width=np.int64) -> DataFrame:
     """fn(bucket, tokens, rows) for each bucket; buckets hold about BUCKET_TOKENS pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
 
         def close() -> pa.RecordBatch:
-            tokens, rows = (np.frombuffer(b"".join(x[i] for x in held), np.int64) for i in (0, 1))
+            tokens, rows = (np.frombuffer(b"".join(x[i] for x in held), kind) for i, kind in ((0, width), (1, np.int64)))
             return fn(now, tokens, rows)
 
         for batch in batches:
@@ -116,12 +127,12 @@ def gathered(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
-MEASURED = ("id bigint, doc_key binary, n bigint, digest binary, least bigint, prefix_size bigint, last bigint, "
+MEASURED = ("id bigint, doc_key binary, n bigint, digest binary, first bigint, prefix_size bigint, last bigint, "
             "rare binary, common binary")
 
 
 def measure(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """Per document its set's size and digest, its smallest token, and its prefix split into rare and common tokens."""
+    """Per document its set's size and digest, its first token, and its prefix split into rare and common tokens."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,12 +147,12 @@ def measure(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> Da
                 rare, shared = t[~often][:take], t[often]
                 shared = shared[:take - len(rare)]
                 last = int(shared[-1] | COMMON) if len(shared) else int(rare[-1]) if len(rare) else None
-                out.append((n, hashlib.blake2b(t.tobytes(), digest_size=16).digest() if n else None, int(t[0]) if n else None,
-                            take, last, rare.tobytes(), shared.tobytes()))
+                out.append((n, hashlib.blake2b(t.tobytes(), digest_size=16).digest() if n else None,
+                            int((rare if len(rare) else shared)[0]) if n else None, take, last, short(rare), (shared | COMMON).tobytes()))
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             columns = [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=[
-                "id", "doc_key", "n", "digest", "least", "prefix_size", "last", "rare", "common"])
+                "id", "doc_key", "n", "digest", "first", "prefix_size", "last", "rare", "common"])
 
     return docs.select("id", "doc_key", "body").mapInArrow(run, MEASURED)
 
@@ -161,18 +172,21 @@ def shared_tokens(prefixes: DataFrame, buckets: int) -> DataFrame:
     """(token, row) of the rare tokens that at least two rows have."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-            rows = np.repeat(np.asarray(batch.column(0)), [len(t) for t in tokens])
-            yield packed(np.concatenate([np.zeros(0, np.int64), *tokens]), rows, buckets)
+            lists = batch.column(1).to_pylist()
+            rows = np.repeat(np.asarray(batch.column(0)), [len(t) // 6 for t in lists])
+            tokens = from_short(b"".join(lists))
+            for_bucket = tokens % buckets
+            yield packed(for_bucket, rows, buckets, (tokens // buckets).astype(np.uint32))
 
     def several(bucket: int, tokens: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(tokens, kind="stable")
         t, r = tokens[order], rows[order]
         same = t[1:] == t[:-1]
         keep = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        return pa.RecordBatch.from_arrays([pa.array(t[keep]), pa.array(r[keep])], names=["token", "row"])
+        token = (np.int64(bucket) << np.int64(32)) + t[keep].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(r[keep])], names=["token", "row"])
 
-    return gathered(prefixes.mapInArrow(deal, PACKED), several, "token bigint, row bigint")
+    return gathered(prefixes.mapInArrow(deal, PACKED), several, "token bigint, row bigint", np.uint32)
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -218,29 +232,29 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
 
     # Classes of equal sets, by their representative.
     classes = stage.store(all_docs.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min("id").alias("least_id")), "classes")
-    reps = stage.store(classes.join(all_docs.select("row", "n", "least", "prefix_size", "last", "doc_key"), "row"), "representatives")
+    reps = stage.store(classes.join(all_docs.select("row", "n", "first", "prefix_size", "last", "doc_key"), "row"), "representatives")
 
     # Leading tokens that several representatives have.
     total = all_docs.agg(F.sum(F.length("rare"))).first()[0] or 0
-    only = reps.select("row")
-    rare = shared_tokens(all_docs.select("row", "rare").join(only, "row"), max(1, total // 8 // BUCKET_TOKENS))
-    often = unpacked(all_docs.filter(F.length("common") > 0).select("row", "common").join(only, "row"))
-    tokens = stage.store(rare.unionByName(often), "tokens")
-
-    # Groups: the same smallest token, and verified against the leader.
-    leaders = reps.groupBy("least").agg(F.min("row").alias("leader"), F.count("*").alias("many")).filter("many > 1")
-    led = stage.store(reps.join(leaders, "least").select("row", "leader"), "led")
-    wanted = tokens.select("row").union(led.select("row")).distinct().join(led, "row", "left")
-    wanted = reps.select("row", "doc_key").join(wanted, "row")
-
-    def sets_of(df: DataFrame) -> DataFrame:
+    rare = shared_tokens(all_docs.select("row", "rare"), max(1, total // 6 // BUCKET_TOKENS))
+    often = unpacked(all_docs.filter(F.length("common") > 0).select("row", "common"))
+    tokens = stage.store(rare.unionByName(often).join(reps.select("row"), "row", "left_semi"), "tokens")
+
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        """(row, leader, tokens) of the wanted rows, made from their texts."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 made = pa.array([t.tobytes() for t in shingle_sets(batch.column(2), width)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=["row", "leader", "tokens"])
-        return df.select("row", "leader", "body").mapInArrow(run, "row bigint, leader bigint, tokens binary")
 
-    sets = stage.store(sets_of(docs.select("doc_key", "body").join(wanted, "doc_key")), "sets")
+        keys = small_side(stage.store(reps.select("row", "doc_key").join(wanted, "row"), f"{name}-keys"))
+        found = docs.select("doc_key", "body").join(keys, "doc_key").select("row", "leader", "body")
+        return stage.store(found.mapInArrow(run, "row bigint, leader bigint, tokens binary"), name)
+
+    # Groups: the same first token, and verified against the leader.
+    leaders = reps.groupBy("first").agg(F.min("row").alias("leader"), F.count("*").alias("many")).filter("many > 1")
+    led = stage.store(reps.join(leaders, "first").select("row", "leader"), "led")
+    sets = sets_of(led, "led-sets")
     lead = sets.filter("row = leader").select("leader", F.col("tokens").alias("lead"))
     grouped = stage.store(sets.filter("row <> leader").join(lead, "leader").filter(similar("tokens", "lead", percent))
                           .select("row", "leader").distinct(), "grouped")
@@ -260,6 +274,11 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
     pairs = pairs.join(ga, "a").join(gb, "b").filter(qualifies(percent))
     pairs = stage.store(pairs.select("a", "b", (F.greatest("members_a", "members_b") > 1).alias("open")), "pairs")
 
+    # Whole sets of what is left to compare: of larger groups every document's set is there.
+    paired = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    paired = paired.join(led, "row", "left_anti").withColumn("leader", F.lit(None).cast("bigint"))
+    sets = sets.unionByName(sets_of(paired, "paired-sets"))
+
     def verified(p: DataFrame, x: str, y: str) -> DataFrame:
         left = p.join(sets.select(F.col("row").alias(x), F.col("tokens").alias("left_set")), x)
         both = left.join(sets.select(F.col("row").alias(y), F.col("tokens").alias("right_set")), y)

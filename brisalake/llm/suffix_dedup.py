@@ -141,7 +141,7 @@ def anchors(flat: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarra
     long = np.flatnonzero(sizes >= least)
     if not len(long):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h, step, power = RANDOM[flat], 1, np.uint64(0x9E3779B97F4A7C15)
+    h, step, power = RANDOM[flat], 1, np.array([0x9E3779B97F4A7C15], np.uint64)  # an array: wraps without a warning
     while step < GRAM:
         h = h[:-step] * power + h[step:]
         step, power = 2 * step, power * power
@@ -304,7 +304,8 @@ def split_group(pairs: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              names=["tid", "lo", "hi", "grp", "seg", "anchor", "tids", "starts"])
 
-    return pairs.select("grp", "seg", "anchor", "tids", "starts", "ref.seg", "ref.anchor", "ref.tids", "ref.starts").mapInArrow(run, schema)
+    ref = [F.col(f"ref.{c}").alias(f"ref_{c}") for c in ("seg", "anchor", "tids", "starts")]
+    return pairs.select("grp", "seg", "anchor", "tids", "starts", *ref).mapInArrow(run, schema)
 
 
 # --- the operator ------------------------------------------------------------
