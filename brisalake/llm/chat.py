@@ -102,17 +102,14 @@ def read_parts(content: str, attachments: list[dict]) -> list[dict]:
     """The typed parts of a turn's content; text between placeholders is one part."""
     kinds = {v: k for k, v in PLACEHOLDERS.items()}
     rest, parts = iter(attachments), []
-    for piece in re.split(r"((?<!\\)(?:\\\\)*\[[A-Z]+\])", content):
-        lead, mark = (piece[:piece.index("[")], piece[piece.index("["):]) if piece.lstrip("\\")[:1] == "[" else (piece, "")
-        if mark not in kinds:
-            lead, mark = piece, ""
-        if lead:
-            if parts and parts[-1]["kind"] == "text":
-                parts[-1]["text"] += unescape(lead)
-            else:
-                parts.append({"kind": "text", "text": unescape(lead)})
-        if mark:
-            parts.append({"kind": kinds[mark], "ref": next(rest)["ref"]})
+    # An escaped character, a placeholder, or any other character.
+    for piece in re.findall(r"\\.|" + "|".join(map(re.escape, kinds)) + "|.", content, re.S):
+        if piece in kinds:
+            parts.append({"kind": kinds[piece], "ref": next(rest)["ref"]})
+        elif parts and parts[-1]["kind"] == "text":
+            parts[-1]["text"] += unescape(piece)
+        else:
+            parts.append({"kind": "text", "text": unescape(piece)})
     return parts
 
 
