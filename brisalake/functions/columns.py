@@ -22,25 +22,36 @@ def as_col(c: Column | str) -> Column:
 
 
 # --- rounding and sums ------------------------------------------------------
+WHOLE = float(1 << 53)  # doubles from here on have no fraction
+
+
 def round_half_away(c: Column | str, scale: int = 2) -> Column:
-    """Round a double half away from zero, the same way on every engine."""
+    """Round a double half away from zero, the same way on every engine.
+
+    NaN, infinities and numbers too large to have such decimals stay as they are.
+    """
     c, k = as_col(c).cast("double"), float(10**scale)
     up = F.floor(F.abs(c) * k + 0.5).cast("double") / k
-    return F.when((c < 0) & (up != 0), -up).otherwise(up)
+    rounded = F.when((c < 0) & (up != 0), -up).otherwise(up)
+    return F.when(F.isnan(c) | (F.abs(c) * k >= WHOLE), c).otherwise(rounded)
 
 
 def exact_sum(c: Column | str, scale: int = 4) -> Column:
-    """Sum of a measure kept to ``scale`` decimals, exact whatever the order of the rows.
+    """Sum of a measure; exact, whatever the order of the rows, if its values have ``scale`` decimals at most.
 
-    The value becomes a whole number of 10^-scale units and is summed in two
-    integer halves: no rounding while adding, no decimal object per row, and
-    more than 10^11 rows before a half can overflow (which is an error, never a
-    wrong result).
+    Such values become whole numbers of 10^-scale, summed in two integer halves: no
+    rounding while adding, no decimal object per row. If any value has more
+    decimals, is NaN or infinite, or is too large, the sum is the ordinary one of
+    doubles. More than 10^11 rows before a half overflows, which is an error.
     """
-    units = F.floor(as_col(c).cast("double") * float(10**scale) + 0.5)
+    value = as_col(c).cast("double")
+    scaled = value * float(10**scale)
+    nearest = F.floor(scaled + 0.5)
+    whole = (F.abs(scaled) < WHOLE) & (F.abs(scaled - nearest) <= 1e-4 + F.abs(scaled) * 4e-15)
+    units = F.when(whole, nearest)
     high, low = F.sum(F.shiftright(units, 20)), F.sum(units.bitwiseAND(F.lit((1 << 20) - 1).cast("bigint")))
     total = high.cast("decimal(20,0)") * F.lit(1 << 20) + low.cast("decimal(20,0)")
-    return total.cast("double") / float(10**scale)
+    return F.when(F.count(value) == F.count(units), total.cast("double") / float(10**scale)).otherwise(F.sum(value))
 
 
 def exact_avg(c: Column | str, scale: int = 4) -> Column:
@@ -156,7 +167,8 @@ def tri_state_status(target: Column | str, reached: Column | str, labels: Sequen
 def derive_parent_key(c: Column | str, divisor: int) -> Column:
     """Leading digits of a hierarchical code, by integer division."""
     c = as_col(c).cast("bigint")
-    return ((c - F.pmod(c, F.lit(divisor).cast("bigint"))) / divisor).cast("bigint")
+    whole = c - F.pmod(c, F.lit(divisor).cast("bigint"))
+    return F.call_function("div", whole, F.lit(divisor).cast("bigint"))
 
 
 # --- hashes, time, text ------------------------------------------------------

@@ -2,13 +2,17 @@
 
 A window ordered over a hot group, or ``percentile``, ends in a single task
 holding that group. Here a group is first reduced to its distinct values with
-counts (combined before the shuffle). Each value then falls into a
-size-class bin, a fixed monotone function of the value, so
+counts (combined before the shuffle). Each value then falls into a bin of two
+monotone levels: the value's size class (or its first characters), and inside one
+the size class of its distance from the class's smallest value (or the next
+characters). So
 
 * counts per bin are small (their number depends on the range of the measure,
   not on the rows) and can be accumulated per group, and
-* values inside one bin are accumulated by their own window partition.
+* values inside one bin, a small share of the group even where all values are
+  close to one another, are accumulated by their own window partition.
 
+Values order as in Spark: -infinity, numbers, infinity, NaN; nulls come last.
 Rank, ntile, average-rank percentile, quantile and median follow exactly from
 "how many rows lie below this value".
 """
@@ -19,16 +23,55 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STEPS = 256  # bins per factor of e; relative width of a bin is about 0.4 %
 LAST_BIN = 1 << 40
+TIE_BITS = 10  # whole-number ties are binned by so many low bits
 
 
-def size_class(c: Column) -> Column:
-    """Monotone integer bin of a number; nulls last."""
-    d = c.cast("double")
-    return F.when(c.isNull(), F.lit(LAST_BIN)).otherwise(
-        F.floor(F.signum(d) * F.log1p(F.abs(d)) * STEPS))
+def _classes(d: Column) -> Column:
+    """Monotone integer bin of a double; infinities and NaN have their own."""
+    return (F.when(F.isnan(d), F.lit(LAST_BIN - 1)).when(d == float("inf"), F.lit(LAST_BIN - 2))
+            .when(d == float("-inf"), F.lit(-LAST_BIN)).otherwise(F.floor(F.signum(d) * F.log1p(F.abs(d)) * STEPS)))
+
+
+def _characters(c: Column, first: int) -> Column:
+    """Four bytes of a text as a number, so that texts order as their numbers do."""
+    part = F.rpad(F.hex(F.substring(c.cast("binary"), first, 4)), 8, "0")
+    return F.conv(part, 16, 10).cast("bigint")
+
+
+def _number(df: DataFrame, col: str) -> Column:
+    kind = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double") if isinstance(kind, T.DateType) else c.cast("double")
+
+
+def with_bin(df: DataFrame, by: Sequence[str], col: str, out: str = "_bin") -> DataFrame:
+    """Add the two-level bin of ``col`` within its group; nulls fall in LAST_BIN."""
+    null, by = F.col(col).isNull(), list(by)
+    none = F.lit(LAST_BIN).cast("bigint")
+    two = lambda a, b: F.struct(F.when(null, none).otherwise(a.cast("bigint")).alias("a"), F.when(null, none).otherwise(b.cast("bigint")).alias("b"))
+    if isinstance(df.schema[col].dataType, (T.StringType, T.BinaryType)):
+        return df.withColumn(out, two(_characters(F.col(col), 1), _characters(F.col(col), 5)))
+    number = _number(df, col)
+    wide = df.withColumn("_wide", F.when(null, none).otherwise(_classes(number)))
+    least = wide.groupBy(*by, "_wide").agg(F.min(number).alias("_least"))
+    near = F.when(F.abs(F.col("_wide")) >= LAST_BIN - 2, F.lit(0)).otherwise(_classes(number - F.col("_least")))
+    return join_same(wide, least, [*by, "_wide"]).withColumn(out, two(F.col("_wide"), near)).drop("_wide", "_least")
+
+
+def tie_bin(df: DataFrame, col: str) -> Column:
+    """Monotone bin of a tie column: a run of whole numbers, the first characters of a text, or a size class."""
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, T.IntegralType):
+        bin_ = F.shiftright(c.cast("bigint"), TIE_BITS)
+    else:
+        bin_ = _characters(c, 1) if isinstance(kind, (T.StringType, T.BinaryType)) else _classes(_number(df, col))
+    return F.when(c.isNull(), F.lit(None).cast("bigint")).otherwise(bin_.cast("bigint"))
 
 
 def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -54,14 +97,13 @@ def value_ladder(df: DataFrame, by: Sequence[str], col: str, weight: str | None
     """
     by = list(by)
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = (df.groupBy(*by, col).agg(n.alias("n"))
-              .withColumn("_bin", size_class(F.col(col))))
+    counts = with_bin(df.groupBy(*by, col).agg(n.alias("n")), by, col)
     bins = counts.groupBy(*by, "_bin").agg(F.sum("n").alias("_bn"))
     per_group = Window.partitionBy(*by)
     offsets = bins.select(
         *by, "_bin",
         _before(per_group.orderBy("_bin"), "_bn").alias("_off"),
-        F.coalesce(F.sum(F.when(F.col("_bin") < LAST_BIN, F.col("_bn"))).over(per_group),
+        F.coalesce(F.sum(F.when(F.col("_bin.a") < LAST_BIN, F.col("_bn"))).over(per_group),
                    F.lit(0)).alias("total"),
         F.sum("_bn").over(per_group).alias("rows"))
     inside = counts.withColumn(
@@ -95,7 +137,7 @@ def with_row_number(df: DataFrame, by: Sequence[str], col: str, tie: str, out: s
     Ties may be hot, so they are split into bins of the tie column.
     """
     by = list(by)
-    binned = df.withColumn("_tb", size_class(F.col(tie)))
+    binned = df.withColumn("_tb", tie_bin(df, tie))
     cells = binned.groupBy(*by, col, "_tb").agg(F.count(F.lit(1)).alias("_c"))
     ladder = value_ladder(cells, by, col, weight="_c").select(
         *by, col, "below", F.col("rows").alias("_rows"))

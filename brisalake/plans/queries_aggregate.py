@@ -88,6 +88,34 @@ def _(k: Lake):
         fx.round_half_away(fx.exact_avg("l_discount"), 4).alias("mean_discount")])
 
 
+# Measures of any size: no declared decimals, so the oracle adds plain doubles.
+@query("sum_small_values", f"""SELECT event_type, {r("sum(value / 1e6)", 9)} AS total, {r("avg(value / 1e6)", 12)} AS mean
+       FROM events GROUP BY 1""")
+def _(k: Lake):
+    small = F.col("value") / 1e6
+    return k.table("events").groupBy("event_type").agg(fx.round_half_away(fx.exact_sum(small), 9).alias("total"),
+                                                       fx.round_half_away(fx.exact_avg(small), 12).alias("mean"))
+
+
+@query("sum_large_values", """SELECT event_type, sum(event_id * 1e13) AS total, max(event_id * 1e13) AS top, count(*) AS n
+       FROM events GROUP BY 1""")
+def _(k: Lake):
+    large = F.col("event_id") * F.lit(1e13)
+    return k.table("events").groupBy("event_type").agg(fx.exact_sum(large).alias("total"),
+                                                       fx.round_half_away(F.max(large)).alias("top"), n_rows())
+
+
+@query("sum_with_nan", f"""SELECT event_type, isnan(sum(v)) AS is_nan, count(v) AS n, {r("sum(v) FILTER (NOT isnan(v))", 4)} AS finite
+       FROM (SELECT event_type, CASE WHEN event_type = 'click' AND event_id % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END AS v FROM events)
+       GROUP BY 1""")
+def _(k: Lake):
+    v = F.when((F.col("event_type") == "click") & (F.col("event_id") % 7 == 0), F.lit(float("nan"))).otherwise(F.col("value"))
+    rows = k.table("events").select("event_type", v.alias("v"))
+    return rows.groupBy("event_type").agg(
+        F.isnan(fx.exact_sum("v")).alias("is_nan"), F.count("v").alias("n"),
+        fx.round_half_away(fx.exact_sum(F.when(~F.isnan("v"), F.col("v"))), 4).alias("finite"))
+
+
 @query("percentile_exact", f"""SELECT event_type, {', '.join(
        r(f"quantile_cont(value, {p})", 4) + f" AS p{q}" for p, q in ((0.5, 50), (0.9, 90), (0.95, 95), (0.99, 99)))}
        FROM events GROUP BY 1""")
@@ -174,6 +202,34 @@ def _(k: Lake):
         "ano", "rede", "id_municipio", "quartil")
 
 
+# Ranks of values that lie close together, of texts, and with NaN and infinities.
+_odd = "CASE event_id % 50 WHEN 0 THEN NULL WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN CAST('Infinity' AS DOUBLE) " \
+       "WHEN 3 THEN CAST('-Infinity' AS DOUBLE) ELSE value END"
+
+
+@query("rank_epoch", """SELECT event_id, rank() OVER (PARTITION BY event_type ORDER BY epoch_ms(ts) DESC NULLS LAST) AS rank,
+       ntile(4) OVER (ORDER BY epoch_ms(ts) NULLS LAST, event_id) AS quartile FROM events""")
+def _(k: Lake):
+    rows = k.table("events").select("event_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("at"), F.lit(1).alias("every"))
+    ranked = wn.rank_within(rows, ["event_type"], "at")
+    return wn.quartile_ntile(ranked, ["every"], "at", 4, "event_id").select("event_id", "rank", "quartile")
+
+
+@query("rank_text", """SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_returnflag ORDER BY l_shipmode || l_comment_) AS rank
+       FROM (SELECT *, CAST(l_partkey AS VARCHAR) AS l_comment_, l_linestatus AS l_shipmode FROM lineitem)""")
+def _(k: Lake):
+    text = F.concat("l_linestatus", F.col("l_partkey").cast("string"))
+    rows = k.table("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", text.alias("text"))
+    return wn.rank_within(rows, ["l_returnflag"], "text", False).select("l_orderkey", "l_linenumber", "rank")
+
+
+@query("rank_odd_numbers", f"""SELECT event_id, rank() OVER (PARTITION BY event_type ORDER BY v DESC NULLS LAST) AS rank
+       FROM (SELECT event_id, event_type, {_odd} AS v FROM events)""")
+def _(k: Lake):
+    rows = k.table("events").select("event_id", "event_type", F.expr(_odd).alias("v"))
+    return wn.rank_within(rows, ["event_type"], "v").select("event_id", "rank")
+
+
 @query("latest_revision", """SELECT id_municipio, rede, ano_meta, meta_taxa, CAST(max(ano) AS INT) AS ano FROM longt l
        WHERE ano = (SELECT max(ano) FROM longt) GROUP BY ALL""")
 def _(k: Lake):

@@ -90,8 +90,7 @@ def _(k: Lake):
     return k.micro.filter("avaliado").agg(n_rows(), fx.exact_avg(differs.cast("int")).alias("disagreement"))
 
 
-_risk = """CASE WHEN taxa_alfabetizacao IS NULL THEN NULL WHEN taxa_alfabetizacao < 40 THEN 'Critico'
-           WHEN taxa_alfabetizacao < 55 THEN 'Alto' WHEN taxa_alfabetizacao < 70 THEN 'Medio' ELSE 'Baixo' END"""
+_risk = f"{list(RISK_LABELS)}[1 + {' + '.join(f'CAST(taxa_alfabetizacao >= {c} AS INT)' for c in RISK_CUTS)}]"
 
 
 @query("band_left_closed", f"SELECT {_risk} AS band, COUNT(*) AS n FROM fact GROUP BY 1")

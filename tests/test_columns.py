@@ -1,3 +1,6 @@
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
 from brisalake import functions as fx
@@ -73,3 +76,19 @@ def test_small_helpers(spark):
     assert value(fx.nullable_range(F.lit(None).cast("double"), 0, 1)) is True
     a, b = (F.lit(t).cast("timestamp") for t in ("2024-01-01 00:00:00.250", "2024-01-01 00:00:01.750"))
     assert value(fx.fn_latency(a, b)) == 1500
+
+
+def test_sums_never_round_saturate_or_hide_nan(spark):
+    df = spark.createDataFrame([("tiny", 2e-5), ("tiny", 3e-5), ("tiny", 4e-5), ("big", 1.7e15), ("big", 1.8e15), ("huge", 1e17), ("huge", 3e17),
+                                ("nan", 1.0), ("nan", float("nan")), ("inf", float("inf")), ("cents", 0.1), ("cents", 0.2), ("none", None)],
+                               "g string, v double")
+    got = {r.g: r for r in df.groupBy("g").agg(fx.exact_sum("v").alias("s"), fx.exact_avg("v").alias("m")).collect()}
+    assert got["tiny"].m == pytest.approx(3e-5, rel=1e-12) and got["cents"].s == 0.3 and got["none"].s is None and got["none"].m is None
+    assert got["big"].s == 3.5e15 and got["huge"].m == 2e17 and math.isnan(got["nan"].s) and got["inf"].s == math.inf
+
+
+def test_rounding_leaves_what_it_cannot_round(spark):
+    values = [1e17, -1e17, float("nan"), float("inf"), 2.345, -2.345, -0.001, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(fx.round_half_away("v")).collect()]
+    assert got[:2] == [1e17, -1e17] and math.isnan(got[2]) and got[3:] == [math.inf, 2.35, -2.35, 0.0, None]

@@ -80,3 +80,24 @@ def test_large_and_small_samples_agree(table, monkeypatch):
     small = {r.id for r in wn.stratified_sample(table, ["g"], 50, 7, "id").collect()}
     monkeypatch.setattr(wn, "GROUP_LIMIT", 10)
     assert {r.id for r in wn.stratified_sample(table, ["g"], 50, 7, "id").collect()} == small
+
+
+def test_odd_numbers_and_texts_rank_as_windows_do(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, v, t) for i, (v, t) in enumerate(zip([nan, 1.0, inf, 5.0, None, -inf, 1.0, nan, 1e300, -5e-324] * 3, "b é abcd abce abcdz a  z abcd".split(" ") * 4))]
+    df = spark.createDataFrame(rows, "id long, v double, t string").withColumn("g", F.lit(1))
+    for col in ("v", "t"):
+        for desc in (True, False):
+            order = F.desc_nulls_last(col) if desc else F.asc_nulls_last(col)
+            out = wn.rank_within(df, ["g"], col, desc).withColumn("want", F.rank().over(Window.partitionBy("g").orderBy(order)))
+            assert out.filter("rank <> want").count() == 0
+    out = wn.quartile_ntile(df, ["g"], "v", 4, "id").withColumn("want", F.ntile(4).over(Window.partitionBy("g").orderBy(F.asc_nulls_last("v"), "id")))
+    assert out.filter("quartile <> want").count() == 0
+
+
+def test_narrow_values_fall_into_many_bins(spark):
+    epoch = spark.range(100_000).select((F.lit(1_700_000_000_000) + F.col("id") * 37).alias("at"), F.lit(1).alias("g"))
+    sizes = [r["count"] for r in lad.with_bin(epoch, ["g"], "at").groupBy("_bin").count().collect()]
+    assert sum(sizes) == 100_000 and max(sizes) < 1_000
+    ids = spark.range(100_000).select((F.lit(10**15) + F.col("id")).alias("id"))
+    assert ids.groupBy(lad.tie_bin(ids, "id")).count().agg(F.max("count")).first()[0] <= 1 << lad.TIE_BITS
