@@ -23,6 +23,7 @@ brought together first:
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from brisalake.llm.common import RANDOM, Stage, byte_chunks, mixed, ranges, text_or_empty
 
-GRAM = 16
+GRAM = 128  # long enough that grams are seldom equal by chance
 BATCH_BYTES = 1 << 20
 GROUP_SEGMENTS = 2000
 SEPARATOR = b"\xff"  # no byte of UTF-8
@@ -178,40 +179,61 @@ SEGMENTS = "grp bigint, seg binary, anchor int, tids binary, starts binary"
 RUNS = "tid binary, lo bigint, hi bigint"
 
 
-def segment_batch(held: dict) -> pa.RecordBatch:
-    keys, values = list(held), list(held.values())
-    return pa.RecordBatch.from_arrays([
-        pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()),
-        pa.array([k[2] for k in keys], pa.int32()), pa.array([b"".join(t for t, _ in v) for v in values], pa.binary()),
-        pa.array([np.array([s for _, s in v], np.int64).tobytes() for v in values], pa.binary())],
-        names=["grp", "seg", "anchor", "tids", "starts"])
+def cut_batch(runs: list[tuple[bytes, int, int]], held: dict) -> pa.RecordBatch:
+    """Settled runs, then segments: rows of one or the other."""
+    n, m = len(runs), len(held)
+    tid, lo, hi = zip(*runs) if runs else ((), (), ())
+    values = list(held.values())
+    columns = [(pa.binary(), list(tid) + [None] * m), (pa.int64(), list(lo) + [None] * m), (pa.int64(), list(hi) + [None] * m),
+               (pa.int64(), [None] * n + [k[0] for k in held]), (pa.binary(), [None] * n + [k[1] for k in held]),
+               (pa.int32(), [None] * n + [k[2] for k in held]), (pa.binary(), [None] * n + [b"".join(t for t, _ in v) for v in values]),
+               (pa.binary(), [None] * n + [np.array([x for _, x in v], np.int64).tobytes() for v in values])]
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for k, v in columns],
+                                      names=["tid", "lo", "hi", "grp", "seg", "anchor", "tids", "starts"])
+
+
+def settle(key: tuple[int, bytes, int], places: list, least: int) -> tuple[list, list]:
+    """(runs, places to go on with): a segment at several places is repeated as a whole; two of them tell others so."""
+    if len(places) < 2 or len(key[1]) < least:
+        return [], places[:2] if len(set(places)) > 1 else places[:1]
+    return [(t, at, at + len(key[1])) for t, at in places], places[:2]
 
 
 def cut_segments(texts: DataFrame, least: int) -> DataFrame:
-    """(tid, body, at: array of (grp, pos)) to segments, equal ones combined within a task."""
+    """(tid, body, at: array of (grp, pos)) to segments, equal ones combined and settled within a task."""
     reach = least - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal size
+            runs = []
+            for key, places in held.items():
+                own, held[key] = settle(key, sorted(set(places)), least)
+                runs += own
+            out = cut_batch(runs, held)
+            held.clear()
+            size = 0
+            return out
+
         for batch in batches:
             for tid, body, at in zip(batch.column(0), batch.column(1), batch.column(2)):
                 tid, data = tid.as_py(), body.as_py().encode()
                 for x in at.as_py():
                     start = max(0, x["pos"] - reach)
                     seg = data[start:x["pos"] + GRAM + reach]
-                    places = held.get(key := (x["grp"], seg, x["pos"] - start))
-                    if places is None:
-                        held[key] = [(tid, start)]
-                        size += len(seg)
-                    else:
-                        places.append((tid, start))
+                    if len(seg) < least:
+                        continue
+                    places = held.setdefault((x["grp"], seg, x["pos"] - start), [])
+                    places.append((tid, start))
+                    size += len(seg) if len(places) == 1 else 24
                 if size > 16 << 20:
-                    yield segment_batch(held)
-                    held, size = {}, 0
+                    yield flush()
         if held:
-            yield segment_batch(held)
+            yield flush()
 
-    return texts.select("tid", "body", "at").mapInArrow(run, SEGMENTS)
+    return texts.select("tid", "body", "at").mapInArrow(run, f"{RUNS}, {SEGMENTS}")
 
 
 def runs_batch(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
@@ -220,6 +242,10 @@ def runs_batch(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
                                       names=["tid", "lo", "hi"])
 
 
+def places_of(tids: bytes, starts: bytes) -> list[tuple[bytes, int]]:
+    return [(tids[16 * i:16 * i + 16], x) for i, x in enumerate(np.frombuffer(starts, np.int64).tolist())]
+
+
 def repeated_runs(segments: DataFrame, least: int) -> DataFrame:
     """(tid, lo, hi) of the bytes covered by repeated windows around the groups' anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,9 +253,6 @@ def repeated_runs(segments: DataFrame, least: int) -> DataFrame:
         group: dict[bytes, list] = {}
         now, size = None, 0
 
-        def spots(tids: bytes, starts: bytes) -> list[tuple[bytes, int]]:
-            return [(tids[16 * i:16 * i + 16], s) for i, s in enumerate(np.frombuffer(starts, np.int64).tolist())]
-
         def close() -> None:
             nonlocal size
             if len(group) > 1 or any(len(v) > 1 for v in group.values()):
@@ -258,7 +281,7 @@ def repeated_runs(segments: DataFrame, least: int) -> DataFrame:
                     if size >= BATCH_BYTES:
                         yield flush()
                     now = grp
-                group.setdefault(seg, []).extend(spots(tids, starts))
+                group.setdefault(seg, []).extend(places_of(tids, starts))
         close()
         if ready:
             yield flush()
@@ -267,45 +290,53 @@ def repeated_runs(segments: DataFrame, least: int) -> DataFrame:
 
 
 def split_group(pairs: DataFrame, least: int) -> DataFrame:
-    """Segments of large groups, each with one segment ``ref`` of its group: runs settled by the two, and its next groups."""
-    schema = f"tid binary, lo bigint, hi bigint, {SEGMENTS}"
+    """Segments of large groups, each with one segment ``ref`` of its group: runs settled by the two, and its next groups.
+
+    A window that is not settled reaches further left than what the two share, and
+    goes on with all segments that leave ``ref`` there by the same byte; or it does
+    not, but reaches further right. Segments are trimmed to what such windows reach.
+    """
+    reach = least - GRAM
 
     def shared(a: bytes, b: bytes) -> int:
         n = min(len(a), len(b))
-        x, y = np.frombuffer(a, np.uint8, n), np.frombuffer(b, np.uint8, n)
-        differ = np.flatnonzero(x != y)
+        differ = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))
         return int(differ[0]) if len(differ) else n
 
+    def key_of(grp: int, side: bytes, n: int, byte: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(b"%d %s %d %s" % (grp, side, n, byte), digest_size=8).digest(), "little", signed=True)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            runs, held = [], {}
+
+            def go_on(key: int, seg: bytes, at: int, begin: int, own: list) -> None:
+                if len(seg) >= least:
+                    held.setdefault((key, seg, at), []).extend((t, x + begin) for t, x in own)
+
             for grp, seg, at, tids, starts, ref, ref_at, ref_tids, ref_starts in zip(*(batch.column(i).to_pylist() for i in range(9))):
-                own = [(tids[16 * i:16 * i + 16], s) for i, s in enumerate(np.frombuffer(starts, np.int64).tolist())]
-                ref_tid, ref_start = ref_tids[:16], int(np.frombuffer(ref_starts, np.int64, 1)[0])
-                if seg == ref:
-                    other = (tids, starts) != (ref_tids, ref_starts)
-                    if (len(own) > 1 or other) and len(seg) >= least:
-                        out += [(t, s, s + len(seg), None, None, None, None, None) for t, s in own + [(ref_tid, ref_start)] * other]
+                own, refs = places_of(tids, starts), places_of(ref_tids, ref_starts)
+                if seg == ref and at == ref_at:
+                    both = sorted(set(own + refs))
+                    runs += settle((grp, seg, at), both, least)[0]
                     continue
-                left = shared(seg[:at][::-1], ref[:ref_at][::-1])
-                right = shared(seg[at + GRAM:], ref[ref_at + GRAM:])
+                left, right = shared(seg[:at][::-1], ref[:ref_at][::-1]), shared(seg[at + GRAM:], ref[ref_at + GRAM:])
                 if left + GRAM + right >= least:
-                    out += [(t, s + at - left, s + at + GRAM + right, None, None, None, None, None) for t, s in own]
-                    out.append((ref_tid, ref_start + ref_at - left, ref_start + ref_at + GRAM + right, None, None, None, None, None))
-                if len(own) > 1 and len(seg) >= least:
-                    out += [(t, s, s + len(seg), None, None, None, None, None) for t, s in own]
-                for side, n, room, byte in (("L", left, at, seg[at - left - 1:at - left]),
-                                            ("R", right, len(seg) - at - GRAM, seg[at + GRAM + right:at + GRAM + right + 1])):
-                    if n < room:
-                        key = hashlib.blake2b(b"%d %s %d %s" % (grp, side.encode(), n, byte), digest_size=8).digest()
-                        out.append((None, None, None, int.from_bytes(key, "little", signed=True), seg, at, tids, starts))
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
-            columns = list(zip(*out)) if out else [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["tid", "lo", "hi", "grp", "seg", "anchor", "tids", "starts"])
+                    runs += [(t, x + at - left, x + at + GRAM + right) for t, x in own]
+                    runs += [(t, x + ref_at - left, x + ref_at + GRAM + right) for t, x in refs]
+                if left < at:
+                    end = min(len(seg), at + GRAM + reach - left - 1)
+                    go_on(key_of(grp, b"L", left, seg[at - left - 1:at - left]), seg[:end], at, 0, own)
+                if at + GRAM + right < len(seg):
+                    begin = at - min(left, reach - right - 1)
+                    go_on(key_of(grp, b"R", right, seg[at + GRAM + right:at + GRAM + right + 1]), seg[begin:], at - begin, begin, own)
+            for key, places in held.items():
+                more, held[key] = settle(key, sorted(set(places)), least)
+                runs += more
+            yield cut_batch(sorted(set(runs)), held)
 
     ref = [F.col(f"ref.{c}").alias(f"ref_{c}") for c in ("seg", "anchor", "tids", "starts")]
-    return pairs.select("grp", "seg", "anchor", "tids", "starts", *ref).mapInArrow(run, schema)
+    return pairs.select("grp", "seg", "anchor", "tids", "starts", *ref).mapInArrow(run, f"{RUNS}, {SEGMENTS}")
 
 
 # --- the operator ------------------------------------------------------------
@@ -362,25 +393,24 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_column: str = "doc_i
     wanted = stage.store(docs.select("row_key", "body").join(at.join(texts, "tid"), "row_key")
                          .select("tid", "body", "at", "copies"), "wanted")
 
-    segments = stage.store(cut_segments(wanted, least), "segments")
-    runs, level = None, 0
+    done = stage.store(cut_segments(wanted, least), "cut")
+    parts, level = [], 0
     while True:
-        sizes = segments.groupBy("grp").agg(F.count("*").alias("many"))
+        parts.append(done.filter("tid IS NOT NULL").select("tid", "lo", "hi"))
+        segments = done.filter("grp IS NOT NULL").select("grp", "seg", "anchor", "tids", "starts")
+        sizes = segments.groupBy("grp").agg(F.count_distinct(F.xxhash64("seg")).alias("many"))
         large = stage.store(sizes.filter(F.col("many") > GROUP_SEGMENTS).select("grp"), f"large-{level}")
         if large.isEmpty():
-            part = repeated_runs(segments, least)
-            runs = part if runs is None else runs.unionByName(part)
+            parts.append(repeated_runs(segments, least))
             break
-        small = repeated_runs(segments.join(large, "grp", "left_anti"), least)
-        runs = small if runs is None else runs.unionByName(small)
+        parts.append(repeated_runs(segments.join(large, "grp", "left_anti"), least))
         hot = segments.join(large, "grp")
-        ref = hot.groupBy("grp").agg(F.min(F.struct("seg", "anchor", "tids", "starts")).alias("ref"))
+        ref = hot.groupBy("grp").agg(F.min(F.struct(F.xxhash64(F.lit(level), "seg"), "seg", "anchor", "tids", "starts")).alias("ref"))
         ref = stage.store(ref, f"ref-{level}")
         done = stage.store(split_group(hot.join(ref, "grp"), least), f"split-{level}")
-        runs = runs.unionByName(done.filter("tid IS NOT NULL").select("tid", "lo", "hi"))
-        segments = done.filter("grp IS NOT NULL").select("grp", "seg", "anchor", "tids", "starts")
         level += 1
 
+    runs = functools.reduce(DataFrame.unionByName, parts)
     runs = stage.store(runs.distinct(), "runs")
     by_text = runs.groupBy("tid").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     left = stage.store(cut_texts(wanted.filter("copies = 1").join(by_text, "tid")), "left")
