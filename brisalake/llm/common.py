@@ -75,7 +75,7 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def byte_chunks(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def byte_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, starts) of runs of rows with about ``limit`` bytes, so that arrays over bytes stay small."""
     flat, starts = bytes_of(column)
     row, n = 0, len(starts) - 1
