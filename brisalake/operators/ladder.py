@@ -160,10 +160,10 @@ def ntile_column(row_number: Column, rows: Column, n: int) -> Column:
     return F.when(row_number <= head, early).otherwise(late).cast("bigint")
 
 
-def quantiles(df: DataFrame, by: Sequence[str], col: str, ps: Mapping[str, float]) -> DataFrame:
-    """by… and one column per named quantile, linear interpolation, exact."""
+def quantiles(df: DataFrame, by: Sequence[str], col: str, ps: Mapping[str, float], weight: str | None = None) -> DataFrame:
+    """by… and one column per named quantile, linear interpolation, exact; ``weight`` says how many rows a row stands for."""
     by = list(by)
-    ladder = value_ladder(df, by, col)
+    ladder = value_ladder(df, by, col, weight)
     top = F.greatest(F.col("total") - 1, F.lit(0)).cast("double")
     holds = lambda k: (F.col("below") <= k) & (k < F.col("below") + F.col("n"))
     aggs = []

@@ -108,32 +108,34 @@ def _(k: Lake):
 
 
 @query("tumbling_window_stream", f"""SELECT strftime(time_bucket(INTERVAL '1 day', ts), '%Y-%m-%d') AS dia, sigla_uf,
-       COUNT(*) AS eventos, {r("100.0 * coalesce(" + xsum("CASE WHEN alfabetizado THEN peso_aluno END") + ", 0) / NULLIF(" + xsum("peso_aluno") + ", 0)")} AS taxa_pct
+       COUNT(*) AS eventos, {r("100.0 * coalesce(" + xsum("CASE WHEN alfabetizado THEN peso_aluno END") + ", 0) / NULLIF(" + xsum("peso_aluno") + ", 0)")} AS taxa_pct,
+       {rq("quantile_cont(latencia_ms, 0.5)", 1)} AS latencia_p50_ms, {rq("quantile_cont(latencia_ms, 0.95)", 1)} AS latencia_p95_ms
        FROM valid GROUP BY ALL""")
 def _(k: Lake):
-    agg = ev.tumbling_window_agg(typed_stream(k), "1 day", "sigla_uf", "1 hour")
-    return pl.collect_state(agg, f"{k.work}/windows", f"{k.work}/cp_windows").select(
-        F.date_format("janela_inicio", "yyyy-MM-dd").alias("dia"), "sigla_uf", "eventos", "taxa_pct")
+    counts = pl.collect_parts(typed_stream(k), lambda batch: ev.window_counts(batch, "1 day", "sigla_uf"),
+                              f"{k.work}/windows", f"{k.work}/cp_windows")
+    return ev.windows_of(counts, "sigla_uf").withColumn("dia", F.date_format("janela_inicio", "yyyy-MM-dd")).drop("janela_inicio")
 
 
 @query("keyed_running_state", "SELECT id_municipio, avaliados, peso, peso_alfabetizados FROM state")
 def _(k: Lake):
-    state = ev.keyed_running_state(typed_stream(k), ["id_municipio"])
-    return pl.collect_state(state, f"{k.work}/state", f"{k.work}/cp_state")
+    parts = pl.collect_parts(typed_stream(k), lambda batch: ev.keyed_running_state(batch, ["id_municipio"]),
+                             f"{k.work}/state", f"{k.work}/cp_state")
+    return ev.merged_state(parts, ["id_municipio"])
 
 
-@query("window_late_data")
+@query("window_late_data", """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS janela_inicio, n AS eventos
+       FROM (SELECT time_bucket(INTERVAL '1 hour', ts) AS w, COUNT(*) AS n FROM valid GROUP BY 1)
+       WHERE w + INTERVAL '1 hour' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM valid)""")
 def _(k: Lake):
-    """Two files: the events in order, then copies of early events, which arrive too late."""
-    folder = f"{k.work}/late_in"
+    """A run with the events, then one with copies of early events, which come too late to count."""
+    folder, sink = f"{k.work}/late_in", f"{k.work}/late_out"
     rows = k.valid.select("id_evento", "ts_convertido")
-    rows.coalesce(1).write.parquet(f"{folder}/part=0")
-    rows.filter("ts_convertido < '2024-01-02'").coalesce(1).write.mode("overwrite").parquet(f"{folder}/part=1")
-    stream = k.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option(
-        "recursiveFileLookup", True).parquet(folder)
-    sink = f"{k.work}/late_out"
-    pl.stream_available_now(ev.window_late_data(stream, "1 hour", "10 minutes"), sink, f"{k.work}/cp_late")
-    return k.spark.read.parquet(sink)
+    for i, part in enumerate((rows, rows.filter("ts_convertido < '2024-01-02'"))):
+        part.write.parquet(f"{folder}/part={i}")
+        stream = k.spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(folder)
+        pl.stream_available_now(ev.window_late_data(stream, "1 hour", "10 minutes"), sink, f"{k.work}/cp_late")
+    return k.spark.read.parquet(sink).withColumn("janela_inicio", F.date_format("janela_inicio", "yyyy-MM-dd HH:mm:ss"))
 
 
 _alert = "tipo, severidade, id_municipio, sigla_uf, avaliados, taxa_stream_pct, taxa_oficial_pct, delta_pp"
@@ -168,11 +170,11 @@ def _(k: Lake):
 
 
 def replayed(k: Lake):
-    """A folder with the events and, in a second file, a third of them again."""
+    """A folder with the events and, in later files, a third of them again."""
     folder, rows = f"{k.work}/replay_in", k.table("events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value")
-    rows.coalesce(1).write.parquet(f"{folder}/part=0")
-    rows.filter("event_id % 3 = 0").withColumn("value", F.col("value") + 1000).coalesce(1).write.parquet(f"{folder}/part=1")
+    rows.write.parquet(f"{folder}/part=0")
+    rows.filter("event_id % 3 = 0").withColumn("value", F.col("value") + 1000).write.parquet(f"{folder}/part=1")
     return k.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option(
         "recursiveFileLookup", True).parquet(folder)
 

@@ -89,41 +89,47 @@ def enrich_event(classified: DataFrame, cut: float = PASS_SCORE, proc_ts: Column
             .drop("motivo_rejeicao", "_defeito_injetado"))
 
 
-def tumbling_window_agg(events: DataFrame, duration: str, by: str, watermark: str | None = None,
-                        ts: str = "ts_convertido") -> DataFrame:
-    """Event-time window and key: events, weighted rate, p50 and p95 latency.
+def window_counts(events: DataFrame, duration: str, by: str, ts: str = "ts_convertido") -> DataFrame:
+    """Events, weight and passed weight per window, key and latency: what windows can be put together from.
 
-    On a batch the percentiles are exact. On a stream the state must stay
-    bounded, so they come from a sketch, exact up to about 10,000 distinct
-    latencies per window and key; give a watermark so that state expires.
+    Counts of several batches add up, so a stream appends one small table per
+    micro-batch; late events are in it like any other.
     """
-    if watermark:
-        events = events.withWatermark(ts, watermark)
-    keyed = events.withColumn("_w", F.window(ts, duration))
-    base = [F.count(F.lit(1)).alias("eventos"), weighted_rate("alfabetizado", "peso_aluno").alias("r")]
-    start = F.col("_w.start").alias("janela_inicio")
-    if events.isStreaming:
-        sketch = F.percentile_approx("latencia_ms", F.array(F.lit(0.5), F.lit(0.95)), 10000)
-        return (events.groupBy(F.window(ts, duration).alias("_w"), by).agg(*base, sketch.alias("p"))
-                .select(start, by, "eventos", round_half_away("r").alias("taxa_pct"),
-                        round_half_away(F.col("p")[0], 1).alias("latencia_p50_ms"),
-                        round_half_away(F.col("p")[1], 1).alias("latencia_p95_ms")))
-    keyed = keyed.withColumn("janela_inicio", F.col("_w.start"))
+    passed = F.coalesce(exact_sum(F.when(F.col("alfabetizado"), F.col("peso_aluno"))), F.lit(0.0))
+    return (events.withColumn("janela_inicio", F.window(ts, duration)["start"]).filter(F.col("janela_inicio").isNotNull())
+            .groupBy("janela_inicio", by, "latencia_ms")
+            .agg(F.count(F.lit(1)).alias("n"), exact_sum("peso_aluno").alias("peso"), passed.alias("peso_alfabetizados")))
+
+
+def windows_of(counts: DataFrame, by: str) -> DataFrame:
+    """Event-time window and key from ``window_counts``: events, weighted rate, exact p50 and p95 latency."""
     keys = ["janela_inicio", by]
-    cuts = quantiles(keyed, keys, "latencia_ms", {"p50": 0.5, "p95": 0.95})
-    sums = keyed.groupBy(*keys).agg(*base)
+    rate = F.try_divide(100.0 * exact_sum("peso_alfabetizados"), exact_sum("peso"))
+    sums = counts.groupBy(*keys).agg(F.sum("n").alias("eventos"), rate.alias("r"))
+    cuts = quantiles(counts, keys, "latencia_ms", {"p50": 0.5, "p95": 0.95}, weight="n")
     return join_same(sums, cuts, keys).select(
         *keys, "eventos", round_half_away("r").alias("taxa_pct"),
         round_settled("p50", 1).alias("latencia_p50_ms"), round_settled("p95", 1).alias("latencia_p95_ms"))
 
 
+def tumbling_window_agg(events: DataFrame, duration: str, by: str, ts: str = "ts_convertido") -> DataFrame:
+    """Event-time window and key of a batch; a stream collects ``window_counts`` and reads ``windows_of`` them."""
+    return windows_of(window_counts(events, duration, by, ts), by)
+
+
 def keyed_running_state(events: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Running count, weight and passed weight per unit."""
+    """Count, weight and passed weight per unit."""
     return events.groupBy(*key).agg(
         F.count(F.lit(1)).alias("avaliados"), exact_sum("peso_aluno").alias("peso"),
         F.coalesce(exact_sum(F.when(F.col("alfabetizado"), F.col("peso_aluno"))), F.lit(0.0)).alias("peso_alfabetizados"))
 
 
+def merged_state(parts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The running state from those of single batches."""
+    return parts.groupBy(*key).agg(F.sum("avaliados").alias("avaliados"),
+                                   *[exact_sum(c).alias(c) for c in ("peso", "peso_alfabetizados")])
+
+
 def window_late_data(events: DataFrame, duration: str, delay: str, ts: str = "ts_convertido") -> DataFrame:
     """Events per window; on a stream rows later than ``delay`` are dropped."""
     return (events.withWatermark(ts, delay).groupBy(F.window(ts, duration).alias("_w"))

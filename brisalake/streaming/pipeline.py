@@ -17,9 +17,10 @@ from brisalake.streaming.events import enrich_event, route_dead_letters
 
 
 def stream_file_source(spark: SparkSession, directory: str, schema, fmt: str, glob: str | None = None,
-                       max_files: int = 1) -> DataFrame:
-    """Typed directory source, ``max_files`` files per trigger."""
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files)
+                       max_files: int | None = None, max_bytes: int = 8 << 30) -> DataFrame:
+    """Typed directory source; a trigger takes ``max_bytes`` bytes at most, or ``max_files`` files if given."""
+    bound = {"maxFilesPerTrigger": max_files} if max_files else {"maxBytesPerTrigger": max_bytes}
+    reader = spark.readStream.format(fmt).schema(schema).options(**bound)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(directory)
@@ -47,16 +48,18 @@ def run_batches(stream: DataFrame, handler: Callable[[DataFrame, int], None], ch
     return query
 
 
-def collect_state(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run a stateful query to the end in complete mode and read its last result.
+def collect_parts(stream: DataFrame, part: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                  trigger: dict | None = None) -> DataFrame:
+    """``part`` of every micro-batch, each in its own folder; what is read back is put together by the caller.
 
-    Each micro-batch overwrites the result: the last one holds the whole state.
+    A batch costs what it holds, not what came before it, and replaces its own
+    folder when it is replayed.
     """
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        part(batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/lote={batch_id}")
 
-    run_batches(stream, keep, checkpoint, "complete")
-    return stream.sparkSession.read.parquet(path)
+    run_batches(stream, keep, checkpoint, trigger=trigger)
+    return stream.sparkSession.read.parquet(path).drop("lote")
 
 
 def two_sink_batch(valid_path: str, dlq_path: str, cut: float = 743.0, proc_ts: Column | None = None
@@ -109,15 +112,15 @@ def fold_upserts(spark: SparkSession, target_dir: str, new_dir: str, key: Sequen
 
 
 def microbatch_sink(stream: DataFrame, path: str, checkpoint: str, run_id: str,
-                    trigger: dict | None = None, files_per_date: int = 1) -> StreamingQuery:
+                    trigger: dict | None = None, files_per_date: int = 8) -> StreamingQuery:
     """Bounded batches to parquet by event date, with batch number and run id.
 
-    The batch size is the source's ``max_files``; without ``trigger`` what is
-    there is processed and the query stops.
+    A batch is bounded by the source's bytes or files and by the trigger's time
+    (``{"processingTime": "60 seconds"}``); without ``trigger`` what is there is
+    processed and the query stops. A date is dealt over ``files_per_date`` tasks.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spread = F.pmod(F.xxhash64(*[c for c in ("id_evento",) if c in batch.columns]), F.lit(files_per_date)) \
-            if files_per_date > 1 else F.lit(0)
+        spread = F.pmod(F.xxhash64(*batch.columns), F.lit(files_per_date))
         (batch.withColumns({"_lote": F.lit(batch_id), "_ingestion_run_id": F.lit(run_id)})
          .repartition("data_evento", spread).write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy("data_evento").parquet(f"{path}/lote={batch_id}"))
