@@ -229,15 +229,6 @@ def dq_rulebook(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Se
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def score_of(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """score = 100 * pass / all, one decimal, 0 without checks."""
-    passed, n = F.count_if(F.col("status") == "PASS"), F.count(F.lit(1))
-    return results.groupBy(*by).agg(
-        F.coalesce(safe_ratio(100.0 * passed, n, 1), F.lit(0.0)).alias("score"),
-        passed.alias("pass"), F.count_if(F.col("status") == "FAIL").alias("fail"),
-        F.count_if(F.col("status") == "WARN").alias("warn"))
-
-
 def dq_report(df: DataFrame, entity: str, layer: str, rules: Sequence[Sequence[Rule]]) -> DataFrame:
     """One row: entity, layer, score, counts, rows evaluated and the result rows.
 
@@ -344,7 +335,3 @@ def mapping_cross_check(a: DataFrame, b: DataFrame, on: Sequence[str], a_col: st
     return reconcile_join(a, b, on, a_col, b_col, tol).agg(
         n.alias("comparados"), far.alias("divergentes"), round_half_away(pct, 3).alias("pct"),
         status_of(pct < max_pct, "ERROR").alias("status"))
-
-
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"{c} string" for c in RESULT))

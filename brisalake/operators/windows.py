@@ -11,7 +11,6 @@ from brisalake.functions import round_half_away
 from brisalake.operators import ladder as lad
 from brisalake.operators.conform import dedup_latest
 
-GROUP_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold
 HELPERS = ("_n", "_below", "_total", "_rows")
 
 
@@ -42,14 +41,10 @@ def latest_revision(df: DataFrame, keys: Sequence[str], version_col: str) -> Dat
 def stratified_sample(df: DataFrame, by: Sequence[str], n: int, seed: int, id_col: str) -> DataFrame:
     """At most ``n`` pseudo-random rows per stratum; the same rows on every run.
 
-    Up to Spark's window group limit threshold the row-number filter also runs
-    before the shuffle; a larger sample is numbered by hash ranges instead.
+    Rows are numbered by ranges of their hash, so no stratum is sorted in one task,
+    and ranges beyond the sample are dropped before anything is sorted.
     """
-    if n > GROUP_LIMIT:
-        return lad.with_hash_order(df, by, id_col, seed, first=n).filter(F.col("_rn") <= n).drop("_rn", "_size")
-    w = Window.partitionBy(*by).orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col)
-    return (df.withColumn("_pick", F.row_number().over(w))
-            .filter(F.col("_pick") <= n).drop("_pick"))
+    return lad.with_hash_order(df, by, id_col, seed, first=n).filter(F.col("_rn") <= n).drop("_rn", "_size")
 
 
 def percentile_rank_avg(df: DataFrame, col: str, by: Sequence[str] | None = None, desc: bool = False,

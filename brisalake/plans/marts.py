@@ -241,28 +241,32 @@ def mart_runner(spark: SparkSession, catalogue: Sequence[Mart] = CATALOGUE, sele
     if unknown:
         raise KeyError(f"not in the catalogue: {sorted(unknown)}")
     done, kept = [], {v: spark.table(v).persist() for v in cache if spark.catalog.tableExists(v)}
-    for mart in chosen:
-        needed = dependencies(mart, known)
-        missing = [v for v in needed if not spark.catalog.tableExists(v)]
-        tables = {v: spark.table(v) for v in needed if v not in missing}
-        if mart.depends_on and not missing:
-            missing = [f"{v}.{c}" for v, cols in mart.depends_on.items() for c in cols if c not in tables[v].columns]
-        if missing:
-            done.append((mart.name, "PULADA", None, 0.0, f"falta {', '.join(missing)}"))
-            continue
-        start, seen = time.perf_counter(), Observation()
-        try:
-            df = mart.build(tables) if mart.build else spark.sql(mart.sql)
-            writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-            if out is None:
-                writer.format("noop").save()
-            else:
-                (writer.partitionBy(*mart.partitions) if mart.partitions else writer).parquet(f"{out}/{mart.name}")
-            done.append((mart.name, "OK", seen.get["n"], round(time.perf_counter() - start, 2), mart.question))
-        except Exception as error:
-            if not mart.optional:
-                raise
-            done.append((mart.name, "FALHOU", None, round(time.perf_counter() - start, 2), str(error)[:500]))
-    for df in kept.values():
-        df.unpersist()
+    try:
+        for mart in chosen:
+            needed = dependencies(mart, known)
+            missing = [v for v in needed if not spark.catalog.tableExists(v)]
+            tables = {v: spark.table(v) for v in needed if v not in missing}
+            if mart.depends_on and not missing:
+                missing = [f"{v}.{c}" for v, cols in mart.depends_on.items() for c in cols if c not in tables[v].columns]
+            if missing:
+                done.append((mart.name, "PULADA", None, 0.0, f"falta {', '.join(missing)}"))
+                continue
+            start, seen = time.perf_counter(), Observation()
+            try:
+                df = mart.build(tables) if mart.build else spark.sql(mart.sql)
+                df = df.hint("rebalance", *mart.partitions) if out is not None and mart.partitions else df
+                writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+                if out is None:
+                    writer.format("noop").save()
+                else:
+                    writer = writer.option("partitionOverwriteMode", "static")  # a mart is rebuilt as a whole
+                    (writer.partitionBy(*mart.partitions) if mart.partitions else writer).parquet(f"{out}/{mart.name}")
+                done.append((mart.name, "OK", seen.get["n"], round(time.perf_counter() - start, 2), mart.question))
+            except Exception as error:
+                if not mart.optional:
+                    raise
+                done.append((mart.name, "FALHOU", None, round(time.perf_counter() - start, 2), str(error)))
+    finally:
+        for df in kept.values():
+            df.unpersist()
     return spark.createDataFrame(done, "mart string, status string, linhas bigint, segundos double, detalhe string")

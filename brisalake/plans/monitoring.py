@@ -92,8 +92,12 @@ def run_history(spark: SparkSession, path: str, entry: Mapping[str, object]) ->
     return spark.read.option("basePath", path).parquet(path)
 
 
-def cache_reuse(df: DataFrame) -> DataFrame:
-    """Persist a frame that several marts read (memory, then disk) and fill it once."""
+@contextmanager
+def cache_reuse(df: DataFrame) -> Iterator[DataFrame]:
+    """A frame that several marts read: kept (memory, then disk), filled once, and released at the end."""
     kept = df.persist()
-    kept.write.format("noop").mode("overwrite").save()
-    return kept
+    try:
+        kept.write.format("noop").mode("overwrite").save()
+        yield kept
+    finally:
+        kept.unpersist()

@@ -233,7 +233,7 @@ def kmeans(k: Lake):
     The input is written once: k-means reads it on every iteration.
     """
     base = k.stored("clustered", lambda: clustered(k))
-    return *md.kmeans_select(an.standardise(base, CLUSTER), CLUSTER, seeds=3), base
+    return *md.kmeans_select(an.standardise(base, CLUSTER), CLUSTER), base
 
 
 @query("kmeans_select")
@@ -307,5 +307,8 @@ def _(k: Lake):
 def _(k: Lake):
     from brisalake.functions import exact_avg, round_half_away
 
-    return mon.cache_reuse(k.fact).groupBy("ano").agg(
-        F.count(F.lit(1)).alias("n"), round_half_away(exact_avg("taxa_alfabetizacao")).alias("media"))
+    path = f"{k.work}/by_year"
+    with mon.cache_reuse(k.fact) as fact:
+        fact.groupBy("ano").agg(F.count(F.lit(1)).alias("n"), round_half_away(exact_avg("taxa_alfabetizacao")).alias("media")) \
+            .write.parquet(path)
+    return k.spark.read.parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -101,8 +103,7 @@ def _(k: Lake):
 
 @query("write_table", "SELECT r_regionkey, r_name FROM region")
 def _(k: Lake):
-    name, path = "brisalake_region", f"{k.work}/region_table"
-    k.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name, path = f"brisalake_region_{uuid.uuid4().hex[:8]}", f"{k.work}/region_table"
     write_table(k.table("region").select("r_regionkey"), name, path)
     write_table(k.table("region"), name, path)
     return k.spark.table(name)
@@ -188,7 +189,7 @@ def _(k: Lake):
 def _(k: Lake):
     orders = k.table("orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("ano"))
     path = write_partitioned(orders, f"{k.work}/orders_ext", ["ano"], "o_orderkey", 4)
-    table = external_table(k.spark, "brisalake_orders", "o_orderkey BIGINT, o_orderstatus STRING, ano INT", ["ano"], path)
+    table = external_table(k.spark, f"brisalake_orders_{uuid.uuid4().hex[:8]}", "o_orderkey BIGINT, o_orderstatus STRING, ano INT", ["ano"], path)
     return table.groupBy("ano", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -85,16 +85,17 @@ def _(k: Lake):
     return k.valid.select(*_valid.split(", "), F.col("data_evento").cast("string").alias("data_evento"))
 
 
-@query("two_sink_batch", """SELECT 'valid' AS sink, id_evento, CAST(NULL AS VARCHAR) AS motivo_rejeicao FROM valid
-       UNION ALL SELECT 'dlq', id_evento, motivo_rejeicao FROM dead""")
+@query("two_sink_batch", """SELECT 'valid' AS sink, id_evento, CAST(NULL AS VARCHAR) AS motivo_rejeicao, false AS sem_hora FROM valid
+       UNION ALL SELECT 'dlq', id_evento, motivo_rejeicao, false FROM dead""")
 def _(k: Lake):
     good, bad = f"{k.work}/valid", f"{k.work}/dlq"
     stream = k.classify(k.as_events(raw_stream(k)))
     pl.run_batches(stream, pl.two_sink_batch(good, bad, CUT, k.processed_at()), f"{k.work}/cp_two")
     read = k.spark.read.parquet
     return union_by_name(
-        read(good).select(F.lit("valid").alias("sink"), "id_evento", F.lit(None).cast("string").alias("motivo_rejeicao")),
-        read(bad).select(F.lit("dlq").alias("sink"), "id_evento", "motivo_rejeicao"))
+        read(good).select(F.lit("valid").alias("sink"), "id_evento", F.lit(None).cast("string").alias("motivo_rejeicao"),
+                          F.col("ts_processamento").isNull().alias("sem_hora")),
+        read(bad).select(F.lit("dlq").alias("sink"), "id_evento", "motivo_rejeicao", F.col("ts_rejeicao").isNull().alias("sem_hora")))
 
 
 def windows(k: Lake):

@@ -104,10 +104,17 @@ def register_views(spark: SparkSession, views: Mapping[str, str]) -> set[str]:
 
 def external_table(spark: SparkSession, name: str, schema: str, partitions: Sequence[str],
                    location: str) -> DataFrame:
-    """Declare a table over partitioned parquet and load its partitions."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Declare a table over partitioned parquet and load its partitions.
+
+    An existing table of that name is kept if it is external and over the same
+    place; any other is an error. Nothing is dropped.
+    """
     by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-    spark.sql(f"CREATE TABLE {name} ({schema}) USING PARQUET {by} LOCATION '{location}'")
+    if spark.catalog.tableExists(name):
+        about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        if about.get("Type") != "EXTERNAL" or about.get("Location", "").split(":")[-1].strip("/") != location.split(":")[-1].strip("/"):
+            raise ValueError(f"{name} is another table")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING PARQUET {by} LOCATION '{location}'")
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)

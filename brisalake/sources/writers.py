@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,16 +13,16 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str] = (),
                       spread: str | None = None, files_per_partition: int = 1) -> str:
     """Idempotent parquet write: a re-run replaces the partitions it brings.
 
-    Rows are shuffled by partition value so that a partition gets few files.
-    For a large or hot partition give ``spread`` (a high-cardinality column)
-    and how many files it may split into.
+    Rows are brought together by partition value and rebalanced: adaptive execution
+    splits a large or hot partition over several tasks and files and joins small
+    ones. With ``spread`` (a high-cardinality column) a partition is dealt over a
+    fixed number of files instead.
     """
     writer = df
-    if partitions:
-        keys = [F.col(p) for p in partitions]
-        if spread is not None and files_per_partition > 1:
-            keys.append(F.pmod(F.xxhash64(spread), F.lit(files_per_partition)))
-        writer = df.repartition(*keys)
+    if partitions and spread is not None and files_per_partition > 1:
+        writer = df.repartition(*partitions, F.pmod(F.xxhash64(spread), F.lit(files_per_partition)))
+    elif partitions:
+        writer = df.hint("rebalance", *partitions)
     out = writer.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     (out.partitionBy(*partitions) if partitions else out).parquet(path)
     return path
@@ -41,9 +41,10 @@ def append_merge_schema(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_compact(df: DataFrame, path: str, files: int = 1) -> str:
-    """Few files for a small result; ``coalesce`` keeps it free of a shuffle."""
-    df.coalesce(files).write.mode("overwrite").parquet(path)
+def write_compact(df: DataFrame, path: str, files: int | None = None) -> str:
+    """Few files: as many as the size asks for, or ``files``. What comes before keeps all its tasks."""
+    compact = df.hint("rebalance") if files is None else df.repartition(files)
+    compact.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -52,10 +53,19 @@ def write_json_events(df: DataFrame, path: str) -> str:
     return path
 
 
+def _plain(c: Column, kind: T.DataType) -> Column:
+    """Digits without an exponent; numbers beyond 38 digits keep theirs."""
+    text = c.cast("string")
+    if isinstance(kind, T.DecimalType):
+        return text
+    digits = F.regexp_replace(c.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.contains(text, F.lit("E")), F.coalesce(digits, text)).otherwise(text)
+
+
 def export_csv_locale(df: DataFrame, path: str, sep: str = ";", decimal: str = ",") -> str:
-    """CSV for spreadsheets: ``;`` between fields and a decimal comma."""
+    """CSV for spreadsheets: ``;`` between fields, a decimal comma and no exponents."""
     numeric = (T.DoubleType, T.FloatType, T.DecimalType)
-    cols = [F.replace(F.col(f.name).cast("string"), F.lit("."), F.lit(decimal)).alias(f.name)
+    cols = [F.replace(_plain(F.col(f.name), f.dataType), F.lit("."), F.lit(decimal)).alias(f.name)
             if isinstance(f.dataType, numeric) else F.col(f.name) for f in df.schema.fields]
     df.select(*cols).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
     return path
@@ -70,7 +80,3 @@ def compact_cluster(df: DataFrame, path: str, files: int, cluster_cols: Sequence
     (df.repartitionByRange(files, *cluster_cols).sortWithinPartitions(*cluster_cols)
      .write.mode("overwrite").parquet(path))
     return path
-
-
-def read_back(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)

@@ -62,10 +62,12 @@ def collect_parts(stream: DataFrame, part: Callable[[DataFrame], DataFrame], pat
     return stream.sparkSession.read.parquet(path).drop("lote")
 
 
-def two_sink_batch(valid_path: str, dlq_path: str, cut: float = 743.0, proc_ts: Column | None = None
-                   ) -> Callable[[DataFrame, int], None]:
+def two_sink_batch(valid_path: str, dlq_path: str, cut: float = 743.0, proc_ts: Column | None = None,
+                   rejected_at: Column | None = None) -> Callable[[DataFrame, int], None]:
     """Handler that writes a classified batch to the valid and the dead-letter sink.
 
+    ``proc_ts`` is when a valid event counts as processed; a rejected one, whose own
+    time may be unreadable, gets ``rejected_at`` or the time of the batch.
     The batch is persisted, so validation runs once for both writes.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -73,7 +75,7 @@ def two_sink_batch(valid_path: str, dlq_path: str, cut: float = 743.0, proc_ts:
         try:
             (enrich_event(batch, cut, proc_ts).withColumn("_epoca", F.lit(batch_id))
              .write.mode("overwrite").parquet(f"{valid_path}/lote={batch_id}"))
-            (route_dead_letters(batch, proc_ts).withColumn("_epoca", F.lit(batch_id))
+            (route_dead_letters(batch, rejected_at).withColumn("_epoca", F.lit(batch_id))
              .write.mode("overwrite").parquet(f"{dlq_path}/lote={batch_id}"))
         finally:
             batch.unpersist()
