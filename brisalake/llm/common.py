@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from brisalake.session import shared_folder
 
 # Words are runs of anything but the six ASCII blanks; the pattern is the contracts'.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -34,7 +35,13 @@ class Stage:
         return f"{self.folder}/{name}"
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Write and read back. Rows carry texts and sets, so Python takes them in smaller batches meanwhile."""
+        before = self.spark.conf.get(BATCH_CONF)
+        self.spark.conf.set(BATCH_CONF, str(min(int(before), BATCH_ROWS)))
+        try:
+            df.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(BATCH_CONF, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
