@@ -175,13 +175,15 @@ def derive_parent_key(c: Column | str, divisor: int) -> Column:
 def record_hash(columns: Sequence[str], bits: int = 256) -> Column:
     """Fingerprint of the business columns; technical ``_`` columns do not count.
 
-    A null is written as its own token, so moving a null changes the hash.
+    Every value is written with its length and a null as its own token, so neither
+    moving a null nor a separator inside a text can give the hash of other values.
     """
     names = sorted(c for c in columns if not c.startswith("_"))
     if bits == 64:
         return F.xxhash64(*[x for n in names for x in (F.col(n), F.col(n).isNull())])
-    parts = [F.coalesce(F.col(n).cast("string"), F.lit("<null>")) for n in names]
-    return F.sha2(F.concat_ws("||", *parts), bits)
+    text = lambda n: F.col(n).cast("string")
+    parts = [F.coalesce(F.concat(F.length(text(n)).cast("string"), F.lit(":"), text(n)), F.lit("-")) for n in names]
+    return F.sha2(F.concat_ws("|", *parts), bits)
 
 
 def fn_latency(event_ts: Column | str, proc_ts: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisalake.functions import as_col, exact_sum, round_half_away
-from brisalake.operators.conform import derived_gaps, dedup_any
+from brisalake.operators.conform import derived_gaps
 
 BROADCAST_LIMIT = 16 * 1024 * 1024  # planned bytes; rows in memory are a few times larger
 
@@ -95,6 +95,18 @@ def multi_left_assembly(base: DataFrame, parts: Sequence[DataFrame], on: Sequenc
     return base
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """One row per key; rows of one key that differ are an error, never a silent choice."""
+    n = F.count(F.lit(1))
+
+    def agreed(c: str) -> Column:
+        same = F.min(c).eqNullSafe(F.max(c)) & ((F.count(c) == 0) | (F.count(c) == n))
+        where = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in keys])
+        return F.when(same, F.min(c)).otherwise(F.raise_error(F.concat(F.lit(f"{what}: {c} differs at "), where))).alias(c)
+
+    return df.groupBy(*keys).agg(*[agreed(c) for c in df.columns if c not in keys])
+
+
 def integrated_fact(fact: DataFrame, dims: DataFrame, targets: DataFrame, participation: DataFrame,
                     parent: DataFrame, country: DataFrame, final_year: int = 2030,
                     final_default: float = 80.0) -> DataFrame:
@@ -106,23 +118,24 @@ def integrated_fact(fact: DataFrame, dims: DataFrame, targets: DataFrame, partic
     participation   ano, id_municipio, rede, percentual_participacao, nivel_alfabetizacao
     parent          ano, sigla_uf, rede, taxa_uf          country   ano, taxa_brasil_publica
 
-    Parent, country and participation are made unique on the join key first, so
-    no join can multiply the fact. The targets of a unit, one per target year,
-    travel as a small map: one join serves the year's and the final target.
+    Targets, parent, country and participation are reduced to one row per join key
+    first, so no join can multiply the fact; rows that contradict one another stop
+    the job with the key. The targets of a unit, one per target year, travel as a
+    small map: one join serves the year's and the final target.
     """
     unit = ["id_municipio", "rede"]
     goal = F.struct("ano_meta", "meta_taxa")
-    goals = (targets.groupBy(*unit, "ano_meta").agg(F.max("meta_taxa").alias("meta_taxa"))
+    goals = (one_per_key(targets.select(*unit, "ano_meta", "meta_taxa"), [*unit, "ano_meta"], "targets")
              .groupBy(*unit).agg(F.map_from_entries(F.collect_list(goal)).alias("_goals")))
     wide = (fact.join(goals, unit, "left")
             .withColumn("meta_taxa_ano", F.try_element_at("_goals", F.col("ano").cast("int")))
             .withColumn("meta_taxa_2030", F.try_element_at("_goals", F.lit(final_year)))
             .drop("_goals")
-            .join(dedup_any(participation, ["ano", *unit]), ["ano", *unit], "left"))
+            .join(one_per_key(participation, ["ano", *unit], "participation"), ["ano", *unit], "left"))
     wide = dim_join_broadcast(wide, dims, ["id_municipio"],
                               ["nome_municipio", "sigla_uf", "nome_uf", "nome_regiao", "nome_mesorregiao"])
-    state = dedup_any(parent, ["ano", "sigla_uf", "rede"])
-    nation = dedup_any(country, ["ano"])
+    state = one_per_key(parent, ["ano", "sigla_uf", "rede"], "parent")
+    nation = one_per_key(country, ["ano"], "country")
     wide = (wide.join(state, ["ano", "sigla_uf", "rede"], "left").join(nation, ["ano"], "left")
             .withColumn("meta_taxa_2030", F.coalesce("meta_taxa_2030", F.lit(float(final_default)))))
     return derived_gaps(wide, "taxa_alfabetizacao", "meta_taxa_ano", "meta_taxa_2030",

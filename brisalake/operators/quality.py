@@ -59,7 +59,8 @@ def dq_not_null(cols: Sequence[str], severity: str = "ERROR") -> list[Rule]:
         def inline(p):
             n, total = F.col(f"{p}n"), F.col(f"{p}t")
             pct = F.coalesce(safe_ratio(100.0 * n, total, 2), F.lit(0.0))
-            return ([F.count_if(F.col(c).isNull()).alias(f"{p}n"), F.count(F.lit(1)).alias(f"{p}t")],
+            nan = F.typeof(F.col(c)).isin("double", "float") & (F.col(c).cast("string") == "NaN")
+            return ([F.count_if(F.col(c).isNull() | nan).alias(f"{p}n"), F.count(F.lit(1)).alias(f"{p}t")],
                     n == 0, _say(n, " nulos (", _fixed2(pct), "%)"))
         return Rule(f"not_null:{c}", "COMPLETUDE", severity, (c,), inline=inline)
     return [build(c) for c in cols]

@@ -31,14 +31,19 @@ INDICATOR_COLUMNS = (
     "taxa_brasil_publica", "dif_vs_uf", "dif_vs_brasil")
 
 
-def mart_indicator(integrated: DataFrame, final_year: int = 2030) -> DataFrame:
-    """Each unit and year: risk band, target status, pace needed, rank in state, quartile."""
+def risk_columns(integrated: DataFrame, final_year: int = 2030) -> DataFrame:
+    """Each unit and year: risk band, target status, pace needed. A projection: reports that need no ranks read this."""
     years = F.lit(final_year) - F.col("ano")
-    base = integrated.select(
+    return integrated.select(
         *INDICATOR_COLUMNS,
         band_left_closed("taxa_alfabetizacao", RISK_CUTS, RISK_LABELS).alias("risco_alfabetizacao"),
         tri_state_status("meta_taxa_ano", "atingiu_meta_ano", TARGET_LABELS).alias("situacao_meta"),
         safe_ratio("gap_meta_2030", years, 2).alias("ritmo_anual_necessario_pp"))
+
+
+def mart_indicator(integrated: DataFrame, final_year: int = 2030) -> DataFrame:
+    """The risk columns with the rank in the state and the national quartile."""
+    base = risk_columns(integrated, final_year)
     tiled = quartile_ntile(base, ["ano", "rede"], "taxa_alfabetizacao", 4, "id_municipio", "quartil_nacional")
     return rank_within(tiled, ["ano", "rede", "sigla_uf"], "taxa_alfabetizacao", True, "posicao_na_uf", source=integrated)
 

@@ -9,7 +9,7 @@ from brisalake.operators import aggregates as ag
 from brisalake.operators import ordering as od
 from brisalake.operators import windows as wn
 from brisalake.plans.lake import Lake
-from brisalake.plans.marts import mart_indicator, mart_target_vs_actual
+from brisalake.plans.marts import mart_target_vs_actual, risk_columns
 from brisalake.plans.oracle import MEAN, RATE, r, xavg, xsum
 from brisalake.plans.registry import query
 
@@ -285,7 +285,7 @@ _focus = "ano = 2001 AND rede_nome = 'BUILDING'"
        FROM indicator WHERE {_focus} AND risco_alfabetizacao = 'Critico'
        ORDER BY taxa_alfabetizacao, id_municipio LIMIT 100""")
 def _(k: Lake):
-    out = od.topk_worst_units(mart_indicator(k.integrated), in_focus() & (F.col("risco_alfabetizacao") == "Critico"),
+    out = od.topk_worst_units(risk_columns(k.integrated), in_focus() & (F.col("risco_alfabetizacao") == "Critico"),
                               ["taxa_alfabetizacao", "id_municipio"], 100)
     return out.select("sigla_uf", "nome_municipio", "taxa_alfabetizacao", "meta_taxa_ano", "gap_meta_2030")
 
@@ -303,14 +303,14 @@ def _(k: Lake):
        {r(xavg("ritmo_anual_necessario_pp"))} AS media_ritmo_anual_necessario_pp,
        {r(xavg("taxa_alfabetizacao"))} AS media_taxa_alfabetizacao FROM indicator WHERE {_focus} GROUP BY 1""")
 def _(k: Lake):
-    return od.effort_by_region(mart_indicator(k.integrated), in_focus(), ["nome_regiao"],
+    return od.effort_by_region(risk_columns(k.integrated), in_focus(), ["nome_regiao"],
                                ["ritmo_anual_necessario_pp", "taxa_alfabetizacao"])
 
 
 @query("good_abs_bad_rel", f"""SELECT sigla_uf, nome_municipio, taxa_alfabetizacao, taxa_uf, dif_vs_uf FROM indicator
        WHERE {_focus} AND situacao_meta = 'Meta atingida' AND dif_vs_uf < 0 ORDER BY dif_vs_uf, id_municipio LIMIT 50""")
 def _(k: Lake):
-    out = od.good_abs_bad_rel(mart_indicator(k.integrated), in_focus() & (F.col("situacao_meta") == "Meta atingida"),
+    out = od.good_abs_bad_rel(risk_columns(k.integrated), in_focus() & (F.col("situacao_meta") == "Meta atingida"),
                               "dif_vs_uf", 50, "id_municipio")
     return out.select("sigla_uf", "nome_municipio", "taxa_alfabetizacao", "taxa_uf", "dif_vs_uf")
 

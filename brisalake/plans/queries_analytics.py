@@ -74,7 +74,7 @@ PRIORITY_CTE = f"""{BASE_CTE}, pri0 AS (SELECT *, {r("0.5 * " + _pr("gap_meta_20
        {r(xavg("gap_meta_2030"))} AS gap_medio_2030, {r("median(taxa_alfabetizacao)")} AS taxa_mediana
        FROM indicator GROUP BY 1""")
 def _(k: Lake):
-    return an.inequality_profile(mt.mart_indicator(k.integrated), "nome_regiao", "taxa_alfabetizacao", "gap_meta_2030")
+    return an.inequality_profile(mt.risk_columns(k.integrated), "nome_regiao", "taxa_alfabetizacao", "gap_meta_2030")
 
 
 @query("on_pace_projection", f"""SELECT COUNT(*) AS unidades, COUNT(anos_estimados_para_meta) AS com_projecao,

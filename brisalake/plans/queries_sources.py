@@ -68,8 +68,8 @@ def _(k: Lake):
     return out.drop("_record_hash", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
-@query("record_hash", """SELECT n_nationkey, sha256(n_name || '||' || CAST(n_nationkey AS VARCHAR) || '||' ||
-       CAST(n_regionkey AS VARCHAR)) AS h FROM nation""")
+@query("record_hash", """SELECT n_nationkey, sha256(concat_ws('|', length(n_name) || ':' || n_name,
+       length(n_nationkey::VARCHAR) || ':' || n_nationkey, length(n_regionkey::VARCHAR) || ':' || n_regionkey)) AS h FROM nation""")
 def _(k: Lake):
     nation = k.table("nation").withColumn("_loaded", F.lit("x"))
     return nation.select("n_nationkey", record_hash(nation.columns).alias("h"))

@@ -165,9 +165,28 @@ def _(k: Lake):
     return ev.dlq_rate_alert(k.valid, k.dead)
 
 
-@query("alert_sink", f"""SELECT {_alert} FROM alert ORDER BY severidade, delta_pp NULLS LAST, id_municipio LIMIT 10""")
+_dlq_alert = f"""(SELECT 'TAXA_DLQ_ALTA' AS tipo, {r("100.0 * d / n")} AS taxa_dlq_pct, n AS eventos, d AS rejeitados
+       FROM (SELECT COUNT(*) AS n, COUNT(motivo_rejeicao) AS d FROM ev) WHERE 100.0 * d / n > 10)"""
+# The three kinds in one table.
+_alerts = f"""(SELECT {_alert}, CAST(NULL AS TIMESTAMP) AS w FROM alert
+       UNION ALL BY NAME SELECT 'LATENCIA_ACIMA_DO_SLA' AS tipo, 'ALTA' AS severidade, w, sigla_uf, latencia_p95_ms AS delta_pp,
+       eventos AS avaliados FROM win WHERE latencia_p95_ms > 2000
+       UNION ALL BY NAME SELECT tipo, 'ALTA' AS severidade, taxa_dlq_pct AS delta_pp, eventos AS avaliados FROM {_dlq_alert})"""
+
+
+def every_alert(k: Lake):
+    return ev.all_alerts(alerts(k), ev.latency_sla_alerts(windows(k)), ev.dlq_rate_alert(k.valid, k.dead))
+
+
+@query("alert_sink", f"""SELECT {_alert} FROM {_alerts}
+       ORDER BY severidade, delta_pp NULLS LAST, id_municipio NULLS LAST, sigla_uf NULLS LAST, w NULLS LAST LIMIT 10""")
+def _(k: Lake):
+    return ev.alert_sink(every_alert(k), f"{k.work}/alerts", F.lit("2024-02-01T00:00:00")).select(*_alert.split(", "))
+
+
+@query("alert_counts", f"SELECT tipo, severidade, COUNT(*) AS n FROM {_alerts} GROUP BY ALL")
 def _(k: Lake):
-    return ev.alert_sink(alerts(k), f"{k.work}/alerts", F.lit("2024-02-01T00:00:00")).select(*_alert.split(", "))
+    return every_alert(k).groupBy("tipo", "severidade").agg(n_rows())
 
 
 def replayed(k: Lake):
@@ -248,11 +267,11 @@ _cuts = ", ".join(rq(f"quantile_cont(latencia_ms, {p})", 1) + f" AS latencia_{n}
 _metrics = f"""(SELECT (SELECT COUNT(*) FROM ev) AS eventos_processados, COUNT(*) AS eventos_validos,
     (SELECT COUNT(*) FROM dead) AS eventos_dlq, {r("100.0 * (SELECT COUNT(*) FROM dead) / (SELECT COUNT(*) FROM ev)")} AS taxa_dlq_pct,
     {_cuts}, CAST((SELECT SUM(end_offset - coalesce(committed, 0)) FROM e LEFT JOIN c USING (topic, "partition")) AS BIGINT) AS lag_total,
-    (SELECT COUNT(*) FROM win) AS janelas_processadas, (SELECT COUNT(*) FROM alert) AS alertas_gerados FROM valid)"""
+    (SELECT COUNT(*) FROM win) AS janelas_processadas, (SELECT COUNT(*) FROM {_alerts}) AS alertas_gerados FROM valid)"""
 
 
 def metrics(k: Lake):
-    return ev.stream_metrics(k.valid, k.dead, windows(k), alerts(k), lag(k))
+    return ev.stream_metrics(k.valid, k.dead, windows(k), every_alert(k), lag(k))
 
 
 @query("stream_metrics", f"{_topic} SELECT * FROM {_metrics}")
@@ -265,6 +284,9 @@ _ok = lambda name, test: f"SELECT '{name}' AS verificacao, CASE WHEN {test} THEN
 
 @query("stream_health", f"{_topic}, s AS (SELECT * FROM {_metrics}) " + " UNION ALL ".join([
     _ok("Consumer lag zerado", "lag_total = 0"), _ok("Latência p95 dentro do SLA", "latencia_p95_ms < 2000"),
-    _ok("Taxa de DLQ abaixo de 10%", "taxa_dlq_pct < 10"), _ok("Todos os eventos válidos persistidos", "true")]))
+    _ok("Taxa de DLQ abaixo de 10%", "taxa_dlq_pct < 10"), _ok("Todos os eventos válidos persistidos", "eventos_validos = (SELECT COUNT(*) FROM valid)")]))
 def _(k: Lake):
-    return ev.stream_health(metrics(k), k.valid.agg(F.count(F.lit(1))).scalar())
+    good, bad = f"{k.work}/health_valid", f"{k.work}/health_dlq"
+    pl.run_batches(k.classify(k.as_events(raw_stream(k))), pl.two_sink_batch(good, bad, CUT, k.processed_at()), f"{k.work}/cp_health")
+    written = k.spark.read.parquet(good)  # what the sink holds
+    return ev.stream_health(metrics(k), written.agg(F.count(F.lit(1))).scalar())

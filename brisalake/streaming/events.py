@@ -171,11 +171,19 @@ def dlq_rate_alert(valid: DataFrame, dlq: DataFrame, max_pct: float = 10.0) -> D
                     "rejeitados").filter(pct > max_pct))
 
 
+def all_alerts(baseline: DataFrame, slow: DataFrame, rejected: DataFrame) -> DataFrame:
+    """One table of the three kinds of alert: units below their baseline, slow windows, too many rejected events."""
+    dlq = rejected.select("tipo", F.lit("ALTA").alias("severidade"), F.col("taxa_dlq_pct").alias("delta_pp"),
+                          F.col("eventos").alias("avaliados"))
+    return baseline.unionByName(slow, True).unionByName(dlq, True)
+
+
 def alert_sink(alerts: DataFrame, path: str, at: Column, n: int = 10) -> DataFrame:
     """Store the alerts with their time; return the ``n`` most severe."""
     alerts.withColumn("ts_alerta", at).write.mode("overwrite").parquet(path)
     stored = alerts.sparkSession.read.parquet(path)
-    return stored.orderBy("severidade", F.asc_nulls_last("delta_pp"), "id_municipio").limit(n)
+    ties = [F.asc_nulls_last(c) for c in ("delta_pp", "id_municipio", "sigla_uf", "janela_inicio") if c in stored.columns]
+    return stored.orderBy("severidade", *ties).limit(n)
 
 
 def replay_idempotence(existing: DataFrame, batch: DataFrame, key: Sequence[str],
