@@ -8,7 +8,7 @@ brought together first:
    last of equal ones) is an anchor. It depends on the window's content alone, so
    equal windows hold the same anchor at the same place. Only anchors that occur at
    two places or more go on.
-2. Segments. An anchor with all bytes that a window around it can reach. Equal
+2. Segments. All windows that an anchor stands for, as one piece of text. Equal
    segments are one with many places, combined before the shuffle.
 3. Groups of segments with one anchor. A group with very many different segments (the
    edge of a passage that a third of the documents share) is split: each segment is
@@ -34,24 +34,33 @@ from pyspark.sql import functions as F
 
 from brisalake.llm.common import RANDOM, Stage, byte_chunks, mixed, ranges, text_or_empty
 
-GRAM = 128  # long enough that grams are seldom equal by chance
+GRAM = 64  # long enough that grams are seldom equal by chance
 BATCH_BYTES = 1 << 20
 GROUP_SEGMENTS = 2000
 SEPARATOR = b"\xff"  # no byte of UTF-8
 
 
 # --- one text in memory ------------------------------------------------------
+def sorting(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order that sorts the keys, the sorted keys). With room for the place in a key's low bits it sorts values, which is faster."""
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits > 63:
+        order = np.argsort(key)
+        return order, key[order]
+    both = np.sort((key << bits) | np.arange(len(key)))
+    return both & ((1 << bits) - 1), both >> bits
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Places of the suffixes, sorted by at least their first ``depth`` symbols (positive, below 512)."""
     n = len(symbols)
-    padded = np.concatenate([symbols.astype(np.int64), np.zeros(7, np.int64)])
+    padded = np.concatenate([symbols.astype(np.int64), np.zeros(4, np.int64)])
     key = np.zeros(n, np.int64)
-    for j in range(7):
+    for j in range(4):
         key = (key << 9) | padded[j:j + n]
-    known = 7
+    known = 4
     while True:
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
+        order, ordered = sorting(key)
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
         if known >= depth or rank[order[-1]] == n - 1:
@@ -87,8 +96,8 @@ def short_prefixes(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
         at, key = at[there], key[there]
         if not len(at):
             break
-        by = np.argsort(key, kind="stable")
-        key, target = key[by], previous[at[by]]
+        by, key = sorting(key)
+        target = previous[at[by]]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         count = np.diff(np.concatenate([first, [len(key)]]))
         low = np.minimum.reduceat(target, first)
@@ -136,12 +145,15 @@ def joined_runs(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
 
 
 # --- anchors and segments ----------------------------------------------------
-def anchors(flat: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place, hash) of the anchors in texts that lie end to end."""
+def anchors(flat: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(place, hash, start of its first window, end of its last) of the anchors in texts that lie end to end.
+
+    Every window has one anchor, so an anchor's windows are what its segment holds.
+    """
     sizes = np.diff(starts)
     long = np.flatnonzero(sizes >= least)
     if not len(long):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     h, step, power = RANDOM[flat], 1, np.array([0x9E3779B97F4A7C15], np.uint64)  # an array: wraps without a warning
     while step < GRAM:
         h = h[:-step] * power + h[step:]
@@ -159,8 +171,9 @@ def anchors(flat: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarra
     at = ranges(starts[:-1][long], sizes[long] - least + 1)
     best = np.minimum(behind[at], ahead[at + width - 1])
     place = (low - (best & low)).astype(np.int64)
-    place = place[np.concatenate([[True], place[1:] != place[:-1]])]
-    return place, h[place]
+    new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    last = np.concatenate([new[1:] - 1, [len(place) - 1]])
+    return place[new], h[place[new]], at[new], at[last] + least
 
 
 def find_anchors(docs: DataFrame, least: int) -> DataFrame:
@@ -168,11 +181,12 @@ def find_anchors(docs: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             for lo, hi, flat, starts in byte_chunks(batch.column(1)):
-                place, h = anchors(flat, starts, least)
+                place, h, first, end = anchors(flat, starts, least)
                 row = np.searchsorted(starts, place, side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids.take(pa.array(row + lo)),
-                                                  pa.array(place - starts[row])], names=["grp", "tid", "pos"])
-    return docs.select("tid", "body").mapInArrow(run, "grp bigint, tid binary, pos bigint")
+                within = [pa.array(x - starts[row]) for x in (place, first, end)]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids.take(pa.array(row + lo)), *within],
+                                                 names=["grp", "tid", "pos", "lo", "hi"])
+    return docs.select("tid", "body").mapInArrow(run, "grp bigint, tid binary, pos bigint, lo bigint, hi bigint")
 
 
 SEGMENTS = "grp bigint, seg binary, anchor int, tids binary, starts binary"
@@ -200,9 +214,7 @@ def settle(key: tuple[int, bytes, int], places: list, least: int) -> tuple[list,
 
 
 def cut_segments(texts: DataFrame, least: int) -> DataFrame:
-    """(tid, body, at: array of (grp, pos)) to segments, equal ones combined and settled within a task."""
-    reach = least - GRAM
-
+    """(tid, body, at: array of (grp, pos, lo, hi)) to segments, equal ones combined and settled within a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
 
@@ -221,12 +233,9 @@ def cut_segments(texts: DataFrame, least: int) -> DataFrame:
             for tid, body, at in zip(batch.column(0), batch.column(1), batch.column(2)):
                 tid, data = tid.as_py(), body.as_py().encode()
                 for x in at.as_py():
-                    start = max(0, x["pos"] - reach)
-                    seg = data[start:x["pos"] + GRAM + reach]
-                    if len(seg) < least:
-                        continue
-                    places = held.setdefault((x["grp"], seg, x["pos"] - start), [])
-                    places.append((tid, start))
+                    seg = data[x["lo"]:x["hi"]]
+                    places = held.setdefault((x["grp"], seg, x["pos"] - x["lo"]), [])
+                    places.append((tid, x["lo"]))
                     size += len(seg) if len(places) == 1 else 24
                 if size > 16 << 20:
                     yield flush()
@@ -251,18 +260,24 @@ def repeated_runs(segments: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[tuple[bytes, list]] = []  # segments of whole groups, with their places
         group: dict[bytes, list] = {}
-        now, size = None, 0
+        now, size, alone = None, 0, []
 
         def close() -> None:
             nonlocal size
-            if len(group) > 1 or any(len(v) > 1 for v in group.values()):
+            if len(group) > 1:
                 ready.extend(group.items())
                 size += sum(map(len, group))
+            else:  # the same segment everywhere
+                for seg, spots in group.items():
+                    alone.extend(settle((0, seg, 0), sorted(set(spots)), least)[0])
             group.clear()
 
         def flush() -> pa.RecordBatch:
             nonlocal size
-            out, segs, places = [], [s for s, _ in ready], [sorted(set(p)) for _, p in ready]
+            out, segs, places = list(alone), [s for s, _ in ready], [sorted(set(p)) for _, p in ready]
+            alone.clear()
+            if not ready:
+                return runs_batch(out)
             many = np.array([len(p) > 1 for p in places])
             texts: dict[bytes, int] = {}
             number = np.array([(texts.setdefault(p[0][0], len(texts)) << 40) + p[0][1] for p in places], np.int64)
@@ -278,12 +293,12 @@ def repeated_runs(segments: DataFrame, least: int) -> DataFrame:
             for grp, seg, tids, starts in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
                 if grp != now:
                     close()
-                    if size >= BATCH_BYTES:
+                    if size >= BATCH_BYTES or len(alone) > 50_000:
                         yield flush()
                     now = grp
                 group.setdefault(seg, []).extend(places_of(tids, starts))
         close()
-        if ready:
+        if ready or alone:
             yield flush()
 
     return segments.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, RUNS)
@@ -389,7 +404,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_column: str = "doc_i
     spot = F.xxhash64("tid", "pos")
     shared = found.groupBy("grp").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).filter("low < high").select("grp")
     shared = found.join(stage.store(shared, "shared"), "grp").distinct()
-    at = stage.store(shared.groupBy("tid").agg(F.collect_list(F.struct("grp", "pos")).alias("at")), "at")
+    at = stage.store(shared.groupBy("tid").agg(F.collect_list(F.struct("grp", "pos", "lo", "hi")).alias("at")), "at")
     wanted = stage.store(docs.select("row_key", "body").join(at.join(texts, "tid"), "row_key")
                          .select("tid", "body", "at", "copies"), "wanted")
 
