@@ -118,15 +118,12 @@ def feature_prep(features: DataFrame, numeric: Sequence[str], category: str, tar
                  keep: Sequence[str] = ("id_municipio",)) -> DataFrame:
     """Rows with prior and target, one-hot category, medians for missing numbers.
 
-    The categories are those of a small dimension. If they are not given they
-    are read, and more than 1,000 of them is an error.
+    A column per category: pass those of the dimension, so that a category without
+    rows keeps its column. Without ``categories`` they are read from the rows.
     """
     base = features.dropna(subset=[prior, target])
     if categories is None:
-        found = base.select(category).dropna().distinct().limit(1001).toPandas()[category].tolist()
-        if len(found) > 1000:
-            raise ValueError(f"{category} has too many values for one-hot columns")
-        categories = sorted(found)
+        categories = sorted(r[0] for r in base.select(category).dropna().distinct().collect())  # one per column to make
     filled = impute_median(base, numeric)
     hot = [F.coalesce((F.col(category) == v).cast("double"), F.lit(0.0)).alias(f"regiao_{v}") for v in categories]
     return filled.select(*keep, category, *numeric, *hot, target)

@@ -129,6 +129,16 @@ def _(k: Lake):
     return ag.percentile_approx(k.table("events"), ["event_type"], "value", 0.5, 100)
 
 
+@query("percentile_approx_error", """SELECT event_type, COUNT(value) AS n, true AS dentro FROM events GROUP BY 1""")
+def _(k: Lake):
+    """Whether the sketch's value lies within 1 / accuracy of the ranks around the median."""
+    events = k.table("events")
+    near = events.join(ag.percentile_approx(events, ["event_type"], "value", 0.5, 100), "event_type")
+    n, below, upto = F.count("value"), F.count_if(F.col("value") < F.col("approx")), F.count_if(F.col("value") <= F.col("approx"))
+    inside = (below <= n * 0.51 + 1) & (upto >= n * 0.49 - 1)
+    return near.groupBy("event_type").agg(n.alias("n"), inside.alias("dentro"))
+
+
 @query("group_median", f"""SELECT ano, rede, {r("median(taxa_alfabetizacao)", 3)} AS median_taxa_alfabetizacao
        FROM fact GROUP BY ALL""")
 def _(k: Lake):
@@ -241,6 +251,12 @@ def _(k: Lake):
     return wn.latest_revision(long, ["id_municipio", "rede", "ano_meta"], "ano")
 
 
+@query("stratified_sample_counts", """SELECT event_type, least(COUNT(*), 60) AS n, least(COUNT(*), 60) AS distintos FROM events GROUP BY 1""")
+def _(k: Lake):
+    picked = wn.stratified_sample(k.table("events"), ["event_type"], 60, 42, "event_id")
+    return picked.groupBy("event_type").agg(n_rows(), F.count_distinct("event_id").alias("distintos"))
+
+
 @query("stratified_sample")
 def _(k: Lake):
     return wn.stratified_sample(k.table("events"), ["event_type"], 60, 42, "event_id")

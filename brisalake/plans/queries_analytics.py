@@ -126,7 +126,7 @@ def _(k: Lake):
 
 
 def prepared(k: Lake):
-    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    regions = sorted(r.r_name for r in k.table("region").select("r_name").collect())  # the dimension's rows name the columns
     features = k.stored("features", lambda: mt.mart_features(k.integrated, k.micro))
     data = an.feature_prep(features, NUMERIC, "nome_regiao", TARGET, regions)
     names = {f"regiao_{x}": f"regiao_{x.replace(' ', '_')}" for x in regions}
@@ -157,7 +157,8 @@ def split(k: Lake):
     return k.stored("train", lambda: train), k.stored("test", lambda: test), names
 
 
-@query("stratified_split")
+@query("stratified_split", """WITH s AS (SELECT nome_regiao, COUNT(*) AS n, CAST(floor(COUNT(*) * 0.8 + 0.5) AS BIGINT) AS t FROM factu GROUP BY 1)
+       SELECT nome_regiao, t AS n, 'treino' AS parte FROM s WHERE t > 0 UNION ALL SELECT nome_regiao, n - t, 'teste' FROM s WHERE n > t""")
 def _(k: Lake):
     train, test = an.stratified_split(k.fact_units, "nome_regiao", "id_municipio")
     n = F.count(F.lit(1)).alias("n")
@@ -202,6 +203,22 @@ def _(k: Lake):
     return an.regression_metrics(scored, TARGET, {"Baseline": "taxa_ciclo_anterior", "Random Forest": "forest"})
 
 
+@query("model_quality", f"""WITH b AS ({_fsql}), s AS (SELECT nome_regiao, COUNT(*) AS n, CAST(floor(COUNT(*) * 0.8 + 0.5) AS BIGINT) AS t FROM b GROUP BY 1)
+       SELECT modelo, SUM(t)::BIGINT AS treino, SUM(n - t)::BIGINT AS teste, true AS repete, true AS previsoes_finitas
+       FROM s, (VALUES ('Ridge'), ('Random Forest')) m(modelo) GROUP BY 1""")
+def _(k: Lake):
+    """Sizes of the parts, and whether training again gives the same finite predictions."""
+    train, test, names = split(k)
+    rows, n = [], F.count(F.lit(1))
+    for name, fit in (("Ridge", md.ridge_model), ("Random Forest", md.forest_model)):
+        once, again = (md.predict(fit(train, names, TARGET), test, names, f"p{i}").select("id_municipio", f"p{i}") for i in range(2))
+        close = F.abs(F.col("p0") - F.col("p1")) <= 1e-6 * (1 + F.abs("p0"))
+        rows.append(once.join(again, "id_municipio").agg(
+            F.lit(name).alias("modelo"), n.alias("teste"), F.every(close).alias("repete"),
+            F.every(~F.isnan("p0") & (F.abs("p0") < 1e6)).alias("previsoes_finitas")).withColumn("treino", train.agg(n).scalar()))
+    return rows[0].unionByName(rows[1])
+
+
 @query("feature_importance")
 def _(k: Lake):
     train, _, names = split(k)
