@@ -13,8 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted spellings of a boolean in the source files.
-TRUE_WORDS = ("sim", "true", "1", "1.0", "s", "verdadeiro")
-FALSE_WORDS = ("não", "nao", "false", "0", "0.0", "n", "falso")
+TRUE_WORDS = ("sim", "true", "1")
+FALSE_WORDS = ("não", "nao", "false", "0")
+# Spellings that other exports use; pass () to have them fall back like any unknown text.
+MORE_TRUE = ("1.0", "s", "verdadeiro")
+MORE_FALSE = ("0.0", "n", "falso")
 
 
 def as_col(c: Column | str) -> Column:
@@ -124,10 +127,11 @@ def encode_text_domain(c: Column | str, mapping: Mapping[str, int]) -> Column:
     return _lookup(F.lower(F.trim(as_col(c))), mapping)
 
 
-def normalize_bool(c: Column | str, fallback: Column) -> Column:
+def normalize_bool(c: Column | str, fallback: Column, more_true: Sequence[str] = MORE_TRUE,
+                   more_false: Sequence[str] = MORE_FALSE) -> Column:
     """Yes/no text to boolean, else the fallback."""
     text = F.lower(F.trim(as_col(c).cast("string")))
-    words = {**{w: True for w in TRUE_WORDS}, **{w: False for w in FALSE_WORDS}}
+    words = {**{w: True for w in (*TRUE_WORDS, *more_true)}, **{w: False for w in (*FALSE_WORDS, *more_false)}}
     return F.coalesce(_lookup(text, words), fallback)
 
 

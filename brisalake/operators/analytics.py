@@ -187,7 +187,8 @@ def cluster_profile(df: DataFrame, cluster: str, cols: Sequence[str], order: str
         *[round_half_away(exact_avg(c)).alias(c) for c in cols])
     place = F.row_number().over(Window.orderBy("_o", cluster))
     return (means.withColumn("_p", place)
-            .withColumn("perfil", F.try_element_at(F.array(*[F.lit(x) for x in labels]), F.col("_p")))
+            .withColumn("perfil", F.coalesce(F.try_element_at(F.array(*[F.lit(x) for x in labels]), F.col("_p")),
+                                             F.concat(F.lit("Perfil "), F.col("_p").cast("string"))))
             .drop("_o", "_p"))
 
 

@@ -152,8 +152,8 @@ PRIORITY_COLUMNS = (
 
 
 def mart_priority(priority: DataFrame, path: str) -> DataFrame:
-    """Store the priority index as a mart and return it as stored."""
-    cols = [c for c in PRIORITY_COLUMNS if c in priority.columns]
+    """Store the priority index as a mart and return it as stored; cluster and profile if it has been clustered."""
+    cols = [c for c in PRIORITY_COLUMNS if c in priority.columns or c not in ("cluster", "perfil")]
     priority.select(*cols).write.mode("overwrite").parquet(path)
     return priority.sparkSession.read.parquet(path)
 
