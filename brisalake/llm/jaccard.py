@@ -6,8 +6,9 @@ order puts tokens that many documents of a sample share last, so that common pas
 are rarely looked at. (The sample steers cost only: any order gives the same links.)
 
 1. Equal sets are one class, kept as one representative.
-2. Similar documents are partitioned into groups: representatives with the same
-   first token whose similarity to the group's leader has been verified.
+2. Similar documents are partitioned into groups: representatives that share one of
+   their smallest tokens with a leader and have been verified against it. Copies of
+   one text with different edits differ in some of these tokens, seldom in all.
 3. The matrix holds, per leading token, the groups whose union has it. Tokens of a
    single group say nothing about links between groups and are dropped, so a family
    of near copies, however large, adds one row per token.
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from brisalake.llm.common import BLANK, Stage, byte_chunks, mixed, small_side, span_hashes, spans, text_or_empty
 from brisalake.llm.components import components
 
+LEADING = 3  # smallest tokens of a set that may lead it to a group
 COMMON = np.int64(1) << np.int64(62)  # set in the place of a common token, so that it sorts last
 BUCKET_TOKENS = 500_000
 LOWER = np.arange(256, dtype=np.uint8)
@@ -127,12 +129,12 @@ def gathered(df: DataFrame, fn, schema: str, width=np.int64) -> DataFrame:
     return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
-MEASURED = ("id bigint, doc_key binary, n bigint, digest binary, first bigint, prefix_size bigint, last bigint, "
+MEASURED = ("id bigint, doc_key binary, n bigint, digest binary, smallest array<bigint>, prefix_size bigint, last bigint, "
             "rare binary, common binary")
 
 
 def measure(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """Per document its set's size and digest, its first token, and its prefix split into rare and common tokens."""
+    """Per document its set's size and digest, its smallest tokens, and its prefix split into rare and common tokens."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,11 +150,11 @@ def measure(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> Da
                 shared = shared[:take - len(rare)]
                 last = int(shared[-1] | COMMON) if len(shared) else int(rare[-1]) if len(rare) else None
                 out.append((n, hashlib.blake2b(t.tobytes(), digest_size=16).digest() if n else None,
-                            int((rare if len(rare) else shared)[0]) if n else None, take, last, short(rare), (shared | COMMON).tobytes()))
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                            t[:LEADING].tolist(), take, last, short(rare), (shared | COMMON).tobytes()))
+            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             columns = [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=[
-                "id", "doc_key", "n", "digest", "first", "prefix_size", "last", "rare", "common"])
+                "id", "doc_key", "n", "digest", "smallest", "prefix_size", "last", "rare", "common"])
 
     return docs.select("id", "doc_key", "body").mapInArrow(run, MEASURED)
 
@@ -232,7 +234,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
 
     # Classes of equal sets, by their representative.
     classes = stage.store(all_docs.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min("id").alias("least_id")), "classes")
-    reps = stage.store(classes.join(all_docs.select("row", "n", "first", "prefix_size", "last", "doc_key"), "row"), "representatives")
+    reps = stage.store(classes.join(all_docs.select("row", "n", "smallest", "prefix_size", "last", "doc_key"), "row"), "representatives")
 
     # Leading tokens that several representatives have.
     total = all_docs.agg(F.sum(F.length("rare"))).first()[0] or 0
@@ -241,23 +243,28 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
     tokens = stage.store(rare.unionByName(often).join(reps.select("row"), "row", "left_semi"), "tokens")
 
     def sets_of(wanted: DataFrame, name: str) -> DataFrame:
-        """(row, leader, tokens) of the wanted rows, made from their texts."""
+        """(row, tokens) of the wanted rows, made from their texts."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                made = pa.array([t.tobytes() for t in shingle_sets(batch.column(2), width)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=["row", "leader", "tokens"])
+                made = pa.array([t.tobytes() for t in shingle_sets(batch.column(1), width)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), made], names=["row", "tokens"])
 
         keys = small_side(stage.store(reps.select("row", "doc_key").join(wanted, "row"), f"{name}-keys"))
-        found = docs.select("doc_key", "body").join(keys, "doc_key").select("row", "leader", "body")
-        return stage.store(found.mapInArrow(run, "row bigint, leader bigint, tokens binary"), name)
-
-    # Groups: the same first token, and verified against the leader.
-    leaders = reps.groupBy("first").agg(F.min("row").alias("leader"), F.count("*").alias("many")).filter("many > 1")
-    led = stage.store(reps.join(leaders, "first").select("row", "leader"), "led")
-    sets = sets_of(led, "led-sets")
-    lead = sets.filter("row = leader").select("leader", F.col("tokens").alias("lead"))
-    grouped = stage.store(sets.filter("row <> leader").join(lead, "leader").filter(similar("tokens", "lead", percent))
-                          .select("row", "leader").distinct(), "grouped")
+        found = docs.select("doc_key", "body").join(keys, "doc_key").select("row", "body")
+        return stage.store(found.mapInArrow(run, "row bigint, tokens binary"), name)
+
+    # Groups: a leader shares one of the smallest tokens, and is verified.
+    leading = stage.store(reps.select("row", "n", F.explode("smallest").alias("token")), "leading")
+    leaders = leading.groupBy("token").agg(F.min(F.struct("row", "n")).alias("lead"), F.count("*").alias("many")).filter("many > 1")
+    leaders = stage.store(leaders.select("token", "lead"), "leaders-of-tokens")
+    near = leading.join(leaders, "token").filter(f"row <> lead.row AND 100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)")
+    led = stage.store(near.select("row", F.col("lead.row").alias("leader")).distinct(), "led")
+    wanted = led.select("row").union(led.select("leader")).distinct()
+    sets = sets_of(wanted, "led-sets")
+    similar_to_leader = led.join(sets.select(F.col("row").alias("leader"), F.col("tokens").alias("lead")), "leader").join(
+        sets, "row").filter(similar("tokens", "lead", percent))
+    grouped = components(stage, stage.store(similar_to_leader.select(F.col("row").alias("a"), F.col("leader").alias("b")), "grouped"),
+                         "groups").toDF("row", "leader")
     member = reps.join(grouped, "row", "left").select("row", "n", "prefix_size", "last", F.coalesce("leader", "row").alias("grp"))
     groups = member.groupBy("grp").agg(F.count("*").alias("members"), F.min("n").alias("n_low"), F.max("n").alias("n_high"),
                                        F.max("prefix_size").alias("prefix_size"), F.max("last").alias("last"))
@@ -276,7 +283,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
 
     # Whole sets of what is left to compare: of larger groups every document's set is there.
     paired = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    paired = paired.join(led, "row", "left_anti").withColumn("leader", F.lit(None).cast("bigint"))
+    paired = paired.join(sets.select("row"), "row", "left_anti")
     sets = sets.unionByName(sets_of(paired, "paired-sets"))
 
     def verified(p: DataFrame, x: str, y: str) -> DataFrame:
