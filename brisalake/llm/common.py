@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,8 +29,17 @@ class Stage:
     not the plan behind it.
     """
 
+    opened = threading.local()  # folders of this thread's stages, in order
+
     def __init__(self, spark: SparkSession):
         self.spark, self.folder = spark, shared_folder(spark)
+        self.folders().append(self.folder)
+
+    @classmethod
+    def folders(cls) -> list[str]:
+        if not hasattr(cls.opened, "paths"):
+            cls.opened.paths = []
+        return cls.opened.paths
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -45,6 +55,12 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a stage's folder, wherever the cluster keeps it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

@@ -2,28 +2,56 @@
 
 Each stage takes all that the one before kept and returns the columns of documents,
 the last one the packed pieces. ``run`` stores every stage's rows before the next
-reads them, so a lost executor never costs more than one stage.
+reads them, so a lost executor never costs more than one stage. A stage begins by
+deleting the working tables of the stages before it in the same thread, whose rows
+have been written by then; tables that its own input still reads are kept.
 """
 
 from __future__ import annotations
 
+import functools
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brisalake.llm import exact_dedup, jaccard, mixing, packing, quality
-from brisalake.llm.common import Stage, table
+from brisalake.llm.common import Stage, remove_folder, table
 from brisalake.llm.queries import ranks_file
 
 ROW, AT = "_corpus_row", "_corpus_at"
 ORACLE_SQL = None
-
-
+_before = threading.local()
+
+
+def tidy(step: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """``step``, after the working tables of earlier steps are gone."""
+    @functools.wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        tail = lambda path: path.split(":", 1)[-1].lstrip("/")  # noqa: E731  without scheme
+        read = [tail(f) for f in docs.inputFiles()]
+        left = []
+        for folder in getattr(_before, "folders", []):
+            if any(f.startswith(tail(folder) + "/") for f in read):
+                left.append(folder)
+            else:
+                remove_folder(spark, folder)
+        known = set(Stage.folders())
+        out = step(spark, docs, sf_dir)
+        _before.folders = left + [f for f in Stage.folders() if f not in known]
+        return out
+    return run_step
+
+
+@tidy
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.3."""
     trees = quality.fit(docs, table(spark, sf_dir, "labels"))
     return docs.filter(quality.score(F.col("text"), trees) >= 0.3)
 
 
+@tidy
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest id."""
     stage = Stage(spark)
@@ -34,6 +62,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return landed.withColumn(AT, at).join(dropped, AT, "left_anti").drop(AT)
 
 
+@tidy
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar word shingles, the one with the smallest id."""
     stage = Stage(spark)
@@ -44,6 +73,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return landed.join(first.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_semi").drop(ROW)
 
 
+@tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per draw; the document at the end of a source's target is cut to the word."""
     documents, drawn = mixing.mix(spark, docs, keep=tuple(docs.columns))
@@ -51,6 +81,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else mixed
 
 
+@tidy
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 1024 tokens."""
     pieces = packing.pack(docs, ranks_file())
