@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm import chat, exact_dedup, jaccard, mixing, packing, quality, secrets, suffix_dedup, topk
+from brisalake.llm import chat, exact_dedup, jaccard, lm_score, mixing, packing, quality, secrets, suffix_dedup, topk
 from brisalake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     rows = suffix_dedup.remove_repeats(spark, table(spark, folder, "documents"))
     kept = F.coalesce(F.sha2("kept", 256), F.lower(F.hex("sha")))
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256"))
+
+
+@query("op2_cross_entropy_difference")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Target: the documents labelled good. Background: all documents."""
+    good = table(spark, folder, "labels").filter("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
+    docs = table(spark, folder, "documents")
+    models = lm_score.count_models(docs.join(good, "doc_id", "left"), "text", F.col("good"))
+    return lm_score.score(docs, models).withColumnRenamed("id", "doc_id")
