@@ -1,11 +1,11 @@
 """Cross-entropy difference of two matched n-gram models.
 
 The target model is counted on the target documents, the background model on all
-documents. Both share one vocabulary: words and pairs of words fall into the same
-fixed number of hash buckets, so what is sent to the tasks has a bound however large
-the corpus is. A task counts its documents in arrays and emits the buckets it met;
-Spark adds them up. A document's score is the mean over its words of target loss less
-background loss, in nats: the lower, the more it reads like the target.
+documents, over one vocabulary. Words, contexts and pairs of words are 64-bit hashes,
+counted in stored Spark tables that grow with the corpus: a task adds up some millions
+of words before it emits them, Spark adds up the rest. A document meets the models by
+a shuffled join of its distinct pairs. Its score is the mean over its words of target
+loss less background loss, in nats: the lower, the more it reads like the target.
 """
 
 from __future__ import annotations
@@ -18,92 +18,137 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisalake.llm.common import BLANK, byte_chunks, mixed, span_hashes, spans, text_or_empty
+from brisalake.llm.common import BLANK, Stage, byte_chunks, mixed, small_side, span_hashes, spans, text_or_empty
 
-WORD_BITS, PAIR_BITS = 16, 19
-START = 1 << WORD_BITS  # the context of a text's first word
+START = 1 << 16  # words that the add-one frequency allows for at least
+FIRST = 0  # the context of a text's first word
 SHARE = 0.7  # weight of the pair's own frequency
+UNIT = 2.0**32  # losses are summed as whole parts of a nat, so no order of tasks changes a digit
+HELD = 1 << 21  # words that a task adds up at a time
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
 def grams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(words, contexts, pairs) of each text, as bucket numbers."""
+    """(words, contexts, pairs) of each text, as 64-bit hashes."""
     for lo, hi, flat, starts in byte_chunks(texts):
         flat = LOWER[flat]
         first, end = spans(~BLANK[flat], starts)
         h = mixed(span_hashes(flat, first, end))
-        word = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
         at = np.searchsorted(first, starts)
+        before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])[:len(h)]
+        before[at[:-1][at[:-1] < at[1:]]] = FIRST
+        pair = mixed(before * np.uint64(0x9E3779B97F4A7C15) + h).view(np.int64)
+        word, context = h.view(np.int64), before.view(np.int64)
         for a, b in zip(at[:-1], at[1:]):
-            before = np.concatenate([np.zeros(1, np.uint64), h[a:b - 1]]) if b > a else h[:0]
-            context = np.concatenate([[START], word[a:b - 1]]) if b > a else word[:0]
-            pair = mixed(before * np.uint64(0x9E3779B97F4A7C15) + h[a:b]) >> np.uint64(64 - PAIR_BITS)
-            yield word[a:b], context, pair.astype(np.int64)
+            yield word[a:b], context[a:b], pair[a:b]
+
+
+def pair_counts(docs: DataFrame, text_column: str, target: Column) -> DataFrame:
+    """pair, context, word and how often the target and all documents have the pair."""
+    names = ("pair", "context", "word", "target", "every")
+
+    def added_up(parts: list, wanted: list[bool]) -> pa.RecordBatch:
+        word, context, pair = (np.concatenate(x) for x in zip(*parts))
+        good = np.repeat(wanted, [len(p[0]) for p in parts]).astype(float)
+        found, at, place, every = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+        of_target = np.bincount(place, good, len(found)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (found, context[at], word[at], of_target, every)], names=list(names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, wanted, held = [], [], 0
+        for batch in batches:
+            for good, part in zip(batch.column(1).to_pylist(), grams(batch.column(0))):
+                parts.append(part)
+                wanted.append(good)
+                held += len(part[0])
+                if held >= HELD:
+                    yield added_up(parts, wanted)
+                    parts, wanted, held = [], [], 0
+        if held:
+            yield added_up(parts, wanted)
+
+    rows = docs.select(text_or_empty(text_column).alias("body"), F.coalesce(target, F.lit(False)).alias("wanted"))
+    return rows.mapInArrow(run, ", ".join(f"{x} bigint" for x in names)).groupBy("pair").agg(
+        *[F.first(x).alias(x) for x in names[1:3]], *[F.sum(x).alias(x) for x in names[3:]])
 
 
 @dataclass
 class Models:
-    """Counts by bucket, a row for the target and one for the background."""
+    """Stored tables of both models: losses by pair, counts by context and by word, totals and vocabulary."""
+
+    stage: Stage
+    losses: DataFrame | None
+    contexts: DataFrame
+    words: DataFrame
+    totals: tuple[int, int]
+    vocabulary: int
 
-    words: np.ndarray
-    contexts: np.ndarray
-    pairs: np.ndarray
+    def price(self, pairs: DataFrame) -> DataFrame:
+        """Loss of each counted pair in either model: its frequency after the context, mixed with the word's add-one frequency."""
+        def loss(model: str, total: int) -> Column:
+            seen, alone = (F.coalesce(f"{x}_{model}", F.lit(0)) for x in ("context", "word"))
+            share = F.when(seen > 0, SHARE).otherwise(0.0)
+            alone = (alone + 1) / F.lit(float(total + max(START, self.vocabulary)))
+            nats = -F.log(share * F.col(model) / F.greatest(seen, F.lit(1)) + (1 - share) * alone)
+            return F.round(nats * UNIT).cast("bigint").alias(f"{model}_loss")
 
-    def losses(self, word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Loss of each word in either model: its pair's frequency, mixed with the word's add-one frequency."""
-        seen = np.maximum(self.contexts[:, context], 1)
-        alone = (self.words[:, word] + 1) / (self.words.sum(1, keepdims=True) + START)
-        share = np.where(self.contexts[:, context] > 0, SHARE, 0.0)
-        return -np.log(share * np.minimum(self.pairs[:, pair] / seen, 1.0) + (1 - share) * alone)
+        return pairs.join(small_side(self.contexts), "context", "left").join(small_side(self.words), "word", "left").select(
+            "pair", loss("target", self.totals[0]), loss("every", self.totals[1]))
 
 
 def count_models(docs: DataFrame, text_column: str, target: Column) -> Models:
     """Both models from all documents; a null ``target`` is false."""
-    sizes = (START, START + 1, 1 << PAIR_BITS)
-
+    stage = Stage(docs.sparkSession)
+    pairs = stage.store(pair_counts(docs, text_column, target), "pairs")
+    contexts, words = (stage.store(pairs.groupBy(x).agg(*[F.sum(m).alias(f"{x}_{m}") for m in ("target", "every")]), f"{x}s")
+                       for x in ("context", "word"))
+    t = words.agg(F.sum("word_target"), F.sum("word_every"), F.count("*")).first()
+    models = Models(stage, None, contexts, words, (t[0] or 0, t[1] or 0), t[2])
+    models.losses = stage.store(models.price(pairs), "losses")
+    return models
+
+
+def pair_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(row, pair, n) of each distinct pair of a document, and one row more with its id and n = 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros((2, n), np.int64) for n in sizes]
         for batch in batches:
-            for wanted, parts in zip(batch.column(1).to_pylist(), grams(batch.column(0))):
-                for counts, ids in zip(held, parts):
-                    np.add.at(counts[1], ids, 1)
-                    if wanted:
-                        np.add.at(counts[0], ids, 1)
-        for kind, counts in enumerate(held):
-            met = np.flatnonzero(counts[1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(met), kind, np.int32)), pa.array(met.astype(np.int32)),
-                                              pa.array(counts[0, met]), pa.array(counts[1, met])], names=["kind", "bucket", "target", "every"])
-
-    rows = docs.select(text_or_empty(text_column).alias("body"), F.coalesce(target, F.lit(False)).alias("wanted"))
-    found = rows.mapInArrow(run, "kind int, bucket int, target bigint, every bigint").groupBy("kind", "bucket").agg(
-        F.sum("target").alias("target"), F.sum("every").alias("every")).toPandas()  # at most as many rows as buckets
-    out = [np.zeros((2, n)) for n in sizes]
-    for kind, part in found.groupby("kind"):
-        out[kind][0, part["bucket"]], out[kind][1, part["bucket"]] = part["target"], part["every"]
-    return Models(*out)
-
-
-def losses(text: Column, models: Models) -> Column:
-    """[words, target loss, background loss] summed over a text's words; zeros for a null, empty or blank text."""
-    @F.arrow_udf("array<double>")
-    def walk(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            x = np.zeros((len(texts), 3))
-            for i, parts in enumerate(grams(texts)):
-                if len(parts[0]):
-                    x[i] = len(parts[0]), *models.losses(*parts).sum(1)
-            yield pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * 3, pa.int32()), pa.array(x.ravel()))
-    return walk(text_or_empty(text))
+            rows = batch.column(0).to_numpy()
+            own = mixed(rows.astype(np.uint64) + np.uint64(1)).view(np.int64)  # any value: spreads the rows with ids
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own), pa.array(np.zeros(len(rows), np.int64)), batch.column(1)],
+                                             names=["row", "pair", "n", "id"])
+            found, sizes = [], []
+            for _, _, pair in grams(batch.column(2)):
+                found.append(np.unique(pair, return_counts=True))
+                sizes.append(len(found[-1][0]))
+            if sum(sizes):
+                pair, n = (np.concatenate(x) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rows, sizes)), pa.array(pair), pa.array(n.astype(np.int64)),
+                                                  pa.nulls(len(n), pa.int64())], names=["row", "pair", "n", "id"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("bigint").alias("id"), text_or_empty(text_column).alias("body"))
+    return rows.mapInArrow(run, "row bigint, pair bigint, n bigint, id bigint")
 
 
 def score(docs: DataFrame, models: Models, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id, n_words, target_loss, background_loss (per word, null without words) and score, one row per document.
 
     Without words the score is 0. Null and repeated ids are kept as they are; an
-    empty table gives no rows; other columns are not read.
+    empty table gives no rows; other columns are not read. Pairs that the models
+    have not counted cost what their word does.
     """
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), losses(F.col(text_column), models).alias("x"))
-    per_word = lambda i: F.try_divide(F.col("x")[i], F.col("x")[0])
-    return rows.select("id", F.col("x")[0].cast("bigint").alias("n_words"), per_word(1).alias("target_loss"), per_word(2).alias("background_loss"),
-                       F.coalesce(per_word(1) - per_word(2), F.lit(0.0)).alias("score"))
+    stage = Stage(docs.sparkSession)
+    sums = [F.sum("n").alias("n"), F.max("id").alias("id"), *[F.sum(F.col(x) * F.col("n")).alias(x) for x in ("target_loss", "every_loss")]]
+    foreign = F.when(F.col("target_loss").isNull() & (F.col("n") > 0), F.col("pair")).alias("foreign")
+    found = stage.store(pair_rows(docs, id_column, text_column).join(models.losses, "pair", "left").groupBy("row", foreign).agg(*sums), "sums")
+    missing = found.filter("foreign IS NOT NULL").drop("target_loss", "every_loss").withColumnRenamed("foreign", "pair")
+    if not missing.isEmpty():  # documents other than the counted ones
+        there = pair_counts(docs, text_column, F.lit(False)).join(missing.select("pair").distinct(), "pair", "left_semi")
+        priced = models.price(there.withColumn("target", F.lit(0)).withColumn("every", F.lit(0)))
+        more = missing.join(priced, "pair").groupBy("row").agg(*sums)
+        found = found.filter("foreign IS NULL").drop("foreign").unionByName(more).groupBy("row").agg(
+            F.max("id").alias("id"), *[F.sum(x).alias(x) for x in ("n", "target_loss", "every_loss")])
+    per_word = lambda x: F.try_divide(F.coalesce(x, F.lit(0)) / UNIT, F.col("n"))
+    return found.select("id", F.col("n").alias("n_words"), per_word("target_loss").alias("target_loss"),
+                        per_word("every_loss").alias("background_loss")).withColumn(
+        "score", F.coalesce(F.col("target_loss") - F.col("background_loss"), F.lit(0.0)))

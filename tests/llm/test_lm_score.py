@@ -1,6 +1,7 @@
 """Language-model scores against plain counting."""
 
 import math
+import random
 from collections import Counter
 
 import pyarrow as pa
@@ -39,3 +40,46 @@ def test_scores_equal_plain_counts(spark, docs):
 def test_nothing_to_score(spark, no_docs):
     models = lm_score.count_models(no_docs, "text", F.lit(True))
     assert lm_score.score(no_docs, models).count() == 0
+
+
+def test_models_grow_with_the_vocabulary(spark):
+    """More words and pairs than any fixed table holds, against counts of the words themselves; also for other documents."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(150_000)}" for _ in range(3000)) for _ in range(300)]
+    texts += ["w1 w2 W1 w2", "", None, "w1 w2 W1 w2"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    models = lm_score.count_models(frame, "text", F.col("doc_id") % 10 == 0)
+    split = [(t or "").lower().split() for t in texts]
+    words, contexts, pairs = ([Counter(), Counter()] for _ in range(3))
+    for i, w in enumerate(split):
+        for m in ([0, 1] if i % 10 == 0 else [1]):
+            words[m].update(w)
+            contexts[m].update(["", *w][:-1] if w else [])
+            pairs[m].update(zip(["", *w], w))
+    totals = [w.total() + max(lm_score.START, len(words[1])) for w in words]
+
+    def losses(w):
+        out = []
+        for m in range(2):
+            total = 0.0
+            for c, x in zip(["", *w], w):
+                share = lm_score.SHARE if contexts[m][c] else 0.0
+                alone = (words[m][x] + 1) / totals[m]
+                total -= math.log(share * pairs[m][c, x] / max(contexts[m][c], 1) + (1 - share) * alone)
+            out.append(total / len(w) if w else None)
+        return out
+
+    other = ["w1 w2 never-seen w1 w2 w99", "w5 w4 w3", "", "never-seen"]
+    others = spark.createDataFrame(list(enumerate(other)), "doc_id bigint, text string")
+    assert len(words[1]) > 1 << 16 and len(pairs[1]) > 1 << 19
+    for docs, parts in ((frame, split), (others, [t.split() for t in other])):
+        got = {r.id: r for r in lm_score.score(docs, models).collect()}
+        assert sorted(got) == list(range(len(parts)))
+        for i, w in enumerate(parts):
+            a, b = losses(w)
+            assert got[i].n_words == len(w)
+            if w:
+                assert (got[i].target_loss, got[i].background_loss) == pytest.approx((a, b), abs=1e-9)
+                assert got[i].score == pytest.approx(a - b, abs=1e-9)
+            else:
+                assert got[i].target_loss is None and got[i].score == 0
