@@ -4,10 +4,12 @@ Known patterns are matched in every whole text. The battery looks at every other
 long run of token characters, infers its encoding from the characters it uses, and
 tests the hypothesis that it is random in that encoding: chi-squared uniformity over
 the alphabet, the number of runs above and below the alphabet's middle, and serial
-correlation. Natural words fail it. Over the whole corpus, rejections are controlled
-by false discovery rate within strata of encoding and length, and a run counts as a
-secret only if it is not rejected and is long enough that natural text of its length
-would have been.
+correlation. Natural words fail it if they are long. For short runs too, the
+hypothesis that a run is natural is tested: how much its characters surprise a model
+of character pairs, counted on the corpus's own short runs. Over the whole corpus,
+rejections of either hypothesis are controlled by false discovery rate within strata
+of encoding and length; a run counts as a secret if it is rejected as natural and
+not as random, whatever its length from LEAST_RUN on.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm.common import Stage, byte_chunks, text_or_empty
+from brisalake.llm.common import Stage, byte_chunks, ranges, spans, text_or_empty
 
 # The base patterns. Kinds in the order of the contract; "random" follows them.
 KINDS = ("assign", "access", "hex", "random")
@@ -38,9 +40,9 @@ ENCODINGS = (("hex", DIGITS + "abcdef"), ("HEX", DIGITS + "ABCDEF"), ("base32",
              ("base62", UPPERS + LOWER + DIGITS), ("base64", UPPERS + LOWER + DIGITS + "+/"),
              ("base64url", UPPERS + LOWER + DIGITS + "-_"), ("mixed", UPPERS + LOWER + DIGITS + "+/-_"))
 LEAST_RUN = 16
-#: Chance that two characters of natural text are equal, and standard deviations by which its chi-squared must stand out.
-COINCIDENCE, STAND_OUT = 0.066, 6.0
 BIN, LAST_BIN = 0.01, 1600  # p values as -log10 p in bins
+Z_BIN, LAST_Z = 0.05, 2000  # deviations from natural text in bins
+WORD_RUN = 8  # shorter runs do not say how far natural text spreads
 
 TOKEN = np.zeros(256, bool)
 TOKEN[np.frombuffer((UPPERS + LOWER + DIGITS + "+/-_").encode(), np.uint8)] = True
@@ -51,10 +53,54 @@ for _i, (_, _alphabet) in enumerate(ENCODINGS):
     MEMBER[_i, _codes], INDEX[_i, _codes] = True, np.arange(len(_codes))
 
 
-def least_length(symbols: int) -> int:
-    """Length from which natural text stands out from randomness over so many symbols."""
-    excess = symbols * max(COINCIDENCE, 1.7 / symbols) - 1
-    return max(LEAST_RUN, math.ceil(STAND_OUT * math.sqrt(2 * (symbols - 1)) / excess))
+#: Characters as classes: letters whatever their case, digits, each of the others.
+SIGNS = "+/-_"
+CLASSES = len(LOWER) + 1 + len(SIGNS)
+CLASS = np.zeros(256, np.int64)
+for _i, _c in enumerate(LOWER):
+    CLASS[ord(_c)] = CLASS[ord(_c.upper())] = _i
+CLASS[np.frombuffer(DIGITS.encode(), np.uint8)] = len(LOWER)
+for _i, _c in enumerate(SIGNS):
+    CLASS[ord(_c)] = len(LOWER) + 1 + _i
+
+
+def token_runs(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end places of the runs of token characters."""
+    return spans(TOKEN[flat], starts)
+
+
+def pair_model(docs: DataFrame, text_column: str) -> np.ndarray:
+    """Chance of each class after each other in natural text: the corpus's runs too short to be candidates.
+
+    What comes to the driver has a bound: pairs of classes.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for _, _, flat, starts in byte_chunks(batch.column(0)):
+                first, end = token_runs(flat, starts)
+                short = end - first < LEAST_RUN
+                at = ranges(first[short], end[short] - first[short] - 1)
+                held += np.bincount(CLASS[flat[at]] * CLASSES + CLASS[flat[at + 1]], minlength=len(held))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held), dtype=np.int32)), pa.array(held)], names=["pair", "n"])
+
+    counts = np.zeros((CLASSES, CLASSES))
+    for pair, n in docs.select(text_or_empty(text_column)).mapInArrow(run, "pair int, n bigint").groupBy("pair").agg(F.sum("n")).collect():
+        counts[pair // CLASSES, pair % CLASSES] = n
+    alone = (counts.sum(0) + 1) / (counts.sum() + CLASSES)
+    return 0.95 * (counts + 5 * alone) / (counts.sum(1, keepdims=True) + 5) + 0.05 / CLASSES
+
+
+def deviation(flat: np.ndarray, first: np.ndarray, end: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """How far each run's surprise lies above that of natural text with the same contexts, in standard deviations."""
+    surprise = -np.log(model)
+    mean = (model * surprise).sum(1)
+    variance = (model * surprise**2).sum(1) - mean**2
+    owner = np.repeat(np.arange(len(first)), end - first - 1)
+    at = ranges(first, end - first - 1)
+    before, after = CLASS[flat[at]], CLASS[flat[at + 1]]
+    above = np.bincount(owner, surprise[before, after] - mean[before], len(first))
+    return above / np.sqrt(np.maximum(np.bincount(owner, variance[before], len(first)), 1e-12))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -118,44 +164,45 @@ def battery(flat: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return encoding, np.minimum(1.0, 3 * np.minimum(np.minimum(p_uniform, p_runs), p_serial))
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, base spans and battery candidates of every row, in one pass over whole texts."""
+def scan(docs: DataFrame, model: np.ndarray, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """id, base spans, battery candidates and the spread of natural runs of every row, in one pass over whole texts."""
     schema = ("id bigint, base array<struct<start: int, kind: int, end: int>>, "
-              "runs array<struct<start: int, end: int, stratum: int, p_bin: int>>")
+              "runs array<struct<start: int, end: int, stratum: int, p_bin: int, z_bin: int>>, squares double, words bigint")
     base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    runs_type = pa.list_(pa.struct([(x, pa.int32()) for x in ("start", "end", "stratum", "p_bin")]))
+    runs_type = pa.list_(pa.struct([(x, pa.int32()) for x in ("start", "end", "stratum", "p_bin", "z_bin")]))
 
-    def candidates(texts: pa.Array, base: list) -> list[list]:
-        out = [[] for _ in base]
+    def candidates(texts: pa.Array, base: list) -> tuple[list[list], np.ndarray, np.ndarray]:
+        out, squares, words = [[] for _ in base], np.zeros(len(base)), np.zeros(len(base), np.int64)
         for lo, hi, flat, starts in byte_chunks(texts):
-            inside = TOKEN[flat]
-            cut = np.zeros(len(flat) + 1, bool)
-            cut[starts] = True
-            first = np.flatnonzero(inside & (np.concatenate([[True], ~inside[:-1]]) | cut[:-1]))
-            end = np.flatnonzero(inside & (np.concatenate([~inside[1:], [True]]) | cut[1:])) + 1
+            first, end = token_runs(flat, starts)
+            row = np.searchsorted(starts, first, side="right") - 1
+            word = (end - first >= WORD_RUN) & (end - first < LEAST_RUN)
+            natural = deviation(flat, first[word], end[word], model) ** 2
+            squares[lo:hi] = np.bincount(row[word], natural, hi - lo)
+            words[lo:hi] = np.bincount(row[word], minlength=hi - lo)
             long = end - first >= LEAST_RUN
-            first, end = first[long], end[long]
+            first, end, row = first[long], end[long], row[long]
             if not len(first):
                 continue
             encoding, p = battery(flat, first, end)
-            row = np.searchsorted(starts, first, side="right") - 1
             chars = np.concatenate([[0], np.cumsum((flat & 0xC0) != 0x80)])
             start, stop = chars[first] - chars[starts[row]], chars[end] - chars[starts[row]]
             stratum = encoding * 64 + np.log2(end - first).astype(int)
             p_bin = np.minimum(np.floor(-np.log10(np.maximum(p, 1e-300)) / BIN), LAST_BIN).astype(int)
-            for r, a, b, s, q in zip((row + lo).tolist(), start.tolist(), stop.tolist(), stratum.tolist(), p_bin.tolist()):
+            z_bin = np.clip(np.floor(deviation(flat, first, end, model) / Z_BIN), 0, LAST_Z).astype(int)
+            for r, a, b, s, q, z in zip((row + lo).tolist(), start.tolist(), stop.tolist(), stratum.tolist(), p_bin.tolist(), z_bin.tolist()):
                 if not any(x[0] < b and a < x[2] for x in base[r]):
-                    out[r].append({"start": a, "end": b, "stratum": s, "p_bin": q})
-        return out
+                    out[r].append({"start": a, "end": b, "stratum": s, "p_bin": q, "z_bin": z})
+        return out, squares, words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             base = [base_spans(t.as_py()) for t in texts]
-            runs = candidates(texts, base)
+            runs, squares, words = candidates(texts, base)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([[dict(zip(("start", "kind", "end"), x)) for x in b] for b in base], base_type),
-                pa.array(runs, runs_type)], names=["id", "base", "runs"])
+                pa.array(runs, runs_type), pa.array(squares), pa.array(words)], names=["id", "base", "runs", "squares", "words"])
 
     return docs.select(F.col(id_column).cast("bigint"), text_or_empty(text_column)).mapInArrow(run, schema)
 
@@ -179,6 +226,22 @@ def discovery_limits(runs: DataFrame, rate: float) -> dict[int, int]:
     return limits
 
 
+def natural_limits(runs: DataFrame, spread: float, rate: float) -> dict[int, int]:
+    """For each stratum, the smallest z bin whose runs are rejected as natural (the same step-up and bound)."""
+    counts: dict[int, list[tuple[int, int]]] = {}
+    for s, z, n in runs.groupBy("stratum", "z_bin").count().collect():
+        counts.setdefault(s, []).append((z, n))
+    limits = {}
+    for s, bins in counts.items():
+        total, seen, limit = sum(n for _, n in bins), 0, LAST_Z + 1
+        for z, n in sorted(bins, reverse=True):
+            seen += n
+            if normal_tail(np.array([z * Z_BIN / spread]))[0] <= rate * seen / total:
+                limit = z
+        limits[s] = limit
+    return limits
+
+
 def find_secrets(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  rate: float = 0.05) -> DataFrame:
     """A row per document: id and spans, an array of (start, kind, end) by start, then kind.
@@ -189,15 +252,16 @@ def find_secrets(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id"
     are; an empty table gives no rows; other columns are not read.
     """
     stage = Stage(spark)
-    scanned = stage.store(scan(docs, id_column, text_column), "scanned")
-    limits = discovery_limits(scanned.select(F.explode("runs").alias("r")).select("r.stratum", "r.p_bin"), rate)
-    least = {i: least_length(len(a)) for i, (_, a) in enumerate(ENCODINGS)}
-    limit = F.create_map(*[F.lit(int(x)) for kv in limits.items() for x in kv]) if limits else None
-    shortest = F.create_map(*[F.lit(int(x)) for kv in least.items() for x in kv])
+    scanned = stage.store(scan(docs, pair_model(docs, text_column), id_column, text_column), "scanned")
+    runs = scanned.select(F.explode("runs").alias("r")).select("r.stratum", "r.p_bin", "r.z_bin")
+    squares, words = scanned.agg(F.sum("squares"), F.sum("words")).first()
+    spread = max(1.0, math.sqrt(squares / words)) if words else 1.0  # natural text spreads more than the model of pairs
+    limits = discovery_limits(runs, rate)
+    as_map = lambda x: F.create_map(*[F.lit(int(v)) for kv in x.items() for v in kv])
+    limit, least = (as_map(limits), as_map(natural_limits(runs, spread, rate))) if limits else (None, None)
 
     def secret(r):
-        encoding = F.floor(r["stratum"] / 64).cast("int")
-        return (r["p_bin"] < F.try_element_at(limit, r["stratum"])) & (r["end"] - r["start"] >= F.try_element_at(shortest, encoding))
+        return (r["p_bin"] < F.try_element_at(limit, r["stratum"])) & (r["z_bin"] >= F.try_element_at(least, r["stratum"]))
 
     added = F.filter("runs", secret) if limits else F.filter("runs", lambda r: F.lit(False))
     added = F.transform(added, lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))

@@ -101,6 +101,24 @@ def test_battery_tells_random_from_natural(spark):
     assert sum([tuple(s) for s in got[i]] == [(3, 3, 43)] for i in range(300, 340)) >= 36
 
 
+def test_short_keys_in_every_encoding(spark):
+    """Keys of 20 and 32 characters among natural runs of like length, over the small table's own words."""
+    rng = random.Random(11)
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").select("text").limit(200).collect()]
+    pool = [w for t in texts for w in re.findall(r"[A-Za-z]{3,12}", t)]
+    joined = lambda sep, case: sep.join(case(rng.choice(pool)) for _ in range(5))
+    natural = [joined(s, c) for s in ("", "-", "_", "/") for c in (str.lower, str.upper, str.title) for _ in range(50)]
+    keys = [(name, n, "".join(rng.choice(a) for _ in range(n))) for name, a in secrets.ENCODINGS[1:] for n in (20, 32) for _ in range(20)]
+    rows = list(enumerate(texts)) + [(1000 + i, f"so {t} it is") for i, t in enumerate(natural)] + [(10_000 + i, f"so {k} it is") for i, (_, _, k) in enumerate(keys)]
+    got = {r.id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(spark, spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found, wrong = Counter(), sum((3, 3, 3 + len(t)) in got[1000 + i] for i, t in enumerate(natural))
+    for i, (name, n, k) in enumerate(keys):
+        found[name, n] += (3, 3, 3 + n) in got[10_000 + i]
+    print({k: found[k] for k in sorted(found)}, wrong)
+    assert wrong <= 0.02 * len(natural)
+    assert all(found[name, 32] >= 17 for name, _ in secrets.ENCODINGS[1:])
+
+
 def test_random_runs_give_even_p_values():
     rng = np.random.default_rng(1)
     flat = rng.choice(np.frombuffer((secrets.DIGITS + "abcdef").encode(), np.uint8), 64 * 4000)
