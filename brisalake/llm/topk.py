@@ -70,9 +70,8 @@ class CoverTree:
 
 def dual_search(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query, id, score) of each query's k best rows that reach its floor; ties go to the smaller id."""
+    fitting(queries, rows)
     top = max(np.abs(queries).max(initial=0), np.abs(rows).max(initial=0))
-    if float(top) ** 2 * rows.shape[1] >= 2**63:
-        raise ValueError("inner products do not fit in 64 bits")
     exact_in_double = float(top) ** 2 * rows.shape[1] < 2**52
     qt, dt = CoverTree(queries.astype(float)), CoverTree(rows.astype(float))
     q_rows = qt.sorted if exact_in_double else queries[qt.order]
@@ -130,7 +129,7 @@ def matrix(lists) -> np.ndarray:
 
 def whole(vector: Column, scale: int) -> Column:
     """floor(scale * x) of each component, or null for a vector that takes no part."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) * scale >= float(1 << 31)))
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) * scale >= 2.0**63))
     return F.when(vector.isNotNull() & ~bad, F.transform(vector, lambda x: F.floor(x.cast("double") * scale)))
 
 
@@ -139,9 +138,10 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20
           query_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best other rows, ties to the smaller id.
 
-    A vector that is null, has a null, non-finite or too large component (its whole
-    part must fit in 32 bits), or has no id, takes no part. Of rows with the same id
-    the smallest vector counts. Vectors of different lengths are never compared.
+    A vector that is null, has a null or non-finite component or one whose whole part
+    does not fit in 64 bits, or has no id, takes no part; an inner product that does
+    not fit raises. Rows with the same id and different vectors are different rows,
+    each of them a query if the id is; the same vector again counts once. Vectors of different lengths are never compared.
     With fewer than k others all are returned; an empty table gives no rows; other
     columns are not read. Rows with the same vector are searched once: as ties go to
     smaller ids, only the k + 1 smallest ids of a vector can appear.
@@ -149,12 +149,12 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20
     stage = Stage(spark)
     v = whole(F.col(vector_column), scale)
     rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), is_query.alias("query"), v.alias("v"))
-    rows = rows.filter("id IS NOT NULL AND v IS NOT NULL").groupBy("id").agg(F.first("query").alias("query"), F.min("v").alias("v"))
-    rows = stage.store(rows, "rows")
+    rows = rows.filter("id IS NOT NULL AND v IS NOT NULL").groupBy("id", "v").agg(F.max("query").alias("query"))
+    rows = stage.store(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
     copies = Window.partitionBy("v").orderBy("id")
     data = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).select("id", "v", F.size("v").alias("n"))
     data = stage.store(data, "data")
-    asked = stage.store(rows.filter("query").groupBy("v").agg(F.min("id").alias("key")), "asked")
+    asked = stage.store(rows.filter("query").groupBy("v").agg(F.min("row").alias("key")), "asked")
 
     # Bounded on the driver: ``sample`` vectors, and the radius and size of ``pivots`` cells a length.
     some = [(r.n, r.v) for r in data.orderBy(F.xxhash64("id"), "id").limit(sample).select("n", "v").collect()]
@@ -218,14 +218,28 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20
     found = sent.groupBy(*place).cogroup(blocks.groupBy(*place)).applyInPandas(search, "key bigint, id bigint, score bigint")
     best = Window.partitionBy("key").orderBy(F.desc("score"), "id")
     found = stage.store(found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k + 1).drop("rank"), "found")
-    members = rows.filter("query").join(asked, "v").select(F.col("id").alias("query_id"), "key")
-    own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    answers = members.join(found, "key").filter("id <> query_id").select("query_id", F.col("id").alias("vec_id"), "score")
-    return answers.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    square = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
+    members = rows.filter("query").join(asked, "v").select("row", F.col("id").alias("query_id"), square.alias("own"), "key")
+    same = Window.partitionBy("row", "vec_id", "score").orderBy("key")
+    ranks = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    answers = members.join(found.withColumnRenamed("id", "vec_id"), "key").withColumn("copy", F.row_number().over(same))
+    answers = answers.filter("NOT (vec_id = query_id AND score = own AND copy = 1)")  # the query itself
+    return answers.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def fitting(a: np.ndarray, b: np.ndarray) -> None:
+    """Raise if an inner product does not fit in 64 bits; sums on the way may wrap."""
+    longest = [np.sqrt((x.astype(float) ** 2).sum(1)).max(initial=0) for x in (a, b)]
+    if longest[0] * longest[1] < 2.0**62:
+        return
+    for i in range(0, len(a), 256):
+        if np.abs(a[i:i + 256].astype(float) @ b.astype(float).T).max(initial=0) >= 2.0**63:
+            raise ValueError("inner products do not fit in 64 bits")
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integer inner products, through doubles where these are exact."""
+    fitting(a, b)
     top = max(np.abs(a).max(initial=0), np.abs(b).max(initial=0))
     if float(top) ** 2 * a.shape[1] < 2**52:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)

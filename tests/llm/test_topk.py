@@ -48,3 +48,18 @@ def test_top_k(spark):
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert topk.top_k(spark, frame, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_large_components_and_repeated_ids(spark):
+    """Components of 2^25 and more, and one id with several vectors, as a query too."""
+    big = float(2**26)
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(1, 60)] + [(70, [big, 1.0]), (71, [1.0, -big]), (72, [big, 0.0])]
+    rows += [(30, [6.0, 6.0]), (20, [5.0, 5.0]), (20, [5.0, 5.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    got = topk.top_k(spark, frame, F.col("vec_id") % 20 == 0, k=6, pivots=3, sample=20, block_rows=16, query_rows=2)
+    known = sorted({(i, tuple(int(x * 64) for x in v)) for i, v in rows})
+    want = Counter()
+    for a in (r for r in known if r[0] % 20 == 0):
+        scores = sorted((-(a[1][0] * b[1][0] + a[1][1] * b[1][1]), b[0]) for b in known if b != a)
+        want.update((a[0], n + 1, i, -s) for n, (s, i) in enumerate(scores[:6]))
+    assert Counter(map(tuple, got.collect())) == want
