@@ -72,6 +72,9 @@ def first_seen(spark: SparkSession, stage: Stage, source: str, schema, id_column
     return last.groupBy("digest").agg(F.max("n").alias("n"), F.max("stays").alias("stays"))
 
 
+TRIGGER_BYTES = 4 << 30  # a micro-batch by default: eight at 30 GB
+
+
 def exact_dedup(spark: SparkSession, source: str, id_column: str = "doc_id", text_column: str = "text",
                 per_trigger: dict[str, str] | None = None, digest=sha) -> DataFrame:
     """One row per row of the Parquet files at ``source``.
@@ -86,7 +89,7 @@ def exact_dedup(spark: SparkSession, source: str, id_column: str = "doc_id", tex
     """
     stage = Stage(spark)
     table = spark.read.parquet(source)
-    per_trigger = per_trigger or {"maxBytesPerTrigger": str(64 << 30)}
+    per_trigger = per_trigger or {"maxBytesPerTrigger": str(TRIGGER_BYTES)}
     stays = stage.store(first_seen(spark, stage, source, table.schema, id_column, text_column, digest, per_trigger), "stays")
     rows = located(table, id_column, text_column, digest)
     known = rows.join(stays, "digest", "left").select(

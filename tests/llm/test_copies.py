@@ -127,3 +127,18 @@ def test_repeats(spark, docs, monkeypatch, limit):
 
 def test_repeats_of_nothing(spark, no_docs):
     assert suffix_dedup.remove_repeats(spark, no_docs).count() == 0
+
+
+def test_default_trigger_makes_several_batches_of_30_gb(spark, docs, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def stop(*args):
+        given.append(args[-1])
+        raise Stop
+
+    given = []
+    monkeypatch.setattr(exact_dedup, "first_seen", stop)
+    with pytest.raises(Stop):
+        exact_dedup.exact_dedup(spark, docs.path)
+    assert (30 << 30) // int(given[0]["maxBytesPerTrigger"]) >= 4
