@@ -153,16 +153,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         label_column: str = "quality", max_rows: int = 20_000, **boosting) -> Trees:
     """Trees for P(label 1), from at most ``max_rows`` labelled documents outside the held-out fifth.
 
-    Above that bound the rows with the smallest hashes of their ids are taken. Of
-    several labels of one id the smallest counts; null ids and labels, and labels
+    Above that bound the ids with the smallest hashes are taken. Of several texts of
+    one id the one with the smallest digest counts; of several labels of one id the smallest counts; null ids and labels, and labels
     without a document, do not. Without any label every score is 0.5.
     """
     known = (labels.filter(~held_out(id_column) & F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
              .groupBy(F.col(id_column).alias("key")).agg(F.min(label_column).cast("double").alias("mark")))
     sample = known.orderBy(F.xxhash64("key"), "key").limit(max_rows)
     rows = docs.select(F.col(id_column).alias("key"), text_or_empty(text_column).alias("body")).join(
-        F.broadcast(sample), "key")  # at most max_rows rows
-    got = rows.select("key", "mark", statistics_column(F.col("body")).alias("x")).toPandas().sort_values(["key", "mark"])
+        F.broadcast(sample), "key")
+    measured = rows.select("key", "mark", F.sha2("body", 256).alias("digest"), statistics_column(F.col("body")).alias("x"))
+    one = measured.groupBy("key", "mark").agg(F.min(F.struct("digest", "x"))["x"].alias("x"))  # at most max_rows rows
+    got = one.toPandas().sort_values(["key", "mark"])
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(STATISTICS))
     return boost(x, got["mark"].to_numpy(float), **boosting)
 

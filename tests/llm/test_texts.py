@@ -272,3 +272,15 @@ def test_mixed_texts_are_the_words_drawn(spark, docs):
     for r in rows:
         if r.kept_doc_id in texts:
             assert words(r.kept_text) == words(texts[r.kept_doc_id])[r.start:r.start + r.words]
+
+
+# --- bounds and parts ---------------------------------------------------------
+def test_one_row_per_labelled_id_is_collected(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "boost", lambda x, y, **_: seen.append((x.tolist(), y.tolist())))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"text of {i}") for i in ids] + [(ids[0], f"other text {j}" * j) for j in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, quality int")
+    for order in (rows, rows[::-1]):
+        quality.fit(spark.createDataFrame(order, "doc_id bigint, text string"), labels, max_rows=10)
+    assert len(seen[0][0]) == 10 and seen[0] == seen[1]
