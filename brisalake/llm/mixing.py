@@ -227,10 +227,12 @@ def taken_words(documents: DataFrame, drawn: DataFrame) -> DataFrame:
 
 
 def mixed_texts(documents: DataFrame, drawn: DataFrame, text_column: str = "text") -> DataFrame:
-    """A row per drawn block with the columns kept of its document; a part of one has that part's words and the blanks after them."""
+    """A row per drawn block with the columns kept of its document; a part of one has that part's words and the blanks after them, the first part those before them too."""
     text = F.col(f"kept_{text_column}")
     parts = F.regexp_extract_all(text, F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
     both = documents.select("row", "size", *[c for c in documents.columns if c.startswith("kept_")]).join(
         drawn.drop("id", "source"), "row")
     cut = F.array_join(F.slice(parts, (F.col("start") + 1).cast("int"), F.col("words").cast("int")), "")
+    lead = F.when(F.col("start") == 0, F.regexp_extract(text, "^[\\x20\\x09-\\x0D]*", 0)).otherwise("")
+    cut = F.concat(lead, cut)
     return both.withColumn(f"kept_{text_column}", F.when(F.col("words") == F.col("size"), text).otherwise(cut))

@@ -284,3 +284,11 @@ def test_one_row_per_labelled_id_is_collected(spark, monkeypatch):
     for order in (rows, rows[::-1]):
         quality.fit(spark.createDataFrame(order, "doc_id bigint, text string"), labels, max_rows=10)
     assert len(seen[0][0]) == 10 and seen[0] == seen[1]
+
+
+def test_first_part_keeps_leading_blanks(spark):
+    text = " \n\t" + " ".join(f"w{i}" for i in range(10)) + "  "
+    documents = spark.createDataFrame([(1, 10, text)], "row bigint, size bigint, kept_text string")
+    drawn = spark.createDataFrame([(1, 5, "a", s, n) for s, n in ((0, 4), (4, 4), (8, 2))], "row bigint, id bigint, source string, start bigint, words bigint")
+    parts = mixing.mixed_texts(documents, drawn).orderBy("start").collect()
+    assert "".join(r.kept_text for r in parts) == text
