@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows that carry texts or sets go to Python in smaller batches."""
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(min(int(before), BATCH_ROWS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 class Stage:
     """A fresh folder in the cluster's shared scratch space for the tables of one run.
 
@@ -46,12 +58,8 @@ class Stage:
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write and read back. Rows carry texts and sets, so Python takes them in smaller batches meanwhile."""
-        before = self.spark.conf.get(BATCH_CONF)
-        self.spark.conf.set(BATCH_CONF, str(min(int(before), BATCH_ROWS)))
-        try:
+        with small_batches(self.spark):
             df.write.mode("overwrite").parquet(self.path(name))
-        finally:
-            self.spark.conf.set(BATCH_CONF, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 

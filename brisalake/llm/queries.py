@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brisalake.llm import chat, exact_dedup, jaccard, lm_score, mixing, packing, quality, secrets, suffix_dedup, topk
-from brisalake.llm.common import table
+from brisalake.llm import (chat, exact_dedup, jaccard, lm_score, mixing, negatives, packing, prefix_trie, quality, secrets,
+                           suffix_dedup, token_files, topk)
+from brisalake.llm.common import Stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +107,64 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     models = lm_score.count_models(docs.join(good, "doc_id", "left"), "text", F.col("good"))
     return lm_score.score(docs, models).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_shared_list_negatives", """
+    WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+               FROM embeddings
+               WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+               FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+         p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+               QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY rank <= 5""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(spark, table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op12_token_lists")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    files = Stage(spark).path("token_lists")
+    token_files.write_tokens(table(spark, folder, "documents"), files, word_tokenizer())
+    return token_files.with_checksum(token_files.read_tokens(spark, files))
+
+
+@query("op13_prefix_trie", """
+    WITH h AS (SELECT c, list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda d: ord(d)::BIGINT),
+                      lambda crc, d: list_reduce([xor(crc, d), 1, 1, 1, 1, 1, 1, 1, 1],
+                                                 lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+               FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL)),
+         t AS (SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+               FROM conversations GROUP BY conv_id),
+         r AS (SELECT h.c, list_concat(coalesce(b.turns, [])[:xor(crc, 4294967295) % 9], t.turns[xor(crc, 4294967295) % 9 + 1:]) AS turns
+               FROM h JOIN t USING (c) LEFT JOIN t b ON b.c = h.c - h.c % 5),
+         m AS (SELECT c, d, turns[:d] AS prefix, d = len(turns) AS ended FROM r, unnest(range(len(turns) + 1)) AS u(d)),
+         n AS (SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs,
+                      sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended), '')) AS ends_sha256
+               FROM m GROUP BY prefix, d),
+         k AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM n x WHERE x.d = n.d + 1 AND x.prefix[:n.d] = n.prefix) AS n_children
+               FROM n LEFT JOIN n p ON p.d = n.d - 1 AND p.prefix = n.prefix[:n.d - 1])
+    SELECT a.conv_id, a.d AS depth, a.parent_conv_id, a.n_convs, a.n_children,
+           count(*) FILTER (b.n_children = 0) AS n_leaves,
+           coalesce(sum((b.n_convs - 1) * octet_length(encode(b.prefix[b.d].text))), 0)::BIGINT AS saved_tokens, a.ends_sha256
+    FROM k a JOIN k b ON b.d >= a.d AND b.prefix[:a.d] = a.prefix
+    GROUP BY ALL""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Each conversation begins with turns of the first of its five, as many as its checksum says."""
+    rows = prefix_trie.turn_digests(table(spark, folder, "conversations"))
+    c = F.col("conv")
+    grafted = prefix_trie.graft(rows, c - F.pmod(c, F.lit(5)), (F.crc32(c.cast("string")) % 9).cast("int"), 8)
+    return prefix_trie.prefix_trie(spark, grafted)
