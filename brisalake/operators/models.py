@@ -1,11 +1,9 @@
-"""Regression and clustering with pyspark.ml."""
+"""Regression with pyspark.ml."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -45,26 +43,3 @@ def feature_importance(model, features: Sequence[str], spark, n: int = 10) -> Da
     rows = [(name, float(abs(v))) for name, v in zip(features, values.toArray())]
     return (spark.createDataFrame(rows, "feature string, importance double")
             .orderBy(F.desc("importance"), "feature").limit(n))
-
-
-def kmeans_select(df: DataFrame, cols: Sequence[str], ks: Iterable[int] = range(2, 7), min_k: int = 3,
-                  seeds: int = 10) -> tuple[KMeansModel, DataFrame]:
-    """Best model with k >= min_k by silhouette, and (k, silhueta, inercia) rows.
-
-    For every k the lowest cost of several seeds is kept.
-    """
-    points = assemble(df, cols).select("features").persist()
-    judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    best, rows = {}, []
-    try:
-        for k in ks:
-            fits = [KMeans(k=k, seed=42 + s, featuresCol="features", predictionCol="cluster").fit(points)
-                    for s in range(seeds)]
-            model = min(fits, key=lambda m: m.summary.trainingCost)
-            score = judge.evaluate(model.transform(points))
-            best[k] = (score, model)
-            rows.append((k, round(score, 3), round(model.summary.trainingCost, 4)))
-    finally:
-        points.unpersist()
-    chosen = max((k for k in best if k >= min_k), key=lambda k: best[k][0])
-    return best[chosen][1], df.sparkSession.createDataFrame(rows, "k int, silhueta double, inercia double")

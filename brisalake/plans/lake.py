@@ -88,6 +88,11 @@ class Lake:
             self._silver.schemas[name] = df.schema
             return df
 
+    def landed(self, name: str) -> str:
+        """Folder of a silver table that has been stored."""
+        getattr(self, name)
+        return f"{self._silver.root}/{name}"
+
     @property
     def states(self) -> DataFrame:
         n, r = self.table("nation"), self.table("region")

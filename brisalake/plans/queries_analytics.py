@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from brisalake.functions import round_half_away
 from brisalake.operators import analytics as an
 from brisalake.operators import models as md
 from brisalake.operators.aggregates import rounded
+from brisalake.operators.multistart import kmeans_select
 from brisalake.plans import marts as mt
 from brisalake.plans import monitoring as mon
 from brisalake.plans.lake import Lake
@@ -225,6 +228,24 @@ def _(k: Lake):
     return md.feature_importance(md.ridge_model(train, names, TARGET), names, k.spark)
 
 
+@query("importance_checks", f"""SELECT COUNT(*) AS treino, 1.0 AS soma, true AS nao_negativas FROM ({_fsql}) b""")
+def _(k: Lake):
+    """Importances of the forest over all features add up to one."""
+    rows, names = prepared(k)
+    found = md.feature_importance(md.forest_model(rows, names, TARGET, trees=20, depth=6), names, k.spark, len(names))
+    return found.agg(round_half_away(F.sum("importance"), 6).alias("soma"), F.every(F.col("importance") >= 0).alias("nao_negativas")) \
+        .withColumn("treino", rows.agg(F.count(F.lit(1))).scalar())
+
+
+@query("residual_mean", f"""SELECT COUNT(*) AS n, 0.0 AS media FROM ({_fsql}) b""")
+def _(k: Lake):
+    """On the rows it was fitted on, a linear model with intercept has residuals of mean zero; every row is in a bin."""
+    rows, names = prepared(k)
+    scored = md.predict(md.ridge_model(rows, names, TARGET), rows, names, "ridge")
+    bins = an.residual_stats(scored, TARGET, "ridge")
+    return bins.agg(F.sum("n").alias("n"), F.abs(round_half_away(F.max("media"), 2)).alias("media"))
+
+
 @query("residual_stats")
 def _(k: Lake):
     train, test, names = split(k)
@@ -247,10 +268,11 @@ def _(k: Lake):
 def kmeans(k: Lake):
     """Model, scores and clustered rows.
 
-    The input is written once: k-means reads it on every iteration.
+    The standardised rows are written once: every iteration reads them.
     """
     base = k.stored("clustered", lambda: clustered(k))
-    return *md.kmeans_select(an.standardise(base, CLUSTER), CLUSTER), base
+    scaled = k.stored("standardised", lambda: an.standardise(base.select("id_municipio", *CLUSTER), CLUSTER))
+    return *kmeans_select(scaled, CLUSTER), base, scaled
 
 
 @query("kmeans_select")
@@ -260,12 +282,38 @@ def _(k: Lake):
 
 @query("cluster_profile")
 def _(k: Lake):
-    model, _, base = kmeans(k)
-    scaled = an.standardise(base.select("id_municipio", *CLUSTER), CLUSTER)
-    groups = model.transform(md.assemble(scaled, CLUSTER)).select("id_municipio", "cluster")
+    return profile(k)
+
+
+def profile(k: Lake):
+    model, _, base, scaled = kmeans(k)
+    groups = model.transform(scaled).select("id_municipio", "cluster")
     return an.cluster_profile(base.join(groups, "id_municipio"), "cluster", CLUSTER, "taxa_alfabetizacao")
 
 
+@query("cluster_profile_totals", f"""{BASE_CTE} SELECT COUNT(*) AS municipios, {r(xavg("taxa_alfabetizacao"), 1)} AS taxa,
+       true AS nomes_distintos, true AS em_ordem FROM filled""")
+def _(k: Lake):
+    """The profiles' sizes and means put together are those of all units; names are distinct, by rising rate."""
+    weighted = F.sum(F.col("taxa_alfabetizacao") * F.col("municipios")) / F.sum("municipios")
+    rates = F.transform(F.array_sort(F.collect_list(F.struct(F.col("taxa_alfabetizacao").alias("t"), "perfil"))), lambda x: x["perfil"])
+    known = F.array(*map(F.lit, an.PROFILE_LABELS))
+    return profile(k).agg(F.sum("municipios").alias("municipios"), round_half_away(weighted, 1).alias("taxa"),
+                          (F.count_distinct("perfil") == F.count(F.lit(1))).alias("nomes_distintos"),
+                          (rates == F.slice(known, 1, F.size(rates))).alias("em_ordem"))
+
+
+@query("kmeans_checks", f"""{BASE_CTE} SELECT k, COUNT(*) AS pontos, true AS inercia_desce, true AS abaixo_do_k_anterior
+       FROM filled, range(2, 7) t(k) GROUP BY k""")
+def _(k: Lake):
+    """Every row is in a cluster for each k; inertia never rises within a run nor from one k to the next."""
+    _, scores, _, scaled = kmeans(k)
+    order = Window.orderBy("k")  # five rows
+    falls = F.coalesce(F.col("inercia") < F.lag("inercia").over(order), F.lit(True))
+    complete = scaled.filter(F.size(F.filter(F.array(*CLUSTER), lambda x: x.isNull())) == 0).agg(F.count(F.lit(1))).scalar()
+    return scores.select(F.col("k").cast("bigint").alias("k"), complete.alias("pontos"), "inercia_desce", falls.alias("abaixo_do_k_anterior"))
+
+
 @query("priority_index", f"""{PRIORITY_CTE} SELECT id_municipio, indice_prioridade, faixa_prioridade FROM prio""")
 def _(k: Lake):
     return priority(k).select("id_municipio", "indice_prioridade", "faixa_prioridade")

@@ -6,7 +6,9 @@ import uuid
 
 from datetime import datetime, timezone
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brisalake.functions import exact_sum, record_hash
 from brisalake.operators.conform import required_columns
@@ -18,7 +20,8 @@ from brisalake.sources.catalog import (
     dashboard_view, external_table, layer_inventory, manifest, register_views, sql_over_lake, table_profile)
 from brisalake.sources.footprint import format_size_compare, layer_footprint, scan_bytes_report
 from brisalake.sources.lineage import changed_records, lineage_columns
-from brisalake.sources.readers import flatten_json, optional_columns, pruned_extract, scan_csv, scan_parquet
+from brisalake.sources.readers import (
+    flatten_json, optional_columns, pruned_extract, quarantine, scan_csv, scan_csv_checked, scan_parquet)
 from brisalake.sources.writers import (
     append_merge_schema, compact_cluster, export_csv_locale, write_compact, write_json_events,
     write_partitioned, write_table)
@@ -47,6 +50,45 @@ def _(k: Lake):
     return flatten_json(k.table("events").select("event_id", "props"), "props", "k bigint")
 
 
+NESTED = """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN user_id END AS doc_user_id, CASE WHEN event_id % 3 = 0 THEN event_type END AS doc_user_kind,
+       CASE WHEN event_id % 3 = 1 THEN value END AS doc_m_v, CASE WHEN event_id % 3 = 1 THEN CAST(event_id AS VARCHAR) END AS doc_m_deep_e_x,
+       CASE WHEN event_id % 3 = 2 THEN CAST(event_id AS VARCHAR) WHEN event_id % 3 = 1 THEN 'text' END AS doc_mixed FROM events"""
+
+
+@query("flatten_json_merged", NESTED)
+def _(k: Lake):
+    """Three shapes of document without a declared schema: the columns are the union of their fields."""
+    e = k.table("events")
+    name = lambda c, n: F.col(c).alias(n)
+    doc = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.struct(name("user_id", "id"), name("event_type", "kind")).alias("user")))) \
+        .when(F.col("event_id") % 3 == 1, F.to_json(F.struct(
+            F.struct(name("value", "v"), F.struct(F.col("event_id").cast("string").alias("e.x")).alias("deep")).alias("m"), F.lit("text").alias("mixed")))) \
+        .otherwise(F.to_json(F.struct(name("event_id", "mixed"))))
+    return flatten_json(e.select("event_id", doc.alias("doc")), "doc")
+
+
+@query("scan_csv_quarantine", """SELECT 'boa' AS parte, CAST(NULL AS VARCHAR) AS motivo, COUNT(*) AS n, SUM(c_custkey)::BIGINT AS soma FROM customer
+       WHERE c_custkey % 50 NOT IN (1, 2, 3, 4)
+       UNION ALL SELECT 'quarentena', CASE c_custkey % 50 WHEN 1 THEN 'campos:3' WHEN 2 THEN 'tipo:saldo' WHEN 3 THEN 'campos:5' ELSE 'nulo:id' END,
+       COUNT(*), NULL FROM customer WHERE c_custkey % 50 IN (1, 2, 3, 4) GROUP BY ALL""")
+def _(k: Lake):
+    """A landing file of every customer, four of fifty rows defective: too few fields, no number, too many fields, no key."""
+    c, case = k.table("customer"), F.col("c_custkey") % 50
+    key, name, nation = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string")
+    line = F.concat_ws("|", F.when(case == 4, "").otherwise(key), F.concat(F.lit('"'), name, F.lit('|x"')), nation,
+                       F.when(case == 1, F.lit(None)).when(case == 2, "abc").otherwise(F.col("c_acctbal").cast("string")),
+                       F.when(case == 3, "more"))
+    path = f"{k.work}/landing"
+    c.select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("nome", T.StringType()),
+                           T.StructField("uf", T.IntegerType()), T.StructField("saldo", T.DoubleType())])
+    good, bad = scan_csv_checked(k.spark, path, schema, "|", header=False)
+    kept = quarantine(bad, f"{k.work}/quarantine", "run-1")
+    n = F.count(F.lit(1)).alias("n")
+    return good.agg(n, F.sum("id").alias("soma")).select(F.lit("boa").alias("parte"), F.lit(None).cast("string").alias("motivo"), "n", "soma").unionByName(
+        kept.groupBy(F.col("_reason").alias("motivo")).agg(n).withColumns({"parte": F.lit("quarentena"), "soma": F.lit(None).cast("bigint")}))
+
+
 @query("optional_columns", "SELECT p_partkey, p_size, CAST(NULL AS VARCHAR) AS p_container, 0 AS p_stock FROM part")
 def _(k: Lake):
     part = k.table("part").select("p_partkey", "p_size")
@@ -189,7 +231,10 @@ def _(k: Lake):
 def _(k: Lake):
     orders = k.table("orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("ano"))
     path = write_partitioned(orders, f"{k.work}/orders_ext", ["ano"], "o_orderkey", 4)
-    table = external_table(k.spark, f"brisalake_orders_{uuid.uuid4().hex[:8]}", "o_orderkey BIGINT, o_orderstatus STRING, ano INT", ["ano"], path)
+    name, columns = f"brisalake_orders_{uuid.uuid4().hex[:8]}", "o_orderkey BIGINT, o_orderstatus STRING, ano INT"
+    late = orders.filter("ano >= 1998")
+    external_table(k.spark, name, columns, ["ano"], path, orders.filter("ano < 1998"))
+    table = external_table(k.spark, name, columns, ["ano"], path, late)  # a second write registers what it brings
     return table.groupBy("ano", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -250,6 +295,29 @@ def _(k: Lake):
        MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi FROM orders GROUP BY ALL""")
 def _(k: Lake):
     orders = k.table("orders").withColumn("ano", F.year("o_orderdate"))
-    path = compact_cluster(orders, f"{k.work}/clustered", 4, ["ano", "o_orderstatus"])
+    path = compact_cluster(orders, f"{k.work}/clustered", 16, ["ano", "o_orderstatus"])
     return scan_parquet(k.spark, path).groupBy("ano", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+
+
+@query("format_sizes_in_order", """SELECT f.pos AS lugar, f.name AS formato, COUNT(*) AS linhas FROM lineitem,
+       (VALUES (1, 'Parquet + Snappy'), (2, 'CSV + gzip'), (3, 'CSV')) f(pos, name) GROUP BY ALL""")
+def _(k: Lake):
+    """Formats from the smallest, each read back to its number of rows."""
+    li, folder = k.table("lineitem"), f"{k.work}/formats_read"
+    sizes = format_size_compare(li, folder)
+    place = F.row_number().over(Window.orderBy("bytes"))  # three rows
+    text = lambda sub: k.spark.read.schema("l_orderkey string").option("header", True).csv(f"{folder}/{sub}")
+    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    rows = F.when(F.col("format") == "CSV", n(text("csv"))).when(F.col("format") == "CSV + gzip", n(text("csv_gz"))).otherwise(
+        n(k.spark.read.parquet(f"{folder}/parquet")))
+    return sizes.select(place.alias("lugar"), F.col("format").alias("formato"), rows.alias("linhas"))
+
+
+@query("layer_tables", """SELECT * FROM (VALUES ('bronze', 'customer'), ('bronze', 'orders'), ('silver', 'lineitem')) t(layer, "table"),
+       (SELECT COUNT(*) > 0 AS tem_bytes FROM orders)""")
+def _(k: Lake):
+    for layer, name in (("bronze", "orders"), ("bronze", "customer"), ("silver", "lineitem")):
+        k.table(name).write.parquet(f"{k.work}/inventory/{layer}/{name}")
+    found = layer_footprint(k.spark, {x: f"{k.work}/inventory/{x}" for x in ("bronze", "silver")})
+    return found.select("layer", "table", ((F.col("bytes") > 0) & (F.col("files") > 0)).alias("tem_bytes"))

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from brisalake import functions as fx
 from brisalake.operators.reshape import union_by_name
 from brisalake.plans.lake import CUT, Lake
 from brisalake.plans.oracle import r, rq, xsum
 from brisalake.plans.registry import query
 from brisalake.streaming import events as ev
+from brisalake.streaming import levels
 from brisalake.streaming import pipeline as pl
+from brisalake.streaming import state as st
 
 def n_rows():
     return F.count(F.lit(1)).alias("n")
@@ -118,11 +121,73 @@ def _(k: Lake):
     return ev.windows_of(counts, "sigla_uf").withColumn("dia", F.date_format("janela_inicio", "yyyy-MM-dd")).drop("janela_inicio")
 
 
+def in_batches(k: Lake, name: str, parts: int = 3):
+    """The valid events landed in ``parts`` folders, read one file of each trigger: (land the next part, stream)."""
+    folder, rows = f"{k.work}/{name}_in", k.valid
+    files = iter(range(parts))
+
+    def land():
+        i = next(files)
+        rows.filter(F.pmod(F.xxhash64("id_evento"), F.lit(parts)) == i).coalesce(1).write.parquet(f"{folder}/part={i}")
+
+    def stream():
+        return k.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
+    return land, stream
+
+
 @query("keyed_running_state", "SELECT id_municipio, avaliados, peso, peso_alfabetizados FROM state")
 def _(k: Lake):
-    parts = pl.collect_parts(typed_stream(k), lambda batch: ev.keyed_running_state(batch, ["id_municipio"]),
-                             f"{k.work}/state", f"{k.work}/cp_state")
-    return ev.merged_state(parts, ["id_municipio"])
+    """Two micro-batches, a restart from the checkpoint, one more: the totals go on."""
+    land, stream = in_batches(k, "state")
+    target, checkpoint = f"{k.work}/state", f"{k.work}/cp_state"
+    land(), land()
+    st.running_state(stream(), ["id_municipio"], target, checkpoint)
+    land()
+    st.running_state(stream(), ["id_municipio"], target, checkpoint)
+    return pl.read_upserted(k.spark, target, ["id_municipio"])
+
+
+_closed = """SELECT w, sigla_uf, latencia_ms, peso_aluno, alfabetizado FROM
+       (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS w FROM valid)
+       WHERE w + INTERVAL '1 hour' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM valid)"""
+
+
+@query("closed_windows", f"""SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS janela_inicio, sigla_uf, COUNT(*) AS eventos,
+       {r("100.0 * coalesce(" + xsum("CASE WHEN alfabetizado THEN peso_aluno END") + ", 0) / NULLIF(" + xsum("peso_aluno") + ", 0)")} AS taxa_pct,
+       true AS p50_no_limite, true AS p95_no_limite FROM ({_closed}) GROUP BY w, sigla_uf""")
+def _(k: Lake):
+    """A run, a restart with copies of early events, which come too late to count, and the exact ranks of the sketches' cuts."""
+    folder, sink, rows = f"{k.work}/closed_in", f"{k.work}/closed_out", k.valid
+    for i, part in enumerate((rows, rows.filter("ts_convertido < '2024-01-02'"))):
+        part.write.parquet(f"{folder}/part={i}")
+        stream = k.spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(folder)
+        st.closed_windows(stream, "1 hour", "sigla_uf", "10 minutes", sink, f"{k.work}/cp_closed")
+    found = st.window_report(k.spark.read.parquet(sink), "sigla_uf")
+    hour = F.window("ts_convertido", "1 hour")["start"].alias("janela_inicio")
+    exact = rows.select(hour, "sigla_uf", "latencia_ms").join(found, ["janela_inicio", "sigla_uf"])
+    v, n, slack = F.col("latencia_ms"), F.count(F.lit(1)), 3 * st.RANK_ERROR
+
+    def inside(cut: str, p: float):
+        c = F.col(cut)
+        return (F.count_if(v < c) <= n * (p + slack) + 1) & (F.count_if(v <= c) >= n * (p - slack) - 1)
+
+    keys = ["janela_inicio", "sigla_uf", "eventos", "taxa_pct"]
+    judged = exact.groupBy(*keys).agg(inside("latencia_p50_ms", 0.5).alias("p50_no_limite"), inside("latencia_p95_ms", 0.95).alias("p95_no_limite"))
+    return judged.withColumn("janela_inicio", F.date_format("janela_inicio", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("windows_merged", f"""SELECT strftime(time_bucket(INTERVAL '1 day', w), '%Y-%m-%d') AS dia, sigla_uf, COUNT(*) AS eventos,
+       {r("100.0 * coalesce(" + xsum("CASE WHEN alfabetizado THEN peso_aluno END") + ", 0) / NULLIF(" + xsum("peso_aluno") + ", 0)")} AS taxa_pct,
+       COUNT(*) AS no_resumo FROM ({_closed}) GROUP BY ALL""")
+def _(k: Lake):
+    """Days from the stored sketches of closed hours, without the events."""
+    sink = f"{k.work}/hours_out"
+    stream = k.spark.readStream.schema(k.valid.schema).parquet(k.landed("valid"))
+    st.closed_windows(stream, "1 hour", "sigla_uf", "10 minutes", sink, f"{k.work}/cp_hours")
+    days = st.merged_windows(k.spark.read.parquet(sink), "1 day", "sigla_uf")
+    report = st.window_report(days, "sigla_uf").select("janela_inicio", "sigla_uf", "eventos", "taxa_pct")
+    n = days.select("janela_inicio", "sigla_uf", F.kll_sketch_get_n_double("latencia").alias("no_resumo"))
+    return report.join(n, ["janela_inicio", "sigla_uf"]).withColumn("dia", F.date_format("janela_inicio", "yyyy-MM-dd")).drop("janela_inicio")
 
 
 @query("window_late_data", """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS janela_inicio, n AS eventos
@@ -215,6 +280,20 @@ def _(k: Lake):
     return pl.read_upserted(k.spark, target, ["event_id"]).select("event_id", "user_id", "value")
 
 
+@query("upsert_levels", """SELECT event_id, user_id, CASE WHEN event_id % 3 = 0 THEN value + 1000 ELSE value END AS value,
+       strftime(ts, '%Y-%m-%d') AS dia, true AS poucas_pastas FROM events""")
+def _(k: Lake):
+    """Many small batches by event date, in levels of three: few folders to read, the newest value of each id."""
+    target, rows = f"{k.work}/levels", k.table("events").select("event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("dia"))
+    again = rows.filter("event_id % 3 = 0").withColumn("value", F.col("value") + 1000)
+    handle, part = pl.upsert_batch(target, ["event_id"], [F.desc("value")], "dia", 3), F.pmod(F.xxhash64("event_id"), F.lit(5))
+    for i in range(10):  # five batches of events, five of corrections, each twice as after a failure
+        batch = (rows if i < 5 else again).filter(part == i % 5)
+        handle(batch, i), handle(batch, i)
+    few = len(levels.runs(k.spark, target)) <= 2 * 3
+    return pl.read_upserted(k.spark, target, ["event_id"]).withColumn("poucas_pastas", F.lit(few))
+
+
 @query("replay_idempotence", """SELECT COUNT(*) AS antes, COUNT(*) FILTER (event_id % 3 = 0) + COUNT(*) FILTER (event_id % 50 = 0)
        AS recebidas, COUNT(*) + COUNT(*) FILTER (event_id % 50 = 0) AS depois,
        COUNT(*) + COUNT(*) FILTER (event_id % 50 = 0) AS reaplicado, true AS inalterado FROM events""")
@@ -238,6 +317,15 @@ def _(k: Lake):
     return ev.dlq_audit(k.dead)
 
 
+@query("partition_spread_total", """SELECT COUNT(*) AS mensagens, 4::BIGINT AS particoes, true AS cada_chave_numa_so FROM events""")
+def _(k: Lake):
+    """All messages are in the four partitions, and every key in one."""
+    spread = ev.partition_spread(k.table("events"), "user_id", 4)
+    keys = k.table("events").groupBy("user_id").agg(F.count_distinct(fx.key_bucket("user_id", 4)).alias("n"))
+    return spread.agg(F.sum("mensagens").alias("mensagens"), F.count(F.lit(1)).alias("particoes")).withColumn(
+        "cada_chave_numa_so", keys.agg(F.max("n") == 1).scalar())
+
+
 @query("partition_spread")
 def _(k: Lake):
     return ev.partition_spread(k.table("events"), "user_id", 4)
@@ -274,9 +362,27 @@ def metrics(k: Lake):
     return ev.stream_metrics(k.valid, k.dead, windows(k), every_alert(k), lag(k))
 
 
-@query("stream_metrics", f"{_topic} SELECT * FROM {_metrics}")
+@query("stream_metrics", f"{_topic} SELECT *, true AS tem_vazao, 1::BIGINT AS lotes, 0::BIGINT AS linhas_estado FROM {_metrics}")
+def _(k: Lake):
+    """Totals with the rates of the query that processed the events."""
+    sink = f"{k.work}/metrics_sink"
+    run = pl.stream_available_now(k.classify(k.as_events(raw_stream(k))), sink, f"{k.work}/cp_metrics")
+    rates = st.throughput(st.query_progress(k.spark, run))
+    out = ev.stream_metrics(k.valid, k.dead, windows(k), every_alert(k), lag(k), rates)
+    return out.withColumn("tem_vazao", F.col("throughput_msg_s") > 0).drop("throughput_msg_s")
+
+
+@query("stream_progress", """SELECT COUNT(*) AS linhas, COUNT(*) AS no_destino, true AS tem_vazao,
+       COUNT(DISTINCT user_id) AS linhas_estado FROM events""")
 def _(k: Lake):
-    return metrics(k)
+    """Rows, rate and rows of state by the progress of a query, beside what its sink holds."""
+    counts = raw_stream(k).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    target = f"{k.work}/progress"
+    with st.rocksdb_state(k.spark):
+        run = pl.run_batches(counts, pl.upsert_batch(target, ["user_id"], [F.desc("n")]), f"{k.work}/cp_progress", "update")
+    written = pl.read_upserted(k.spark, target, ["user_id"]).agg(F.sum("n")).scalar()
+    return st.throughput(st.query_progress(k.spark, run)).select(
+        "linhas", written.alias("no_destino"), (F.col("throughput_msg_s") > 0).alias("tem_vazao"), "linhas_estado")
 
 
 _ok = lambda name, test: f"SELECT '{name}' AS verificacao, CASE WHEN {test} THEN 'OK' ELSE 'ATENÇÃO' END AS status FROM s"

@@ -103,9 +103,13 @@ def register_views(spark: SparkSession, views: Mapping[str, str]) -> set[str]:
 
 
 def external_table(spark: SparkSession, name: str, schema: str, partitions: Sequence[str],
-                   location: str) -> DataFrame:
+                   location: str, brought: DataFrame | None = None) -> DataFrame:
     """Declare a table over partitioned parquet and load its partitions.
 
+    With ``brought``, the rows a write has just added, only their partitions are
+    registered: the cost follows the write, and nothing else is listed. Without it all
+    partitions found at the location are, which lists the whole table.
+
     An existing table of that name is kept if it is external and over the same
     place; any other is an error. Nothing is dropped.
     """
@@ -115,11 +119,29 @@ def external_table(spark: SparkSession, name: str, schema: str, partitions: Sequ
         if about.get("Type") != "EXTERNAL" or about.get("Location", "").split(":")[-1].strip("/") != location.split(":")[-1].strip("/"):
             raise ValueError(f"{name} is another table")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING PARQUET {by} LOCATION '{location}'")
-    if partitions:
+    if partitions and brought is None:
         spark.sql(f"MSCK REPAIR TABLE {name}")
+    elif partitions:
+        add_partitions(spark, name, brought, partitions)
     return spark.table(name)
 
 
+def add_partitions(spark: SparkSession, name: str, brought: DataFrame, partitions: Sequence[str], at_once: int = 500) -> int:
+    """Register the partitions of ``brought`` that the table does not know; their number.
+
+    Known ones are looked up one statement at a time by the values brought, not by
+    listing the table. A write brings few partitions: their values pass the driver.
+    """
+    def value(v) -> str:
+        return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    specs = ["(" + ", ".join(f"`{c}` = {value(r[c])}" for c in partitions) + ")" for r in brought.select(*partitions).distinct().collect()]
+    new = [s for s in specs if not spark.sql(f"SHOW PARTITIONS {name} PARTITION {s}").head(1)]
+    for i in range(0, len(new), at_once):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION {s}" for s in new[i:i + at_once]))
+    return len(new)
+
+
 def dashboard_view(spark: SparkSession, view: str, source: DataFrame, columns: Sequence[str],
                    predicate: Column) -> DataFrame:
     """Named projection for a dashboard."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,20 +17,85 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
+CORRUPT, BAD = "_corrupt_record", ("_file", "_record", "_reason")
+
+
+def scan_csv_checked(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined rows) of CSV under a declared schema.
+
+    A row is quarantined if it has another number of fields than the schema, a field
+    that does not read as its type, or no value in a field that must have one. Its
+    file, its text and the first reason are kept: ``campos:<n>`` for the
+    number of fields, ``tipo:<column>``, ``nulo:<column>``. Every other row is good, so
+    the two together are all rows. Both are lazy and read the files once each. A quote
+    within quotes is doubled, as most tools write it.
+    """
+    options = {"sep": sep, "mode": "PERMISSIVE", "escape": '"'}
+    optional = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    read = optional.add(T.StructField(CORRUPT, T.StringType(), True))
+    rows = (spark.read.schema(T.StructType(read.fields)).option("header", header).options(**options)
+            .option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).csv(path)
+            .withColumn("_file", F.col("_metadata.file_path")))
+    fields = F.from_csv(F.col(CORRUPT), text.simpleString()[7:-1].replace(":", " "), options)
+    # The number of fields: separators outside quotes, and one.
+    bare = F.regexp_replace(CORRUPT, '"[^"]*"', "")
+    n = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    wrong = [F.when(F.col(f"_text.{f.name}").isNotNull() & F.col(f.name).isNull(), F.lit(f"tipo:{f.name}")) for f in schema.fields]
+    empty = [F.when(F.col(f.name).isNull(), F.lit(f"nulo:{f.name}")) for f in schema.fields if not f.nullable]
+    broken = F.when(n != len(schema.fields), F.concat(F.lit("campos:"), n.cast("string")))
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.coalesce(broken, *wrong, F.lit("ilegivel")))
+    reason = F.coalesce(reason, *empty) if empty else reason
+    judged = rows.withColumn("_text", fields).withColumn("_reason", reason)
+    whole = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*schema.names), {"sep": sep}))
+    return (judged.filter("_reason IS NULL").select(*schema.names),
+            judged.filter("_reason IS NOT NULL").select("_file", whole.alias("_record"), "_reason"))
+
+
+def quarantine(bad: DataFrame, path: str, run_id: str) -> DataFrame:
+    """Append quarantined rows under their run, replacing what the same run left before; the table so far."""
+    (bad.withColumn("_run", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_run").parquet(path))
+    return bad.sparkSession.read.parquet(path)
+
+
 def scan_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+#: Types that a merged schema names, and how they are read: a conflict or an object without fields is text, a decimal a double.
+_READ_AS = {"OBJECT": "STRUCT", "OBJECT<>": "STRING", "VARIANT": "STRING", "VOID": "STRING", "DECIMAL": "DOUBLE"}
+
+
+def json_schema(df: DataFrame, col: str) -> T.StructType:
+    """The schema that holds every document of a text column: the union of their fields, at every depth.
+
+    Each task merges the schemas of its documents and only merged schemas are
+    shuffled. Fields of several types become the wider type, or text if there is none;
+    fields that are always null are text; documents that are not JSON objects do not
+    count; no documents give no fields.
+    """
+    parsed = F.try_parse_json(F.col(col))
+    objects = F.when(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), parsed)
+    merged = df.agg(F.schema_of_variant_agg(objects).alias("s")).first()["s"]
+    if not merged or not merged.startswith("OBJECT"):
+        return T.StructType([])
+    # Quoted names stay; a plain name that is spelled like a type is followed by a colon.
+    types = r"`(?:[^`]|``)*`|\bOBJECT<>|\b(?:OBJECT|VARIANT|VOID|DECIMAL\(\d+,\d+\))(?!:)"
+    ddl = re.sub(types, lambda m: _READ_AS.get(m[0].split("(")[0], m[0]), merged)
+    return T._parse_datatype_string(ddl)
+
+
 def flatten_json(df: DataFrame, col: str | None = None, schema: T.StructType | str | None = None,
                  sep: str = "_") -> DataFrame:
     """Nested objects as flat columns; ``.`` and ``-`` in names become ``sep``.
 
     With ``col`` the JSON text of that column is parsed first (malformed text
-    gives nulls) and its fields are prefixed by the column name.
+    gives nulls) and its fields are prefixed by the column name. Without a schema the
+    text's own is found first, in a pass over all rows (``json_schema``).
     """
     if col is not None:
-        if schema is None:
-            raise ValueError("a text column needs its schema")
+        schema = json_schema(df, col) if schema is None else schema
         df = df.withColumn(col, F.from_json(col, schema))
 
     def leaves(fields, path):

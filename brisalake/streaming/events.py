@@ -124,12 +124,6 @@ def keyed_running_state(events: DataFrame, key: Sequence[str]) -> DataFrame:
         F.coalesce(exact_sum(F.when(F.col("alfabetizado"), F.col("peso_aluno"))), F.lit(0.0)).alias("peso_alfabetizados"))
 
 
-def merged_state(parts: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The running state from those of single batches."""
-    return parts.groupBy(*key).agg(F.sum("avaliados").alias("avaliados"),
-                                   *[exact_sum(c).alias(c) for c in ("peso", "peso_alfabetizados")])
-
-
 def window_late_data(events: DataFrame, duration: str, delay: str, ts: str = "ts_convertido") -> DataFrame:
     """Events per window; on a stream rows later than ``delay`` are dropped."""
     return (events.withWatermark(ts, delay).groupBy(F.window(ts, duration).alias("_w"))
@@ -216,8 +210,12 @@ def consumer_lag(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def stream_metrics(valid: DataFrame, dlq: DataFrame, windows: DataFrame, alerts: DataFrame, lag: DataFrame,
-                   seconds: float | None = None) -> DataFrame:
-    """One row of totals, reject rate, latency percentiles, lag, windows and alerts."""
+                   rates: DataFrame | None = None) -> DataFrame:
+    """One row of totals, reject rate, latency percentiles, lag, windows and alerts.
+
+    ``rates`` is the row of ``state.throughput`` for the query that processed the
+    events: it adds the micro-batches, the rows a second and the rows of state.
+    """
     n = F.count(F.lit(1))
     cuts = quantiles(valid, [], "latencia_ms", {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99})
     one = (valid.agg(n.alias("eventos_validos")).withColumn("eventos_dlq", dlq.agg(n).scalar())
@@ -232,9 +230,10 @@ def stream_metrics(valid: DataFrame, dlq: DataFrame, windows: DataFrame, alerts:
         *[round_settled(F.coalesce(F.col(f"q.{p}"), F.lit(0.0)), 1).alias(f"latencia_{p}_ms")
           for p in ("p50", "p90", "p95", "p99")],
         "lag_total", "janelas_processadas", "alertas_gerados")
-    if seconds is None:
+    if rates is None:
         return out
-    return out.withColumn("throughput_msg_s", safe_ratio("eventos_processados", F.lit(max(seconds, 1e-9)), 1))
+    run = rates.select(F.struct("lotes", "throughput_msg_s", "linhas_estado").alias("_run")).scalar()
+    return out.withColumn("_run", run).select("*", "_run.*").drop("_run")
 
 
 def stream_health(metrics: DataFrame, written: Column, sla_ms: float = 2000.0, max_dlq_pct: float = 10.0) -> DataFrame:

@@ -6,14 +6,14 @@ is replayed after a failure replaces its own files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from brisalake.operators.conform import dedup_latest
 from brisalake.streaming.events import enrich_event, route_dead_letters
+from brisalake.streaming.levels import fold_upserts, read_upserted, upsert_batch  # noqa: F401
 
 
 def stream_file_source(spark: SparkSession, directory: str, schema, fmt: str, glob: str | None = None,
@@ -87,32 +87,6 @@ def dedup_stream(stream: DataFrame, key: str, ts: str, horizon: str) -> DataFram
     return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([key])
 
 
-def upsert_batch(target_dir: str, key: Sequence[str], order_by: Sequence[Column]
-                 ) -> Callable[[DataFrame, int], None]:
-    """Handler that merges a batch by key.
-
-    A batch adds one folder with its last row per key; ``read_upserted``
-    resolves the newest batch per key. The cost of a batch follows its own
-    size, not the table's, nothing is rewritten in place, and a replayed batch
-    replaces its own folder.
-    """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        dedup_latest(batch, key, order_by).write.mode("overwrite").parquet(f"{target_dir}/batch={batch_id}")
-    return handle
-
-
-def read_upserted(spark: SparkSession, target_dir: str, key: Sequence[str]) -> DataFrame:
-    """Current table: the row of the newest batch per key."""
-    log = spark.read.option("mergeSchema", True).parquet(target_dir)
-    return dedup_latest(log, key, [F.desc("batch")]).drop("batch")
-
-
-def fold_upserts(spark: SparkSession, target_dir: str, new_dir: str, key: Sequence[str]) -> str:
-    """Compact the log into a new folder holding one row per key as batch -1."""
-    read_upserted(spark, target_dir, key).write.mode("overwrite").parquet(f"{new_dir}/batch=-1")
-    return new_dir
-
-
 def microbatch_sink(stream: DataFrame, path: str, checkpoint: str, run_id: str,
                     trigger: dict | None = None, files_per_date: int = 8) -> StreamingQuery:
     """Bounded batches to parquet by event date, with batch number and run id.

@@ -76,10 +76,10 @@ def test_sample_is_bounded_and_stable(table):
     assert {r.id for r in a.collect()} == {r.id for r in wn.stratified_sample(table, ["g"], 20, 1, "id").collect()}
 
 
-def test_large_and_small_samples_agree(table, monkeypatch):
-    small = {r.id for r in wn.stratified_sample(table, ["g"], 50, 7, "id").collect()}
-    monkeypatch.setattr(wn, "GROUP_LIMIT", 10)
-    assert {r.id for r in wn.stratified_sample(table, ["g"], 50, 7, "id").collect()} == small
+def test_sample_equals_a_window_over_the_hash(table):
+    order = Window.partitionBy("g").orderBy(F.xxhash64("id", F.lit(7)), "id")
+    want = {r.id for r in table.withColumn("n", F.row_number().over(order)).filter("n <= 50").collect()}
+    assert {r.id for r in wn.stratified_sample(table, ["g"], 50, 7, "id").collect()} == want
 
 
 def test_odd_numbers_and_texts_rank_as_windows_do(spark):
