@@ -13,11 +13,14 @@ ids, and a filter on documents or on places skips row groups and pages.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,38 +28,67 @@ from pyspark.sql import functions as F
 from brisalake.llm.common import small_batches, text_or_empty, worker_cache
 
 ROWS = "doc_id bigint, shard int, at bigint, n_tokens bigint, ids array<int>"
-CACHE_WORDS, LONG_WORD = 500_000, 100
+CACHE_WORDS, LONG_WORD = 300_000, 100
+# How the tokenizer file cuts a text in lower case, for any text and for ASCII.
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Letters that lower by their place or to two, and blanks that not all libraries hold for such.
+ODD = re.compile(r"[\x1c-\x1f\x85\u180e\u200bΣİ]")
 #: Columns whose values rise within a shard, or are too various for a dictionary: delta-encoded.
 DELTA = ("doc_id", "at", "n_tokens")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if it prints, else one from 256 on, in order."""
+    shown = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(256, 512))
+    return {b: chr(b if b in shown else next(hidden)) for b in range(256)}
+
+
+class Words(dict):
+    """Ids of words in lower case as bytes, each made once; of the words beyond ``keep`` those in use stay."""
+
+    def __init__(self, model, size: int, keep: int = CACHE_WORDS):
+        self.tokenize, self.letters, self.keep, self.old = model.tokenize, byte_letters(), keep, {}
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            pieces = ASCII_PIECE.findall(word) if word.isascii() else [
+                p.encode().decode("latin-1").translate(self.letters) for p in PIECE.findall(word)]
+            ids = b"".join([self.packed[t.id] for p in pieces for t in self.tokenize(p)])
+        if len(word) <= LONG_WORD:
+            if len(self) >= self.keep:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 def word_encoder(tokenizer: str) -> Callable[[str], bytes]:
-    """Text to little-endian 32-bit ids by a tokenizer file whose tokens hold no white space.
+    """Text to little-endian 32-bit ids by a tokenizer file that cuts texts into pieces by ``PIECE``, in lower case.
 
-    The tokenizer drops white space and never joins across it, so a text is the run of
-    its words; each word is encoded once per worker.
+    Pieces never hold white space, so a text is the run of its words: the text is
+    normalised and cut here by the file's own rule, and the library's model encodes the
+    pieces of each distinct word once per worker. Texts with anything that the two may
+    lower or cut differently (special tokens, ``ODD``) go to the library as they are.
     """
     def make() -> dict:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
-        return {"words": {"": b""}, "tokenizer": Tokenizer.from_file(tokenizer)}
+        library = Tokenizer.from_file(tokenizer)
+        return {"words": Words(library.model, library.get_vocab_size()), "library": library}
 
     kept = worker_cache(f"words {tokenizer}", make)
-    encode, words = kept["tokenizer"].encode_batch, kept["words"]
+    library, word_ids = kept["library"], kept["words"].__getitem__
 
     def ids(text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(words.__getitem__, parts))
-        except KeyError:
-            if len(words) > CACHE_WORDS:
-                words.clear()
-                words[""] = b""
-            new = list({p for p in parts if p not in words})
-            made = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in encode(new, add_special_tokens=False))))
-            words.update((w, x) for w, x in made.items() if len(w) <= LONG_WORD)
-            return b"".join([made[p] if p in made else words[p] for p in parts])
+        if "<|" in text or ODD.search(text):
+            return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        plain = text if text.isascii() else unicodedata.normalize("NFC", text)
+        return b"".join(map(word_ids, plain.lower().split()))
 
     return ids
 
