@@ -38,6 +38,7 @@ class Stage:
                 self.rows[what] += seen.get["n"]
         base = self.rows["entrada"] or self.rows["saida"]
         reject = round(self.rows["rejeitadas"] / base * 100, 2) if base else 0.0
+        # Severities and texts of the alerts.
         if error:
             self.alerts.append(("CRITICAL", f"Falha na etapa '{self.name}': {error}"))
         if seconds > sla_s:

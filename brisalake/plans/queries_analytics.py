@@ -228,7 +228,7 @@ def _(k: Lake):
     return md.feature_importance(md.ridge_model(train, names, TARGET), names, k.spark)
 
 
-@query("importance_checks", f"""SELECT COUNT(*) AS treino, 1.0 AS soma, true AS nao_negativas FROM ({_fsql}) b""")
+@query("importance_checks", f"""SELECT COUNT(*) AS treino, CAST(1 AS DOUBLE) AS soma, true AS nao_negativas FROM ({_fsql}) b""")
 def _(k: Lake):
     """Importances of the forest over all features add up to one."""
     rows, names = prepared(k)
@@ -237,7 +237,7 @@ def _(k: Lake):
         .withColumn("treino", rows.agg(F.count(F.lit(1))).scalar())
 
 
-@query("residual_mean", f"""SELECT COUNT(*) AS n, 0.0 AS media FROM ({_fsql}) b""")
+@query("residual_mean", f"""SELECT COUNT(*) AS n, CAST(0 AS DOUBLE) AS media FROM ({_fsql}) b""")
 def _(k: Lake):
     """On the rows it was fitted on, a linear model with intercept has residuals of mean zero; every row is in a bin."""
     rows, names = prepared(k)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brisalake.operators import quality as dq
 from brisalake.plans.lake import Lake
-from brisalake.plans.marts import mart_evolution, mart_indicator, mart_target_vs_actual
+from brisalake.plans.marts import RISK_LABELS, mart_evolution, mart_indicator, mart_target_vs_actual
 from brisalake.plans.oracle import r, xavg, xsum
 from brisalake.plans.queries_conform import second_source
 from brisalake.plans.registry import query
@@ -141,10 +141,33 @@ def order_rules(k: Lake):
             dq.dq_referential("o_custkey", k.table("customer"), "c_custkey")]
 
 
-_line_report = """SELECT 'bronze' AS camada, 'lineitem' AS entidade, (SELECT COUNT(*) FROM lineitem) AS linhas,
-    71.4 AS score, 5 AS "pass", 1 AS "fail", 1 AS warn"""
-_order_report = """SELECT 'bronze' AS camada, 'orders' AS entidade, (SELECT COUNT(*) FROM orders) AS linhas,
-    100.0 AS score, 4 AS "pass", 0 AS "fail", 0 AS warn"""
+_domain = lambda t, c, values, sev="ERROR": check(
+    f"dominio:{c}", "VALIDADE", "n = 0", "n", f"(SELECT COUNT(*) AS n FROM {t} WHERE {c} NOT IN ({', '.join(repr(v) for v in values)}))", sev)
+_range = lambda t, c, lo, hi, sev="ERROR": check(
+    f"faixa:{c}", "VALIDADE", "n = 0", "n", f"(SELECT COUNT(*) AS n FROM {t} WHERE {c} NOT BETWEEN {lo} AND {hi})", sev)
+_fk = lambda t, c, other, key: check(
+    f"fk:{c}->{key}", "CONSISTENCIA", "n = 0", "n", f"(SELECT COUNT(*) AS n FROM {t} WHERE {c} NOT IN (SELECT {key} FROM {other}))")
+_unique = lambda t, cols: check(
+    f"unique:{cols[0]}" if len(cols) == 1 else "chave_composta:" + "+".join(cols), "UNICIDADE", "n = 0", "n", _dup(t, ", ".join(cols)))
+
+# The same rules over the tables, in SQL.
+LINE_SQL = [_count("lineitem", 1000), _null("lineitem", "l_orderkey"), _null("lineitem", "l_partkey"), _unique("lineitem", ["l_orderkey", "l_linenumber"]),
+            _range("lineitem", "l_quantity", 1, 50), _range("lineitem", "l_discount", 0.01, 0.05, "WARNING"), _fk("lineitem", "l_partkey", "part", "p_partkey")]
+ORDER_SQL = [_count("orders", 100), _unique("orders", ["o_orderkey"]), _domain("orders", "o_orderstatus", ["F", "O", "P"]),
+             _fk("orders", "o_custkey", "customer", "c_custkey")]
+
+
+def _of(entity: str, rules) -> str:
+    return " UNION ALL ".join(f"SELECT '{entity}' AS entidade, verificacao, dimensao, status, severidade FROM ({sql})" for sql in rules)
+
+
+def _report(entity: str, rules) -> str:
+    return f"""SELECT 'bronze' AS camada, '{entity}' AS entidade, (SELECT COUNT(*) FROM {entity}) AS linhas,
+        {r("100.0 * COUNT(*) FILTER (status = 'PASS') / COUNT(*)", 1)} AS score, COUNT(*) FILTER (status = 'PASS') AS "pass",
+        COUNT(*) FILTER (status = 'FAIL') AS "fail", COUNT(*) FILTER (status = 'WARN') AS warn FROM ({_of(entity, rules)})"""
+
+
+_line_report, _order_report = _report("lineitem", LINE_SQL), _report("orders", ORDER_SQL)
 
 
 @query("dq_report", f"""SELECT camada, entidade, linhas, CAST(score AS DOUBLE) AS score, CAST("pass" AS BIGINT) AS "pass",
@@ -154,7 +177,7 @@ def _(k: Lake):
 
 
 @query("dq_panel", f"""SELECT camada, entidade, linhas, CAST(score AS DOUBLE) AS score, CAST("pass" AS BIGINT) AS "pass",
-       CAST("fail" AS BIGINT) AS "fail", CAST(warn AS BIGINT) AS warn, CAST(85.7 AS DOUBLE) AS score_medio
+       CAST("fail" AS BIGINT) AS "fail", CAST(warn AS BIGINT) AS warn, {r("avg(score) OVER ()", 1)} AS score_medio
        FROM ({_line_report} UNION ALL {_order_report})""")
 def _(k: Lake):
     return dq.dq_panel(dq.dq_report(k.table("orders"), "orders", "bronze", order_rules(k)),
@@ -172,16 +195,8 @@ def _(k: Lake):
 _book = ["entidade", "verificacao", "dimensao", "status", "severidade"]
 
 
-@query("dq_rulebook", """SELECT * FROM (VALUES
-    ('lineitem','row_count','COMPLETUDE','PASS','ERROR'), ('lineitem','not_null:l_orderkey','COMPLETUDE','PASS','ERROR'),
-    ('lineitem','not_null:l_partkey','COMPLETUDE','PASS','ERROR'),
-    ('lineitem','chave_composta:l_orderkey+l_linenumber','UNICIDADE','FAIL','ERROR'),
-    ('lineitem','faixa:l_quantity','VALIDADE','PASS','ERROR'), ('lineitem','faixa:l_discount','VALIDADE','WARN','WARNING'),
-    ('lineitem','fk:l_partkey->p_partkey','CONSISTENCIA','PASS','ERROR'),
-    ('orders','row_count','COMPLETUDE','PASS','ERROR'), ('orders','unique:o_orderkey','UNICIDADE','PASS','ERROR'),
-    ('orders','dominio:o_orderstatus','VALIDADE','PASS','ERROR'),
-    ('orders','fk:o_custkey->c_custkey','CONSISTENCIA','PASS','ERROR'),
-    ('ausente','tabela','COMPLETUDE','SKIP','WARNING')) t(entidade, verificacao, dimensao, status, severidade)""")
+@query("dq_rulebook", f"""{_of("lineitem", LINE_SQL)} UNION ALL {_of("orders", ORDER_SQL)}
+       UNION ALL SELECT 'ausente', 'tabela', 'COMPLETUDE', 'SKIP', 'WARNING'""")
 def _(k: Lake):
     return dq.dq_rulebook(
         {"lineitem": k.table("lineitem"), "orders": k.table("orders")},
@@ -202,27 +217,21 @@ def _(k: Lake):
     return dq.dq_silver_gate(k.integrated, ["ano", "id_municipio", "rede"], ["sigla_uf", "nome_municipio"])
 
 
-@query("dq_gold_gate", """SELECT * FROM (VALUES
-    ('gold_indicador_municipio','row_count','COMPLETUDE','PASS','ERROR'),
-    ('gold_indicador_municipio','chave_composta:ano+id_municipio+rede+serie','UNICIDADE','PASS','ERROR'),
-    ('gold_indicador_municipio','not_null:nome_municipio','COMPLETUDE','PASS','ERROR'),
-    ('gold_indicador_municipio','not_null:sigla_uf','COMPLETUDE','PASS','ERROR'),
-    ('gold_indicador_municipio','dominio:risco_alfabetizacao','VALIDADE','PASS','ERROR'),
-    ('gold_indicador_municipio','faixa:taxa_alfabetizacao','VALIDADE','PASS','ERROR'),
-    ('gold_meta_vs_realizado','row_count','COMPLETUDE','PASS','ERROR'),
-    ('gold_meta_vs_realizado','chave_composta:ano+rede+sigla_uf','UNICIDADE','PASS','ERROR'),
-    ('gold_meta_vs_realizado','faixa:pct_municipios_na_meta','VALIDADE','PASS','ERROR'),
-    ('gold_evolucao_temporal','row_count','COMPLETUDE','PASS','ERROR'),
-    ('gold_evolucao_temporal','not_null:id_municipio','COMPLETUDE','PASS','ERROR'),
-    ('gold_evolucao_temporal','not_null:rede','COMPLETUDE','PASS','ERROR'),
-    ('gold_evolucao_temporal','dominio:tendencia','VALIDADE','PASS','ERROR'))
-    t(entidade, verificacao, dimensao, status, severidade)""")
+_gold = {
+    "gold_indicador_municipio": [_count("indicator", 100), _unique("indicator", ["ano", "id_municipio", "rede", "serie"]),
+                                 _null("indicator", "nome_municipio"), _null("indicator", "sigla_uf"),
+                                 _domain("indicator", "risco_alfabetizacao", RISK_LABELS), _range("indicator", "taxa_alfabetizacao", 0, 100)],
+    "gold_meta_vs_realizado": [_count("panel", 1), _unique("panel", ["ano", "rede", "sigla_uf"]), _range("panel", "pct_municipios_na_meta", 0, 100)],
+    "gold_evolucao_temporal": [_count("evo", 1), _null("evo", "id_municipio"), _null("evo", "rede"),
+                               _domain("evo", "tendencia", ["Serie unica", "Melhora", "Piora", "Estavel"])]}
+
+
+@query("dq_gold_gate", " UNION ALL ".join(_of(mart, rules) for mart, rules in _gold.items()))
 def _(k: Lake):
     fact = k.integrated
-    stored = k.stored("gold_indicador_municipio", lambda: mart_indicator(fact))
-    return dq.dq_gold_gate({"gold_indicador_municipio": stored,
-                            "gold_meta_vs_realizado": mart_target_vs_actual(fact),
-                            "gold_evolucao_temporal": mart_evolution(fact)}, minimum=100).select(*_book)
+    return dq.dq_gold_gate({"gold_indicador_municipio": k.stored("gold_indicador_municipio", lambda: mart_indicator(fact)),
+                            "gold_meta_vs_realizado": k.stored("gold_meta_vs_realizado", lambda: mart_target_vs_actual(fact)),
+                            "gold_evolucao_temporal": k.stored("evolution", lambda: mart_evolution(fact))}, minimum=100).select(*_book)
 
 
 _w = lambda c: f"{xsum(c + ' * alunos')} / {xsum('alunos')}"

@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
 def load() -> None:
     from brisalake.plans import (  # noqa: F401
         queries_aggregate, queries_analytics, queries_conform, queries_marts, queries_quality,
-        queries_sources, queries_stream)
+        queries_silver, queries_sources, queries_stream)
