@@ -62,6 +62,11 @@ class Stage:
             df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that no plan reads any more."""
+        for name in names:
+            remove_folder(self.spark, self.path(name))
+
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a stage's folder, wherever the cluster keeps it."""

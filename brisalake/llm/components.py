@@ -24,8 +24,8 @@ def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
     """(node, root) of every node with an edge; the root is the smallest node reachable.
 
     Alternating stars: after about the square of the logarithm of the nodes' number
-    every edge points to its root. Each round is stored; only two numbers reach the
-    driver.
+    every edge points to its root. Each round is stored, and deleted when the one
+    after it is; only two numbers reach the driver.
     """
     now = stage.store(edges.select("a", "b").filter("a <> b").distinct(), f"{name}-0")
     seen, i = None, 0
@@ -33,5 +33,7 @@ def components(stage: Stage, edges: DataFrame, name: str) -> DataFrame:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             return now.toDF("node", "root")
+        if i:
+            stage.drop(f"{name}-{i - 1}")
         seen, i = mark, i + 1
         now = stage.store(_star(_star(now, True), False), f"{name}-{i}")

@@ -9,14 +9,18 @@ are rarely looked at. (The sample steers cost only: any order gives the same lin
 2. Similar documents are partitioned into groups: representatives that share one of
    their smallest tokens with a leader and have been verified against it. Copies of
    one text with different edits differ in some of these tokens, seldom in all.
-3. The matrix holds, per leading token, the groups whose union has it. Tokens of a
+3. Leaders that can be similar by the tokens they share are compared, and groups of
+   similar leaders are joined: a family of near copies is one group from here on.
+4. The matrix holds, per leading token, the groups whose union has it. Tokens of a
    single group say nothing about links between groups and are dropped, so a family
-   of near copies, however large, adds one row per token.
-4. Groups that share tokens are bounded by that overlap; leaders of qualifying
-   pairs are compared, groups that link are merged, and only pairs of groups still
-   apart are opened and their documents bounded and compared one by one.
+   adds one row per token, however large. Every document of the smaller of two groups
+   is bounded by what it shares with the larger one's union; where that may do, it is
+   compared with the leader, which joins most groups that belong together. Only what
+   is still apart is opened, and its documents bounded and compared one by one.
 5. Links between groups make components; classes and copies inherit theirs.
 
+Bounds count leading tokens cut to 48 bits, each as often as a document has it: tokens
+that fall together raise a bound and lose nothing.
 Every comparison is exact on whole sets.
 """
 
@@ -265,47 +269,63 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
         sets, "row").filter(similar("tokens", "lead", percent))
     grouped = components(stage, stage.store(similar_to_leader.select(F.col("row").alias("a"), F.col("leader").alias("b")), "grouped"),
                          "groups").toDF("row", "leader")
-    member = reps.join(grouped, "row", "left").select("row", "n", "prefix_size", "last", F.coalesce("leader", "row").alias("grp"))
-    groups = member.groupBy("grp").agg(F.count("*").alias("members"), F.min("n").alias("n_low"), F.max("n").alias("n_high"),
-                                       F.max("prefix_size").alias("prefix_size"), F.max("last").alias("last"))
-    groups = stage.store(groups, "groups")
-
-    # The matrix: (token, group), without the tokens of one group.
-    placed = tokens.join(grouped, "row", "left").select("token", "row", F.coalesce("leader", "row").alias("grp"))
-    mixed_tokens = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token")
-    placed = stage.store(placed.join(mixed_tokens, "token"), "placed")
-    matrix = placed.select("token", "grp").distinct()
-    a, b = (matrix.select("token", F.col("grp").alias(x)) for x in "ab")
-    pairs = a.join(b, "token").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    ga, gb = (groups.select(F.col("grp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in groups.columns[1:]]) for x in "ab")
-    pairs = pairs.join(ga, "a").join(gb, "b").filter(qualifies(percent))
-    pairs = stage.store(pairs.select("a", "b", (F.greatest("members_a", "members_b") > 1).alias("open")), "pairs")
-
-    # Whole sets of what is left to compare: of larger groups every document's set is there.
-    paired = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    paired = paired.join(sets.select("row"), "row", "left_anti")
-    sets = sets.unionByName(sets_of(paired, "paired-sets"))
-
-    def verified(p: DataFrame, x: str, y: str) -> DataFrame:
+    stage.drop("leading", "leaders-of-tokens", "led", "led-sets-keys")
+    member = stage.store(reps.join(grouped, "row", "left").select(
+        "row", "n", "prefix_size", "last", F.coalesce("leader", "row").alias("grp")), "member")
+
+    def verified(p: DataFrame, x: str, y: str, name: str) -> DataFrame:
+        """The pairs (x, y, ...) whose sets are similar; sets not made yet are made from the texts."""
+        nonlocal sets
+        missing = p.select(F.col(x).alias("row")).union(p.select(y)).distinct().join(sets.select("row"), "row", "left_anti")
+        sets = sets.unionByName(sets_of(missing, f"{name}-sets"))
         left = p.join(sets.select(F.col("row").alias(x), F.col("tokens").alias("left_set")), x)
         both = left.join(sets.select(F.col("row").alias(y), F.col("tokens").alias("right_set")), y)
-        return both.filter(similar("left_set", "right_set", percent))
+        return stage.store(both.filter(similar("left_set", "right_set", percent)).select(*p.columns), name)
 
-    links = stage.store(verified(pairs, "a", "b").select("a", "b").distinct(), "leader-links")
-    roots = components(stage, links, "leaders")
+    def of_row(x: str) -> DataFrame:
+        return member.select(F.col("row").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "prefix_size", "last")])
 
-    # Open the groups that are still apart: documents bounded and compared one by one.
-    root_of = lambda p, x: p.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")), x, "left") \
-        .withColumn(f"root_{x}", F.coalesce(f"root_{x}", x))
-    apart = root_of(root_of(pairs.filter("open"), "a"), "b").filter("root_a <> root_b").select("a", "b")
-    left, right = (placed.select("token", F.col("row").alias(f"row_{x}"), F.col("grp").alias(x)) for x in "ab")
-    opened = left.join(apart, "a").join(right, ["token", "b"]).groupBy("row_a", "row_b", "a", "b").agg(F.count("*").alias("shared"))
-    ma, mb = (member.select(F.col("row").alias(f"row_{x}"), F.col("n").alias(f"n_low_{x}"), F.col("n").alias(f"n_high_{x}"),
-                            F.col("prefix_size").alias(f"prefix_size_{x}"), F.col("last").alias(f"last_{x}"),
-                            F.lit(1).alias(f"members_{x}")) for x in "ab")
-    opened = opened.join(ma, "row_a").join(mb, "row_b").filter(qualifies(percent)).select("row_a", "row_b", "a", "b")
-    more = verified(stage.store(opened, "opened"), "row_a", "row_b").select("a", "b")
-    roots = components(stage, links.union(more), "groups-linked")
+    # Groups that one text has split into: their leaders are compared, and similar ones joined.
+    leaders = tokens.join(member.filter("row = grp").select("row"), "row", "left_semi")
+    a, b = (leaders.select("token", F.col("row").alias(x)) for x in "ab")
+    pairs = a.join(b, "token").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    pairs = pairs.join(of_row("a"), "a").join(of_row("b"), "b").filter(qualifies("a", "b", percent))
+    links = verified(stage.store(pairs.select("a", "b"), "pairs"), "a", "b", "leader-links")
+    roots = components(stage, links, "leaders")
+    member = stage.store(member.join(roots, member["grp"] == roots["node"], "left").select(
+        "row", "n", "prefix_size", "last", F.coalesce("root", "grp").alias("grp")), "member-merged")
+
+    # The matrix: (token, group) over all documents, without the tokens of one group.
+    groups = stage.store(member.groupBy("grp").agg(
+        F.count("*").alias("members"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("last").alias("last_low"),
+        F.max("last").alias("last_high")), "groups")
+    placed = tokens.join(member.select("row", "grp"), "row")
+    several = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token")
+    placed = stage.store(placed.join(several, "token").join(groups.select("grp", "members"), "grp"), "placed")
+    matrix = placed.select("token", F.col("grp").alias("other"), F.col("members").alias("many")).distinct()
+
+    # Documents of the smaller group ask the larger one: bounded by what they share with its union. Pairs of single
+    # documents have been compared as leaders.
+    asked = placed.join(matrix, "token").filter("many > 1 AND (members < many OR members = many AND grp < other)")
+    asked = asked.groupBy("row", "grp", "other").agg(F.count("*").alias("shared"))
+    asked = asked.join(of_row("row"), "row").join(groups.withColumnRenamed("grp", "other"), "other").filter(reaches("row", percent))
+    asked = stage.store(asked.select("row", "grp", "other"), "asked")
+    near = verified(asked, "row", "other", "near-leaders").select(F.col("grp").alias("a"), F.col("other").alias("b"))
+    roots = components(stage, near, "near-groups")
+
+    # Open what is still apart: the group's documents bounded and compared one by one.
+    def root_of(p: DataFrame, x: str) -> DataFrame:
+        found = p.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")), x, "left")
+        return found.withColumn(f"root_{x}", F.coalesce(f"root_{x}", x))
+
+    apart = root_of(root_of(asked, "grp"), "other").filter("root_grp <> root_other").select("row", "grp", "other")
+    inside = placed.select("token", F.col("row").alias("document"), F.col("grp").alias("other"))
+    opened = placed.select("token", "row").join(apart, "row").join(inside, ["token", "other"])
+    opened = opened.groupBy("row", "document", "grp", "other").agg(F.count("*").alias("shared"))
+    opened = opened.join(of_row("row"), "row").join(of_row("document"), "document").filter(qualifies("row", "document", percent))
+    opened = stage.store(opened.select("row", "document", "grp", "other"), "opened")
+    more = verified(opened, "row", "document", "opened-links").select(F.col("grp").alias("a"), F.col("other").alias("b"))
+    roots = components(stage, links.union(near).union(more), "groups-linked")
 
     own = reps.select("digest", "row", "least_id").join(grouped, "row", "left").withColumn("node", F.coalesce("leader", "row"))
     own = stage.store(own.join(roots, "node", "left").select("digest", "least_id", F.coalesce("root", "node").alias("root")), "own")
@@ -315,14 +335,31 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
     return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def qualifies(percent: int) -> Column:
-    """Whether two groups of one document each can be similar, by sizes and shared leading tokens; larger groups by sizes.
+def qualifies(a: str, b: str, percent: int) -> Column:
+    """Whether two documents can be similar, by sizes and the leading tokens they share.
 
     The document whose prefix ends first sees all that its prefix shares, so what it
-    does not share is missing from the other: at most n less the overlap needed.
+    does not share is missing from the other: at most its size less the overlap needed.
+    """
+    na, nb = F.col(f"n_{a}"), F.col(f"n_{b}")
+    fits = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+    needed = F.ceil(percent * (na + nb) / (100.0 + percent) - 1e-9)
+    of = lambda x: F.col(f"prefix_size_{x}") - F.col("shared") <= F.col(f"n_{x}") - needed
+    return fits & F.when(F.col(f"last_{a}") <= F.col(f"last_{b}"), of(a)).otherwise(of(b))
+
+
+def reaches(x: str, percent: int) -> Column:
+    """Whether a document can be similar to any of a group, by the leading tokens it shares with the group's union.
+
+    The union holds what every single document holds, so the bounds of ``qualifies``
+    hold with the group's sizes: the document's own prefix if a document of the group
+    may end later, and any document's of the sizes that fit if one may end earlier.
     """
-    fits = (100 * F.col("n_high_b") >= percent * F.col("n_low_a")) & (100 * F.col("n_high_a") >= percent * F.col("n_low_b"))
-    needed = F.ceil(percent * (F.col("n_low_a") + F.col("n_low_b")) / (100.0 + percent) - 1e-9)
-    of = lambda x: F.col(f"prefix_size_{x}") - F.col("shared") <= F.col(f"n_low_{x}") - needed
-    enough = F.when(F.col("last_a") <= F.col("last_b"), of("a")).otherwise(of("b"))
-    return fits & ((F.greatest("members_a", "members_b") > 1) | enough)
+    n, shared = F.col(f"n_{x}"), F.col("shared")
+    fits = (100 * F.col("n_high") >= percent * n) & (100 * n >= percent * F.col("n_low"))
+    least = F.greatest(F.col("n_low"), F.ceil(percent * n / 100.0 - 1e-9))
+    most = F.least(F.col("n_high"), F.floor(100.0 * n / percent + 1e-9))
+    needed = F.ceil(percent * (n + least) / (100.0 + percent) - 1e-9)
+    own = (F.col(f"last_{x}") <= F.col("last_high")) & (F.col(f"prefix_size_{x}") - shared <= n - needed)
+    theirs = (F.col(f"last_{x}") > F.col("last_low")) & (shared >= percent * (n + most) / (100.0 + percent) - percent * most / 100.0 - 1e-6)
+    return fits & (own | theirs)
