@@ -52,7 +52,13 @@ class Flattener:
         self.pieces, self.length, self.attachments = [], start, []
 
     def visit(self, part: dict) -> None:
-        getattr(self, part.get("kind") or "text", self.other)(part)
+        kind = part.get("kind") or "text"
+        if kind == "text":
+            self.text(part)
+        elif kind in PLACEHOLDERS:
+            self.attach(part)
+        else:
+            raise ValueError(f"unknown kind of part: {kind!r}")
 
     def add(self, piece: str) -> None:
         self.pieces.append(piece)
@@ -67,11 +73,6 @@ class Flattener:
                                  "tokens": UNIT_TOKENS[kind] * (1 if units is None else max(units, 0))})
         self.add(PLACEHOLDERS[kind])
 
-    image = audio = document = attach
-
-    def other(self, part: dict) -> None:
-        raise ValueError(f"unknown kind of part: {part['kind']!r}")
-
 
 def around(role: str) -> tuple[str, str]:
     return TEMPLATE.get(role) or (OTHER[0] + escape(role) + OTHER[1], OTHER[2])
