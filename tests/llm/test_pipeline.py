@@ -85,5 +85,29 @@ def test_stages_of_nothing(spark, folder, tmp_path):
         assert step(spark, none, folder).count() == 0, name
 
 
-def test_run_equals_its_stages(spark, folder):
-    assert corpus_pipeline.run(spark, folder).count() > 0
+def tokens_by_document(pieces):
+    """Per document: its copies' sizes and how many tokens of them are packed."""
+    whole, packed = Counter(), Counter()
+    for p in pieces:
+        whole[p.doc_id, p.doc_tokens] += p.start == 0
+        packed[p.doc_id] += p.length
+    return whole, packed
+
+
+def test_run_equals_its_stages(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for i, (name, step) in enumerate(corpus_pipeline.STAGES):
+        docs = step(spark, docs, folder)
+        if i < len(corpus_pipeline.STAGES) - 1:
+            docs = stored(spark, tmp_path / name, docs)
+    got, want = (tokens_by_document(x.collect()) for x in (corpus_pipeline.run(spark, folder), docs))
+    assert got == want and sum(got[1].values()) > 0
+
+
+def test_columns_named_like_the_stages_own(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("_corpus_row", F.lit("kept")).withColumn("_corpus_at", F.lit("kept"))
+    docs = stored(spark, tmp_path / "in", docs)
+    for name in ("exact_dedup", "ngram_jaccard_join"):
+        docs = stored(spark, tmp_path / name, STEPS[name](spark, docs, folder))
+        assert docs.columns == [*COLUMNS, "_corpus_row", "_corpus_at"]
+        assert {(r["_corpus_row"], r["_corpus_at"]) for r in docs.collect()} == {("kept", "kept")}
