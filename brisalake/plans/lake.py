@@ -116,7 +116,10 @@ class Lake:
 
     @property
     def pupils(self) -> DataFrame:
-        """Microdata without the unit's attributes."""
+        """Microdata without the unit's attributes; lineitem and orders meet once for all that read it."""
+        return self.stored("pupils", self._pupils)
+
+    def _pupils(self) -> DataFrame:
         li = self.table("lineitem")
         score = F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice"))
         return li.join(self.order_units, "l_orderkey").select(
@@ -130,8 +133,7 @@ class Lake:
 
     @property
     def sums(self) -> DataFrame:
-        """Rate, participation, state and country context all come from these
-        sums, so lineitem is read and shuffled once."""
+        """Rate, participation, state and country context all come from these sums."""
         return self.stored("sums", self._sums)
 
     def _sums(self) -> DataFrame:

@@ -21,7 +21,7 @@ from brisalake.sources.catalog import (
 from brisalake.sources.footprint import format_size_compare, layer_footprint, scan_bytes_report
 from brisalake.sources.lineage import changed_records, lineage_columns
 from brisalake.sources.readers import (
-    flatten_json, optional_columns, pruned_extract, quarantine, scan_csv, scan_csv_checked, scan_parquet)
+    first_readable, flatten_json, optional_columns, pruned_extract, quarantine, scan_csv, scan_csv_checked, scan_parquet)
 from brisalake.sources.writers import (
     append_merge_schema, compact_cluster, export_csv_locale, write_compact, write_json_events,
     write_partitioned, write_table)
@@ -89,6 +89,16 @@ def _(k: Lake):
         kept.groupBy(F.col("_reason").alias("motivo")).agg(n).withColumns({"parte": F.lit("quarentena"), "soma": F.lit(None).cast("bigint")}))
 
 
+@query("first_readable", "SELECT 'csv' AS _source, COUNT(*) AS n, SUM(p_partkey)::BIGINT AS soma FROM part")
+def _(k: Lake):
+    """The table is landed as CSV only; the Parquet export that is asked for first is missing."""
+    path = f"{k.work}/part_csv"
+    k.table("part").select("p_partkey", "p_name").write.option("header", True).csv(path)
+    found = first_readable([("parquet", lambda: scan_parquet(k.spark, f"{k.work}/part_parquet")),
+                            ("csv", lambda: scan_csv(k.spark, path, "p_partkey bigint, p_name string"))])
+    return found.groupBy("_source").agg(F.count(F.lit(1)).alias("n"), F.sum("p_partkey").alias("soma"))
+
+
 @query("optional_columns", "SELECT p_partkey, p_size, CAST(NULL AS VARCHAR) AS p_container, 0 AS p_stock FROM part")
 def _(k: Lake):
     part = k.table("part").select("p_partkey", "p_size")

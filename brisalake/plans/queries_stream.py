@@ -283,13 +283,13 @@ def _(k: Lake):
 @query("upsert_levels", """SELECT event_id, user_id, CASE WHEN event_id % 3 = 0 THEN value + 1000 ELSE value END AS value,
        strftime(ts, '%Y-%m-%d') AS dia, true AS poucas_pastas FROM events""")
 def _(k: Lake):
-    """Many small batches by event date, in levels of three: few folders to read, the newest value of each id."""
+    """Batches by event date, in levels of three: few folders to read, the newest value of each id."""
     target, rows = f"{k.work}/levels", k.table("events").select("event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("dia"))
     again = rows.filter("event_id % 3 = 0").withColumn("value", F.col("value") + 1000)
-    handle, part = pl.upsert_batch(target, ["event_id"], [F.desc("value")], "dia", 3), F.pmod(F.xxhash64("event_id"), F.lit(5))
-    for i in range(10):  # five batches of events, five of corrections, each twice as after a failure
-        batch = (rows if i < 5 else again).filter(part == i % 5)
-        handle(batch, i), handle(batch, i)
+    handle, part = pl.upsert_batch(target, ["event_id"], [F.desc("value")], "dia", 3), F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for i in range(6):  # three batches of events, three of corrections, the last again as after a failure
+        handle((rows if i < 3 else again).filter(part == i % 3), i)
+    handle(again.filter(part == 2), 5)
     few = len(levels.runs(k.spark, target)) <= 2 * 3
     return pl.read_upserted(k.spark, target, ["event_id"]).withColumn("poucas_pastas", F.lit(few))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,6 +60,21 @@ def quarantine(bad: DataFrame, path: str, run_id: str) -> DataFrame:
     return bad.sparkSession.read.parquet(path)
 
 
+def first_readable(sources: Sequence[tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
+    """Rows of the first source that is there, with its name as ``_source``; an error that names each one's if none is.
+
+    A source that is missing or unreadable when its plan is made gives way to the next;
+    what fails later, while rows are read, is an error of its own.
+    """
+    failed = []
+    for name, read in sources:
+        try:
+            return read().withColumn("_source", F.lit(name))
+        except AnalysisException as error:
+            failed.append(f"{name}: {str(error).splitlines()[0]}")
+    raise FileNotFoundError("no source is readable: " + "; ".join(failed))
+
+
 def scan_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 

@@ -52,6 +52,15 @@ def test_quarantine_of_empty_files(spark, tmp_path):
     assert good.count() == 0 and bad.count() == 0
 
 
+def test_first_readable_source(spark, tmp_path):
+    missing = ("parquet", lambda: readers.scan_parquet(spark, str(tmp_path / "none")))
+    spark.range(3).write.parquet(str(tmp_path / "there"))
+    found = readers.first_readable([missing, ("copy", lambda: readers.scan_parquet(spark, str(tmp_path / "there")))])
+    assert {r["_source"] for r in found.collect()} == {"copy"}
+    with pytest.raises(FileNotFoundError, match="parquet: .*; again: "):
+        readers.first_readable([missing, ("again", missing[1])])
+
+
 def bounds(folder, column):
     """(rows, least, greatest) of a column per file."""
     out = []
