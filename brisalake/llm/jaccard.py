@@ -7,7 +7,8 @@ are rarely looked at. (The sample steers cost only: any order gives the same lin
 
 1. Equal sets are one class, kept as one representative.
 2. Similar documents are partitioned into groups: representatives that share one of
-   their smallest tokens with a leader and have been verified against it. Copies of
+   their smallest tokens with a leader (two for each token, the first and the last
+   document that has it) and have been verified against it. Copies of
    one text with different edits differ in some of these tokens, seldom in all.
 3. Leaders that can be similar by the tokens they share are compared, and groups of
    similar leaders are joined: a family of near copies is one group from here on.
@@ -259,8 +260,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
 
     # Groups: a leader shares one of the smallest tokens, and is verified.
     leading = stage.store(reps.select("row", "n", F.explode("smallest").alias("token")), "leading")
-    leaders = leading.groupBy("token").agg(F.min(F.struct("row", "n")).alias("lead"), F.count("*").alias("many")).filter("many > 1")
-    leaders = stage.store(leaders.select("token", "lead"), "leaders-of-tokens")
+    doc = F.struct("row", "n")
+    leaders = leading.groupBy("token").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).filter("first.row < last.row")
+    leaders = stage.store(leaders.select("token", F.explode(F.array("first", "last")).alias("lead")), "leaders-of-tokens")
     near = leading.join(leaders, "token").filter(f"row <> lead.row AND 100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)")
     led = stage.store(near.select("row", F.col("lead.row").alias("leader")).distinct(), "led")
     wanted = led.select("row").union(led.select("leader")).distinct()
@@ -286,10 +288,12 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
         return member.select(F.col("row").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "prefix_size", "last")])
 
     # Groups that one text has split into: their leaders are compared, and similar ones joined.
-    leaders = tokens.join(member.filter("row = grp").select("row"), "row", "left_semi")
-    a, b = (leaders.select("token", F.col("row").alias(x)) for x in "ab")
-    pairs = a.join(b, "token").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    pairs = pairs.join(of_row("a"), "a").join(of_row("b"), "b").filter(qualifies("a", "b", percent))
+    leaders = tokens.join(member.filter("row = grp").drop("grp"), "row")
+    facts = ("n", "prefix_size", "last")
+    a, b = (leaders.select("token", F.col("row").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in facts]) for x in "ab")
+    sizes = (F.col("a") < F.col("b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    pairs = a.join(b, "token").filter(sizes).groupBy("a", "b", *[f"{c}_{x}" for c in facts for x in "ab"]).agg(F.count("*").alias("shared"))
+    pairs = pairs.filter(qualifies("a", "b", percent))
     links = verified(stage.store(pairs.select("a", "b"), "pairs"), "a", "b", "leader-links")
     roots = components(stage, links, "leaders")
     member = stage.store(member.join(roots, member["grp"] == roots["node"], "left").select(
