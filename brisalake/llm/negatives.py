@@ -99,7 +99,7 @@ def pack(rows: DataFrame, block_rows: int) -> DataFrame:
         number, held = TaskContext.get().partitionId() << 32, None
         for part in batches:
             held = part if held is None else pd.concat([held, part])
-            place = (held["n"].to_numpy() << 32) + held["cell"].to_numpy()
+            place = (held["n"].to_numpy(np.int64) << 32) + held["cell"].to_numpy()
             cuts, start = [*(np.flatnonzero(np.diff(place)) + 1), len(held)], 0
             for end in cuts:
                 while start < end and (end - start >= block_rows or end < len(held)):
