@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from brisalake.plans import marts as mt
 from brisalake.plans import monitoring as mon
+from brisalake.plans.lake import Lake
 from brisalake.sources import readers, writers
 from compare import connect, difference
 
@@ -79,3 +80,11 @@ def test_stage_metrics_alerts(spark):
         done.rows["rejeitadas"] = 1
     r = mon.run_summary(*mon.stages_frame(spark, failed, done)).first()
     assert (r.etapas_executadas, r.etapas_com_falha, r.linhas_processadas, r.alertas, r.alertas_criticos) == (2, 1, 10, 3, 1)
+
+
+def test_the_fact_needs_no_stored_pupils(spark):
+    """A folder name of its own, so that no other test has stored its pupils."""
+    direct, stored = Lake(spark, FOLDER + "/."), Lake(spark, FOLDER + "/./.")
+    direct.integrated, stored.micro
+    assert "pupils" not in direct._silver.schemas and "pupils" in stored._silver.schemas
+    assert direct.integrated.exceptAll(stored.integrated).count() == 0 < direct.integrated.count() == stored.integrated.count()

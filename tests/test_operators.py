@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +54,28 @@ def test_prior_cycle_is_strict(spark):
     assert got == {2000: None, 2002: None, 2003: 2.0}
 
 
+def test_integrated_fact_meets_its_unit_by_one_key(spark):
+    """Targets, participation and territory join on the unit alone; an unknown network meets nothing."""
+    fact = spark.createDataFrame([(2024, 1, 2, 3, 60.0), (2024, 1, 2, 0, 50.0), (2023, 1, 2, 3, 40.0), (2024, 1, 2, None, 10.0)],
+                                 "ano int, id_municipio int, serie int, rede int, taxa_alfabetizacao double")
+    dims = spark.createDataFrame([(1, "n", "SP", "s", "r", "m")], "id_municipio int, nome_municipio string, sigla_uf string, nome_uf string, nome_regiao string, nome_mesorregiao string")
+    targets = spark.createDataFrame([(1, 3, 2024, 55.0), (1, 3, 2030, 90.0), (1, None, 2024, 11.0)], "id_municipio int, rede int, ano_meta int, meta_taxa double")
+    part = spark.createDataFrame([(2024, 1, 3, 90.0, 4.0), (2024, 1, None, 70.0, 2.0)], "ano int, id_municipio int, rede int, percentual_participacao double, nivel_alfabetizacao double")
+    state = spark.createDataFrame([(2024, "SP", 3, 58.0)], "ano int, sigla_uf string, rede int, taxa_uf double")
+    country = spark.createDataFrame([(2024, 59.0)], "ano int, taxa_brasil_publica double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jn.integrated_fact(fact, dims, targets, part, state, country)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {(r.ano, r.rede): (r.meta_taxa_ano, r.meta_taxa_2030, r.percentual_participacao, r.nivel_alfabetizacao) for r in out.collect()}
+    assert got == {(2024, 3): (55.0, 90.0, 90.0, 4.0), (2024, 0): (None, 80.0, None, None), (2023, 3): (None, 90.0, None, None),
+                   (2024, None): (None, 80.0, None, None)}
+    keys = re.findall(r"Join \[([^\]]*)\]", plan)
+    assert len(keys) >= 4 and all("id_municipio" not in k or "," not in k for k in keys)
+
+
 def test_integrated_fact_never_multiplies(spark):
     fact = spark.createDataFrame([(2024, 1, 2, 3, 60.0)], "ano int, id_municipio int, serie int, rede int, taxa_alfabetizacao double")
     dims = spark.createDataFrame([(1, "n", "SP", "s", "r", "m")], "id_municipio int, nome_municipio string, sigla_uf string, nome_uf string, nome_regiao string, nome_mesorregiao string")
