@@ -27,11 +27,16 @@ def lineage_columns(df: DataFrame, entity: str, source: str, fmt: str, run_ts: d
 def changed_records(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key and ``change``: new, changed, same or gone. Only keys and hashes are shuffled.
 
-    A column that one side lacks counts as null there.
+    A column that one side lacks counts as null there. Zero equals negative zero, though their texts differ.
     """
     columns = [*old.columns, *[c for c in new.columns if c not in old.columns]]
-    side = lambda df, name: df.withColumns({c: F.lit(None).cast("string") for c in columns if c not in df.columns}) \
-        .select(*keys, record_hash(columns).alias(name))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        kinds = dict(df.dtypes)
+        same = {c: F.when(F.col(c) == 0, F.lit(0).cast(kinds[c])).otherwise(F.col(c)) for c in columns if kinds.get(c) in ("double", "float")}
+        lacking = {c: F.lit(None).cast("string") for c in columns if c not in kinds}
+        return df.withColumns({**same, **lacking}).select(*keys, record_hash(columns).alias(name))
+
     both = side(old, "_old").join(side(new, "_new"), list(keys), "full")
     change = (F.when(F.col("_old").isNull(), "new").when(F.col("_new").isNull(), "gone")
               .when(F.col("_old") == F.col("_new"), "same").otherwise("changed"))

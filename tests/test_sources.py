@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisalake.sources import catalog, readers, writers
+from brisalake.sources.lineage import changed_records
 
 
 def test_merged_json_schema(spark):
@@ -116,3 +117,10 @@ def test_only_brought_partitions_are_registered(spark, tmp_path, table_name):
     assert catalog.add_partitions(spark, table_name, rows, ["p", "q"]) == 1
     assert {r.id for r in spark.table(table_name).collect()} == {1, 2, 3, 4}
     assert catalog.add_partitions(spark, table_name, rows, ["p", "q"]) == 0
+
+
+def test_negative_zero_is_no_change(spark):
+    old = spark.createDataFrame([(1, -0.0), (2, 0.0), (3, None), (4, 1.5), (5, float("nan"))], "id int, v double")
+    new = spark.createDataFrame([(1, 0.0), (2, -0.0), (3, None), (4, -1.5), (5, float("nan"))], "id int, v double")
+    got = {r.id: r.change for r in changed_records(old, new, ["id"]).collect()}
+    assert got == {1: "same", 2: "same", 3: "same", 4: "changed", 5: "same"}
