@@ -88,3 +88,11 @@ def test_the_fact_needs_no_stored_pupils(spark):
     direct.integrated, stored.micro
     assert "pupils" not in direct._silver.schemas and "pupils" in stored._silver.schemas
     assert direct.integrated.exceptAll(stored.integrated).count() == 0 < direct.integrated.count() == stored.integrated.count()
+
+
+def test_profile_joins_the_network_to_totals(spark):
+    k = Lake(spark, FOLDER)
+    out = mt.mart_student_profile(k.pupils, k.units)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
+    assert out.exceptAll(mt.mart_student_profile(k.micro)).count() == 0 < out.count()
