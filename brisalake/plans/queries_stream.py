@@ -122,16 +122,20 @@ def _(k: Lake):
 
 
 def in_batches(k: Lake, name: str, parts: int = 3):
-    """The valid events landed in ``parts`` folders, read one file of each trigger: (land the next part, stream)."""
+    """The valid events landed in ``parts`` folders, read one folder a trigger: (land the next part, stream).
+
+    Each task lands the rows it reads, so no task handles a whole part; a trigger takes as many files as the first part has.
+    """
     folder, rows = f"{k.work}/{name}_in", k.valid
     files = iter(range(parts))
 
     def land():
         i = next(files)
-        rows.filter(F.pmod(F.xxhash64("id_evento"), F.lit(parts)) == i).coalesce(1).write.parquet(f"{folder}/part={i}")
+        rows.filter(F.pmod(F.xxhash64("id_evento"), F.lit(parts)) == i).write.parquet(f"{folder}/part={i}")
 
     def stream():
-        return k.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
+        first = len(k.spark.read.schema(rows.schema).parquet(f"{folder}/part=0").inputFiles())
+        return k.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", first).option("recursiveFileLookup", True).parquet(folder)
     return land, stream
 
 

@@ -162,3 +162,18 @@ def test_bloom_filters_on_the_key(spark, tmp_path):
         size, footer = len(f.read()), pq.ParquetFile(f.name).metadata.row_group(0)
     data = sum(footer.column(i).total_compressed_size for i in range(footer.num_columns))
     assert size - data > 1500  # the filter lies between the columns and the footer
+
+
+def test_parts_are_landed_by_all_tasks_and_read_a_part_a_trigger(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from brisalake.plans.queries_stream import in_batches
+
+    rows = spark.range(400).select(F.col("id").cast("string").alias("id_evento")).repartition(4, "id_evento")
+    land, stream = in_batches(SimpleNamespace(spark=spark, work=str(tmp_path), valid=rows), "s")
+    land(), land()
+    assert len(list((tmp_path / "s_in" / "part=0").glob("*.parquet"))) == 4
+    sizes = []
+    stream().writeStream.foreachBatch(lambda df, _: sizes.append(df.count())).option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == 2 and sum(sizes) == rows.filter("pmod(xxhash64(id_evento), 3) < 2").count()
