@@ -83,3 +83,25 @@ def test_models_grow_with_the_vocabulary(spark):
                 assert got[i].score == pytest.approx(a - b, abs=1e-9)
             else:
                 assert got[i].target_loss is None and got[i].score == 0
+
+
+def test_a_chunk_sends_each_pair_once(spark):
+    """A pair in every document costs its bucket one entry a chunk, as every other gram."""
+    rng = random.Random(9)
+    texts = [" ".join(["very common"] * 30 + [f"word{rng.randrange(20_000)}" for _ in range(300)]) for _ in range(400)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    models = lm_score.count_models(frame, "text", F.col("doc_id") % 2 == 0)
+    sent = models.requests()[1].agg(F.sum("n").alias("n"), F.max("chunk").alias("chunks")).first()
+    split = [t.split() for t in texts]
+    distinct = len({w for x in split for w in x}) + len({w for x in split for w in ["", *x][:-1]}) + len(
+        {p for x in split for p in zip(["", *x], x)})
+    assert (sent.n, sent.chunks) == (distinct, 0)
+
+
+def test_target_as_ids(spark, docs):
+    """The target's documents may be given by their ids; texts are not joined with them."""
+    good = docs.filter("doc_id % 2 = 0").select("doc_id")
+    key = lambda r: tuple(map(str, r))
+    by_mark, by_ids = (sorted(map(key, lm_score.score(docs, lm_score.count_models(docs, "text", t)).collect()))
+                       for t in (F.col("doc_id") % 2 == 0, good))
+    assert by_mark == by_ids
