@@ -9,13 +9,15 @@ are rarely looked at. (The sample steers cost only: any order gives the same lin
 2. Similar documents are partitioned into groups: representatives that share one of
    their smallest tokens with a leader and have been verified against it. Copies of
    one text with different edits differ in some of these tokens, seldom in all.
-3. Leaders that can be similar by the tokens they share are compared, and groups of
-   similar leaders are joined: a family of near copies is one group from here on.
+3. Leaders that share a token with many others are compared with its hub, the leader
+   with the most shared tokens: of a family of near copies the one nearest to the text
+   they come from. Then all leaders that can be similar by the tokens they share are
+   compared. Groups of similar leaders are joined: a family is one group from here on.
 4. The matrix holds, per leading token, the groups whose union has it. Tokens of a
    single group say nothing about links between groups and are dropped, so a family
    adds one row per token, however large. Every document of the smaller of two groups
    is bounded by what it shares with the larger one's union; where that may do, it is
-   compared with the leader, which joins most groups that belong together. Only what
+   compared with the group's hub, which joins most groups that belong together. Only what
    is still apart is opened, and its documents bounded and compared one by one.
 5. Links between groups make components; classes and copies inherit theirs.
 
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from brisalake.llm.common import BLANK, Stage, byte_chunks, mixed, small_side, span_hashes, spans, text_or_empty
 from brisalake.llm.components import components
 
+HUB_LEADERS = 8  # leaders of a token from which on they are compared with its hub first (steers cost only)
 LEADING = 3  # smallest tokens of a set that may lead it to a group
 COMMON = np.int64(1) << np.int64(62)  # set in the place of a common token, so that it sorts last
 BUCKET_TOKENS = 500_000
@@ -270,8 +273,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
     grouped = components(stage, stage.store(similar_to_leader.select(F.col("row").alias("a"), F.col("leader").alias("b")), "grouped"),
                          "groups").toDF("row", "leader")
     stage.drop("leading", "leaders-of-tokens", "led", "led-sets-keys")
-    member = stage.store(reps.join(grouped, "row", "left").select(
-        "row", "n", "prefix_size", "last", F.coalesce("leader", "row").alias("grp")), "member")
+    ties = tokens.groupBy("row").agg(F.count("*").alias("ties"))
+    member = stage.store(reps.join(grouped, "row", "left").join(ties, "row", "left").select(
+        "row", "n", "prefix_size", "last", F.coalesce("ties", F.lit(0)).alias("ties"), F.coalesce("leader", "row").alias("grp")), "member")
 
     def verified(p: DataFrame, x: str, y: str, name: str) -> DataFrame:
         """The pairs (x, y, ...) whose sets are similar; sets not made yet are made from the texts."""
@@ -285,22 +289,43 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
     def of_row(x: str) -> DataFrame:
         return member.select(F.col("row").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "prefix_size", "last")])
 
-    # Groups that one text has split into: their leaders are compared, and similar ones joined.
-    leaders = tokens.join(member.filter("row = grp").drop("grp"), "row")
     facts = ("n", "prefix_size", "last")
-    a, b = (leaders.select("token", F.col("row").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in facts]) for x in "ab")
+
+    def leaders_as(x: str) -> DataFrame:
+        found = tokens.join(member.filter("row = grp").drop("grp"), "row")
+        return found.select("token", F.col("row").alias(x), "ties", *[F.col(c).alias(f"{c}_{x}") for c in facts])
+
+    def merged(found: DataFrame, name: str) -> DataFrame:
+        """The members, after groups whose leaders are linked have become one."""
+        roots = components(stage, found, name)
+        return stage.store(member.join(roots, member["grp"] == roots["node"], "left").select(
+            "row", *facts, "ties", F.coalesce("root", "grp").alias("grp")), f"member-{name}")
+
+    # Groups that one text has split into: leaders that share a token with many meet the hub they share most with.
+    a = stage.store(leaders_as("a"), "leaders")
+    hubs = a.groupBy("token").agg(F.max(F.struct("ties", F.col("a").alias("b"))).alias("hub"), F.count("*").alias("many"))
+    hubs = hubs.filter(F.col("many") >= HUB_LEADERS).select("token", F.col("hub.b").alias("b"))
+    best = a.join(hubs, "token").filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("many"))
+    best = stage.store(best.groupBy("a").agg(F.max(F.struct("many", "b")).alias("hub")).select("a", F.col("hub.b").alias("b")), "hubs")
+    of_hub = a.toDF("token", "b", "ties_b", *[f"{c}_b" for c in facts]).join(best.select("b").distinct(), "b", "left_semi").drop("ties_b")
+    met = a.join(best, "a").join(of_hub, ["token", "b"]).groupBy("a", "b", *[f"{c}_{x}" for c in facts for x in "ab"]).agg(
+        F.count("*").alias("shared")).filter(qualifies("a", "b", percent))
+    to_hubs = verified(stage.store(met.select("a", "b"), "met"), "a", "b", "hub-links")
+    member = merged(to_hubs, "hub-groups")
+
+    # All leaders that may be similar are compared, and similar ones joined.
+    a, b = (leaders_as(x).drop("ties") for x in "ab")
     sizes = (F.col("a") < F.col("b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     pairs = a.join(b, "token").filter(sizes).groupBy("a", "b", *[f"{c}_{x}" for c in facts for x in "ab"]).agg(F.count("*").alias("shared"))
     pairs = pairs.filter(qualifies("a", "b", percent))
     links = verified(stage.store(pairs.select("a", "b"), "pairs"), "a", "b", "leader-links")
-    roots = components(stage, links, "leaders")
-    member = stage.store(member.join(roots, member["grp"] == roots["node"], "left").select(
-        "row", "n", "prefix_size", "last", F.coalesce("root", "grp").alias("grp")), "member-merged")
+    links = links.unionByName(to_hubs)
+    member = merged(links, "leaders")
 
     # The matrix: (token, group) over all documents, without the tokens of one group.
     groups = stage.store(member.groupBy("grp").agg(
         F.count("*").alias("members"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("last").alias("last_low"),
-        F.max("last").alias("last_high")), "groups")
+        F.max("last").alias("last_high"), F.max(F.struct("ties", "row"))["row"].alias("hub")), "groups")
     placed = tokens.join(member.select("row", "grp"), "row")
     several = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token")
     placed = stage.store(placed.join(several, "token").join(groups.select("grp", "members"), "grp"), "placed")
@@ -311,8 +336,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_column: str = "d
     asked = placed.join(matrix, "token").filter("many > 1 AND (members < many OR members = many AND grp < other)")
     asked = asked.groupBy("row", "grp", "other").agg(F.count("*").alias("shared"))
     asked = asked.join(of_row("row"), "row").join(groups.withColumnRenamed("grp", "other"), "other").filter(reaches("row", percent))
-    asked = stage.store(asked.select("row", "grp", "other"), "asked")
-    near = verified(asked, "row", "other", "near-leaders").select(F.col("grp").alias("a"), F.col("other").alias("b"))
+    asked = stage.store(asked.select("row", "grp", "other", "hub"), "asked")
+    near = verified(asked, "row", "hub", "near-leaders").select(F.col("grp").alias("a"), F.col("other").alias("b"))
     roots = components(stage, near, "near-groups")
 
     # Open what is still apart: the group's documents bounded and compared one by one.
